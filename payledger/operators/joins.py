@@ -19,15 +19,26 @@ def bounded_broadcast(df: DataFrame, max_rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= limit else df
 
 
-def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast a dimension only after checking it has at most ``limit`` rows.
+_SIZE_CHECKS: dict[tuple[int, int, int], bool] = {}
+
+
+def is_small(df: DataFrame, limit: int) -> bool:
+    """True when ``df`` has at most ``limit`` rows.
 
-    The check reads at most ``limit + 1`` rows, so it stays cheap for the
-    small tables it is meant for; a larger table keeps the shuffle join.
+    Reads at most ``limit + 1`` rows. The answer is remembered per session and
+    semantically equal plan, so a dimension joined several times (one lookup
+    per currency role, say) is counted once.
     """
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
+    key = (id(df.sparkSession), df.semanticHash(), limit)
+    if key not in _SIZE_CHECKS:
+        _SIZE_CHECKS[key] = df.limit(limit + 1).count() <= limit
+    return _SIZE_CHECKS[key]
+
+
+def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
+    """Broadcast a dimension only after checking it has at most ``limit`` rows;
+    a larger table keeps the shuffle join (which AQE may still re-plan)."""
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def left_join_salted_nulls(

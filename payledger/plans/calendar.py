@@ -98,14 +98,32 @@ def calendar_date_dim(spark: SparkSession, start: dt.date, end: dt.date) -> Data
 CALENDAR_ATTRIBUTES = ("CalYear", "CalMonth", "CalWeek", "CalQuarter")
 
 
+def calendar_attribute(name: str, d: Column) -> Column:
+    """The calendar rule for one attribute (same rules as ``calendar_date_dim``)."""
+    rules = {
+        "CalYear": lambda x: F.year(x).cast("long"),
+        "CalMonth": lambda x: F.month(x).cast("long"),
+        "CalWeek": lambda x: F.weekofyear(x).cast("long"),
+        "CalQuarter": lambda x: F.quarter(x).cast("long"),
+    }
+    return rules[name](d)
+
+
 def add_calendar_attributes(
-    df: DataFrame, calendar: DataFrame, date_col: str, names: Mapping[str, str], max_rows: int, limit: int
+    df: DataFrame, calendar: DataFrame | None, date_col: str, names: Mapping[str, str], max_rows: int, limit: int,
+    start: dt.date | None = None, end: dt.date | None = None,
 ) -> DataFrame:
-    """Left join the calendar on ``date_col`` and bring ``{attribute: output name}``.
+    """Bring calendar attributes ``{attribute: output name}`` for ``date_col``.
 
-    The calendar has one row per day of a configured range, so its size is
-    known without a job and it is broadcast below ``limit`` rows.
+    With ``calendar=None`` the generated calendar is applied as expressions:
+    the same values a left join to ``calendar_date_dim(start, end)`` gives
+    (NULL outside the range), without a join. With a calendar table (one
+    row per day, size known from its range) it is a broadcast left join.
     """
+    if calendar is None:
+        d = F.col(date_col)
+        inside = d.between(F.lit(start), F.lit(end))
+        return df.withColumns({o: F.when(inside, calendar_attribute(a, d)) for a, o in names.items()})
     alias = f"cal_{date_col}"
     cal = calendar.select(F.col("Date").alias(f"{alias}_date"), *[F.col(a).alias(o) for a, o in names.items()])
     cal = bounded_broadcast(cal, max_rows, limit)

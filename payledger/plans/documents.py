@@ -26,7 +26,10 @@ def _calendar_names(kind: str, suffix: str) -> dict[str, str]:
 
 def _with_calendar(df, calendar, cfg, date_col, kind, suffix):
     n = day_count(cfg.calendar_start, cfg.calendar_end)
-    return add_calendar_attributes(df, calendar, date_col, _calendar_names(kind, suffix), n, cfg.broadcast_row_limit)
+    return add_calendar_attributes(
+        df, calendar, date_col, _calendar_names(kind, suffix), n, cfg.broadcast_row_limit,
+        cfg.calendar_start, cfg.calendar_end,
+    )
 
 
 def _currency_factor(df: DataFrame, decimals: DataFrame, on: Column, out: str, limit: int) -> DataFrame:
@@ -104,11 +107,20 @@ def _t(field: str):
     return _TYPES.get(field, StringType())
 
 
-def invoice_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
+def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = None) -> DataFrame:
     """Invoice lines (RSEG) FULL OUTER JOIN account assignments (RBCO), with
-    debit/credit applied to their amounts and shared fields merged."""
+    debit/credit applied to their amounts and shared fields merged.
+
+    ``headers`` (mandt, belnr, gjahr) restricts both sides *before* the full
+    join. Exact for a later inner join with those headers: a matched pair has
+    equal keys on both sides, an unmatched row keeps its own keys.
+    """
     rseg = sign_flip_columns(tables["rseg"], ["wrbtr", "bnkan"])
     rbco = sign_flip_columns(tables["rbco"], ["wrbtr", "bnkan_fw"])
+    if headers is not None:
+        keys = headers.select("mandt", "belnr", "gjahr").distinct()
+        rseg = rseg.join(keys, ["mandt", "belnr", "gjahr"], "left_semi")
+        rbco = rbco.join(keys, ["mandt", "belnr", "gjahr"], "left_semi")
     s, c = rseg.alias("s"), rbco.alias("c")
     joined = s.join(c, [F.col(f"s.{k}") == F.col(f"c.{k}") for k in LINE_KEYS], "full")
     cols = [F.coalesce(pick(rseg, k, prefix="s"), pick(rbco, k, prefix="c")).alias(k) for k in LINE_KEYS]
@@ -121,12 +133,21 @@ def invoice_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def invoice_documents_flow(
-    tables: Mapping[str, DataFrame], decimals: DataFrame, calendar: DataFrame, cfg: LedgerConfig
+    tables: Mapping[str, DataFrame], decimals: DataFrame, calendar: DataFrame | None, cfg: LedgerConfig,
+    header_filter: Column | None = None,
 ) -> DataFrame:
     """Supplier invoices at line level: merged lines INNER JOIN headers (RBKP),
-    WBS element, document-currency decimal fix and calendar attributes."""
-    lines = invoice_lines(tables).alias("l")
+    WBS element, document-currency decimal fix and calendar attributes.
+
+    ``header_filter`` (a condition on RBKP columns) limits the flow to those
+    invoices, and is applied to the lines before their full outer join.
+    """
     rbkp = tables["rbkp"]
+    if header_filter is not None:
+        rbkp = rbkp.where(header_filter)
+        lines = invoice_lines(tables, rbkp).alias("l")
+    else:
+        lines = invoice_lines(tables).alias("l")
     hdr = rbkp.alias("h")
     df = lines.join(hdr, [F.col(f"l.{k}") == F.col(f"h.{k}") for k in ("mandt", "belnr", "gjahr")], "inner")
     df = df.select(

@@ -64,7 +64,7 @@ class LedgerModel:
     # documents
     @cached_property
     def invoices(self) -> DataFrame:
-        df = documents.invoice_documents_flow(self.tables, self.currency_decimal, self.calendar, self.cfg)
+        df = documents.invoice_documents_flow(self.tables, self.currency_decimal, None, self.cfg)
         if self.cfg.materialize_invoices:
             from payledger.session import checkpoint_dir
 
@@ -72,18 +72,30 @@ class LedgerModel:
             df = df.checkpoint(eager=True)
         return df
 
+    @cached_property
+    def parked_invoice_flow(self) -> DataFrame:
+        """The invoice flow of parked invoices only (lines filtered before their join)."""
+        from pyspark.sql import functions as F
+
+        return documents.invoice_documents_flow(
+            self.tables, self.currency_decimal, None, self.cfg,
+            header_filter=F.col("rbstat") == self.cfg.parked_status,
+        )
+
     @cached_property
     def purchase_history(self) -> DataFrame:
-        return documents.purchase_documents_history(self.tables, self.currency_decimal, self.calendar, self.cfg)
+        return documents.purchase_documents_history(self.tables, self.currency_decimal, None, self.cfg)
 
     @cached_property
     def accounting_documents(self) -> DataFrame:
-        return documents.accounting_documents(self.tables, self.currency_decimal, self.calendar, self.cfg)
+        return documents.accounting_documents(self.tables, self.currency_decimal, None, self.cfg)
 
     # payables
     @cached_property
     def accounting_invoices(self) -> DataFrame:
-        return payables.accounting_invoices(self.accounting_documents, self.invoices, self.business_days, self.cfg)
+        return payables.accounting_invoices(
+            self.accounting_documents, self.invoices, self.business_days, self.cfg, parked_flow=self.parked_invoice_flow
+        )
 
     @cached_property
     def accounting_invoices_kpi(self) -> DataFrame:

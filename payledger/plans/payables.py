@@ -164,9 +164,14 @@ def parked_invoices(invoices: DataFrame, cfg: LedgerConfig) -> DataFrame:
 
 
 def accounting_invoices(
-    acc_docs: DataFrame, invoices: DataFrame, bdays: DataFrame, cfg: LedgerConfig
+    acc_docs: DataFrame, invoices: DataFrame, bdays: DataFrame, cfg: LedgerConfig,
+    parked_flow: DataFrame | None = None,
 ) -> DataFrame:
-    union = posted_vendor_lines(acc_docs, invoices, cfg).unionByName(parked_invoices(invoices, cfg))
+    """Posted vendor lines UNION ALL parked invoices, plus the previous business
+    day of the posting date. ``parked_flow`` is an invoice flow already limited
+    to parked headers (cheaper than filtering the full flow a second time)."""
+    parked = parked_invoices(parked_flow if parked_flow is not None else invoices, cfg)
+    union = posted_vendor_lines(acc_docs, invoices, cfg).unionByName(parked)
     return add_previous_business_day(
         union, bdays, F.col("PostingDateInTheDocument_BUDAT"), "PreviousBusinessDay_BUDAT", cfg
     )

@@ -284,9 +284,29 @@ def _explode_rows(df: DataFrame, rows_sql: str, alias: str) -> DataFrame:
     return df.selectExpr("*", f"inline({rows_sql})").alias(alias)
 
 
-def erp_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# Raw tables that feed line-level data, with the key they are spread by.
+_SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
+def spread_input(df: DataFrame, key: str, parallelism: int) -> DataFrame:
+    """Give a scan at least ``parallelism`` partitions.
+
+    A file of a single row group is read by one task, and everything up to
+    the first shuffle then runs in that task. Inputs that already arrive in
+    enough splits (the normal case for large tables) are left untouched; a
+    small input is hash-partitioned by its key (deterministic on retry).
+    """
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    return df.repartition(parallelism, key)
+
+
+def erp_tables(spark: SparkSession, sf_dir: str, parallelism: int | None = None) -> dict[str, DataFrame]:
     """Derive the ERP-shaped tables from the parquet files in ``sf_dir``."""
+    parallelism = parallelism or spark.sparkContext.defaultParallelism
     raw = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in RAW_TABLES}
+    for t, key in _SPREAD_KEYS.items():
+        raw[t] = spread_input(raw[t], key, parallelism)
     orders, lineitem = raw["orders"], raw["lineitem"]
     lines = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
     order_years = orders.select(F.year("o_orderdate").alias("y")).distinct()
