@@ -216,18 +216,29 @@ def business_day_rows_bound(cfg: LedgerConfig) -> int:
     return day_count(cfg.calendar_start, cfg.calendar_end)
 
 
+def business_day_lookup(bdays: DataFrame) -> DataFrame:
+    """One row per calendar date: the date itself when it is a business day
+    (else the next one), and the stored previous business day."""
+    return bdays.select(
+        F.col("date").alias("__bd_date"),
+        F.when(F.col("is_business_day"), F.col("date")).otherwise(F.col("next_business_day")).alias("__bd_next"),
+        F.col("previous_business_day").alias("__bd_prev"),
+    )
+
+
+def _lookup(df: DataFrame, bdays: DataFrame, date_col: Column, value: str, out: str, cfg: LedgerConfig) -> DataFrame:
+    # the same lookup frame for every use, so one broadcast serves all joins
+    lk = bounded_broadcast(business_day_lookup(bdays), business_day_rows_bound(cfg), cfg.broadcast_row_limit)
+    return df.join(lk, date_col == lk["__bd_date"], "left").select(
+        *[df[c] for c in df.columns], lk[value].alias(out)
+    )
+
+
 def add_next_business_day(df: DataFrame, bdays: DataFrame, date_col: Column, out: str, cfg: LedgerConfig) -> DataFrame:
     """``out`` = the date itself when it is a business day, else the next one;
     NULL for dates outside the business-day calendar."""
-    lk = bdays.select(
-        F.col("date").alias(f"__{out}_d"),
-        F.when(F.col("is_business_day"), F.col("date")).otherwise(F.col("next_business_day")).alias(out),
-    )
-    lk = bounded_broadcast(lk, business_day_rows_bound(cfg), cfg.broadcast_row_limit)
-    return df.join(lk, date_col == F.col(f"__{out}_d"), "left").drop(f"__{out}_d")
+    return _lookup(df, bdays, date_col, "__bd_next", out, cfg)
 
 
 def add_previous_business_day(df: DataFrame, bdays: DataFrame, date_col: Column, out: str, cfg: LedgerConfig) -> DataFrame:
-    lk = bdays.select(F.col("date").alias(f"__{out}_d"), F.col("previous_business_day").alias(out))
-    lk = bounded_broadcast(lk, business_day_rows_bound(cfg), cfg.broadcast_row_limit)
-    return df.join(lk, date_col == F.col(f"__{out}_d"), "left").drop(f"__{out}_d")
+    return _lookup(df, bdays, date_col, "__bd_prev", out, cfg)

@@ -213,33 +213,29 @@ def accounting_invoices_kpi(
         "inner",
     ).drop("__c_mandt", "__c_bukrs")
 
-    doc_periods = broadcast_if_small(
-        fiscal_period_lookup(fiscal_keys, t009, t009b).select(
-            F.col("mandt").alias("__d_mandt"), F.col("periv").alias("__d_periv"),
-            F.col("date").alias("__d_date"), F.col("fiscal_period").alias("DocFiscPeriod"),
-        ),
-        cfg.broadcast_row_limit,
-    )
-    df = df.join(
-        doc_periods,
-        (F.col("Client_MANDT") == F.col("__d_mandt")) & (F.col("__periv") == F.col("__d_periv"))
-        & (F.col("PostingDateInTheDocument_BUDAT") == F.col("__d_date")),
-        "left",
-    ).drop("__d_mandt", "__d_periv", "__d_date")
-
+    # One fiscal dimension answers both lookups: the posting dates of the
+    # documents and the key date (last day of the previous month).
     key_keys = companies.select(
         F.col("Client_MANDT").alias("mandt"), F.col("FiscalyearVariant_PERIV").alias("periv"),
         cfg.previous_month_end().alias("date"),
-    ).distinct()
-    key_periods = F.broadcast(
-        fiscal_period_lookup(key_keys, t009, t009b).select(
-            F.col("mandt").alias("__k_mandt"), F.col("periv").alias("__k_periv"),
-            F.col("fiscal_period").alias("KeyFiscPeriod"),
-        )
     )
-    df = df.join(
-        key_periods, (F.col("Client_MANDT") == F.col("__k_mandt")) & (F.col("__periv") == F.col("__k_periv")), "left"
-    ).drop("__k_mandt", "__k_periv", "__periv")
+    periods = broadcast_if_small(
+        fiscal_period_lookup(fiscal_keys.unionByName(key_keys).distinct(), t009, t009b).select(
+            F.col("mandt").alias("__f_mandt"), F.col("periv").alias("__f_periv"),
+            F.col("date").alias("__f_date"), F.col("fiscal_period").alias("__f_period"),
+        ),
+        cfg.broadcast_row_limit,
+    )
+
+    def fiscal(frame: DataFrame, date: Column, out: str) -> DataFrame:
+        p = periods.alias(f"p_{out}")
+        cond = (F.col("Client_MANDT") == F.col(f"p_{out}.__f_mandt")) & (F.col("__periv") == F.col(f"p_{out}.__f_periv")) \
+            & (date == F.col(f"p_{out}.__f_date"))
+        return frame.join(p, cond, "left").select(*[F.col(f"`{c}`") for c in frame.columns],
+                                                  F.col(f"p_{out}.__f_period").alias(out))
+
+    df = fiscal(df, F.col("PostingDateInTheDocument_BUDAT"), "DocFiscPeriod")
+    df = fiscal(df, cfg.previous_month_end(), "KeyFiscPeriod").drop("__periv")
 
     vendor_line = F.col("AccountType_KOART") == cfg.vendor_account_type
     base = F.when(vendor_line & F.col("BaselineDateForDueDateCalculation_ZFBDT").isNull(),
