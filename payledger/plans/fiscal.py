@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payledger.functions.dates import fiscal_case1
+from payledger.operators.joins import broadcast_if_small
 
 
 def variant_cases(t009: DataFrame) -> DataFrame:
@@ -33,50 +34,38 @@ def _period_label(year_str: Column, reljr: Column, poper: Column) -> Column:
     return F.concat((year_str.cast("int") + reljr.cast("int")).cast("string"), poper)
 
 
-def fiscal_period_lookup(keys: DataFrame, t009: DataFrame, t009b: DataFrame) -> DataFrame:
-    """Resolve ``keys`` (mandt, periv, date) to (mandt, periv, date, fiscal_period).
+def fiscal_period_lookup(keys: DataFrame, t009: DataFrame, t009b: DataFrame, limit: int = 2_000_000) -> DataFrame:
+    """Resolve ``keys`` (mandt, periv, date) to (mandt, periv, date, fiscal_case, fiscal_period).
 
-    CASE2: the period row of the date's year and month. CASE3: the smallest
-    period label among rows whose (year or the date's year when '0000') +
-    month + day is on or after the date: a range join restricted to rows of
-    the same variant that can qualify, followed by a grouped MIN.
+    One left join of the keys to the period table on (client, variant), whose
+    residual condition admits only the rows a case can use: CASE2 the row of
+    the date's year and month; CASE3 the rows whose (year, or the date's year
+    for '0000') + month + day is on or after the date. A grouped MIN then
+    picks the period (CASE1 needs no row and is computed from the date). Keys
+    with no period come out with a NULL period.
     """
-    cases = variant_cases(t009)
-    k = keys.join(F.broadcast(cases), ["mandt", "periv"], "left")
-    d = F.col("date")
-
-    c2_rows = t009b.select(
-        "mandt", "periv", "bdatj", "bumon", _period_label(F.col("bdatj"), F.col("reljr"), F.col("poper")).alias("c2")
-    )
-    k2 = k.where(F.col("fiscal_case") == "CASE2").select(
-        "mandt", "periv", "date",
-        F.year(d).cast("string").alias("bdatj"), F.date_format(d, "MM").alias("bumon"),
-    )
-    case2 = k2.join(c2_rows, ["mandt", "periv", "bdatj", "bumon"], "inner").groupBy(
-        "mandt", "periv", "date"
-    ).agg(F.min("c2").alias("c2"))
-
-    k3 = k.where(F.col("fiscal_case") == "CASE3").select("mandt", "periv", "date").alias("k")
-    b = t009b.alias("b")
-    year_eff = _year_or(F.col("b.bdatj"), F.col("k.date"))
-    cond = (
-        (F.col("k.mandt") == F.col("b.mandt"))
-        & (F.col("k.periv") == F.col("b.periv"))
-        # a dated row can only qualify from the date's year on
-        & ((F.col("b.bdatj") == "0000") | (F.col("b.bdatj") >= F.year(F.col("k.date")).cast("string")))
-        & (F.concat(year_eff, F.col("b.bumon"), F.col("b.butag")) >= F.date_format(F.col("k.date"), "yyyyMMdd"))
-    )
-    case3 = k3.join(b, cond, "inner").groupBy(
-        F.col("k.mandt").alias("mandt"), F.col("k.periv").alias("periv"), F.col("k.date").alias("date")
-    ).agg(F.min(_period_label(year_eff, F.col("b.reljr"), F.col("b.poper"))).alias("c3"))
-
-    out = k.join(case2, ["mandt", "periv", "date"], "left").join(case3, ["mandt", "periv", "date"], "left")
-    period = (
-        F.when(F.col("fiscal_case") == "CASE1", fiscal_case1(d))
-        .when(F.col("fiscal_case") == "CASE2", F.col("c2"))
-        .when(F.col("fiscal_case") == "CASE3", F.col("c3"))
+    cases = F.broadcast(variant_cases(t009))
+    k = keys.join(cases, ["mandt", "periv"], "left").alias("k")
+    # few variants means few join keys: broadcasting the (checked) period table
+    # keeps all dates of one variant from landing in a single shuffle task
+    b = broadcast_if_small(t009b, limit).alias("b")
+    d = F.col("k.date")
+    case = F.col("k.fiscal_case")
+    year_eff = _year_or(F.col("b.bdatj"), d)
+    case2 = (case == "CASE2") & (F.col("b.bdatj") == F.year(d).cast("string")) \
+        & (F.col("b.bumon") == F.date_format(d, "MM"))
+    case3 = (case == "CASE3") \
+        & ((F.col("b.bdatj") == "0000") | (F.col("b.bdatj") >= F.year(d).cast("string"))) \
+        & (F.concat(year_eff, F.col("b.bumon"), F.col("b.butag")) >= F.date_format(d, "yyyyMMdd"))
+    cond = (F.col("k.mandt") == F.col("b.mandt")) & (F.col("k.periv") == F.col("b.periv")) & (case2 | case3)
+    label = (
+        F.when(case == "CASE1", fiscal_case1(d))
+        .when(case == "CASE2", _period_label(F.col("b.bdatj"), F.col("b.reljr"), F.col("b.poper")))
+        .when(case == "CASE3", _period_label(year_eff, F.col("b.reljr"), F.col("b.poper")))
     )
-    return out.select("mandt", "periv", "date", "fiscal_case", period.alias("fiscal_period"))
+    return k.join(b, cond, "left").groupBy(
+        F.col("k.mandt").alias("mandt"), F.col("k.periv").alias("periv"), d.alias("date"), case.alias("fiscal_case")
+    ).agg(F.min(label).alias("fiscal_period"))
 
 
 def fiscal_periods_of_dates(
