@@ -20,16 +20,23 @@ def sign_flip_columns(df: DataFrame, columns: Iterable[str], indicator: str = "s
 
     One ``withColumns`` keeps the plan flat however many columns are flipped.
     """
-    present = {c.lower(): c for c in df.columns}
-    ind = F.col(indicator)
-    updates = {present[c.lower()]: flipped(F.col(present[c.lower()]), ind) for c in columns if c.lower() in present}
-    return df.withColumns(updates) if updates else df
+    wanted = {c.lower() for c in columns}
+    exprs = [
+        f"CASE WHEN `{indicator}` = 'H' THEN -`{c}` ELSE `{c}` END AS `{c}`" if c.lower() in wanted else f"`{c}`"
+        for c in df.columns
+    ]
+    return df.selectExpr(*exprs) if any(c.lower() in wanted for c in df.columns) else df
 
 
 def debit_credit_label(indicator: Column) -> Column:
     return F.when(indicator == "S", F.lit("debit")).when(indicator == "H", F.lit("credit"))
 
 
+def scale_amount_sql(amount: str, factor: str, name: str) -> str:
+    """SQL text of ``scale_amount`` (for wide ``selectExpr`` projections)."""
+    return f"CAST(COALESCE(`{amount}` * `{factor}`, `{amount}`) AS {AMOUNT.simpleString()}) AS `{name}`"
+
+
 def scale_amount(amount: Column, factor: Column) -> Column:
     """``COALESCE(amount * factor, amount)``: amounts of currencies without a
     decimal entry stay as stored; others are multiplied by 10^(2 - decimals)."""

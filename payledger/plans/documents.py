@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, StringType
 
 from payledger.config import LedgerConfig
-from payledger.functions.amounts import flipped, scale_amount, sign_flip_columns
+from payledger.functions.amounts import scale_amount, scale_amount_sql, sign_flip_columns
 from payledger.functions.dates import cash_discount_date_1, cash_discount_date_2, net_due_date
 from payledger.operators.joins import broadcast_if_small, left_join_salted_nulls
 from payledger.plans.calendar import add_calendar_attributes, day_count
-from payledger.plans.masterdata import pick
+from payledger.plans.masterdata import pick, pick_sql
 from payledger.types import AMOUNT, RAW_AMOUNT, zero
 
 CAL = ("CalYear", "CalMonth", "CalWeek", "CalQuarter")
@@ -340,32 +340,34 @@ def accounting_documents(
     df = b.join(h, [pick(bseg, k, prefix="b") == pick(bkpf, k, prefix="h") for k in DOC_KEYS], "inner")
 
     def line(f):
-        return pick(bseg, f, _LINE_TYPES.get(f.lower(), StringType()), "b")
+        return pick_sql(bseg, f, _LINE_TYPES.get(f.lower(), StringType()), "b")
 
     def head(f):
-        return pick(bkpf, f, _LINE_TYPES.get(f.lower(), StringType()), "h")
+        return pick_sql(bkpf, f, _LINE_TYPES.get(f.lower(), StringType()), "h")
 
-    cols = [head(s).alias(t) for s, t in HEADER_NAMES[:4]]
-    cols += [line(s).alias(t) for s, t in LINE_NAMES[:1]]
-    cols += [head(s).alias(t) for s, t in HEADER_NAMES[4:]]
-    cols += [line(s).alias(t) for s, t in LINE_NAMES[1:]]
+    cols = [f"{head(s)} AS `{t}`" for s, t in HEADER_NAMES[:4]]
+    cols += [f"{line(s)} AS `{t}`" for s, t in LINE_NAMES[:1]]
+    cols += [f"{head(s)} AS `{t}`" for s, t in HEADER_NAMES[4:]]
+    cols += [f"{line(s)} AS `{t}`" for s, t in LINE_NAMES[1:]]
     kept = [a for a in LINE_AMOUNTS if a[1] in amount_roles]
-    cols += [pick(bseg, code, RAW_AMOUNT, "b").alias(f"__raw_{code}") for code, _, _ in kept]
-    currencies = {role: (head(ROLE_CURRENCY[role][2:]) if ROLE_CURRENCY[role].startswith("h.")
-                         else line(ROLE_CURRENCY[role][2:])).alias(f"__cur_{role}")
-                  for role in ROLE_CURRENCY if role in amount_roles or role == "local"}
-    df = df.select(*cols, *currencies.values())
+    cols += [f"{pick_sql(bseg, code, RAW_AMOUNT, 'b')} AS `__raw_{code}`" for code, _, _ in kept]
+    currencies = {
+        role: (head(ROLE_CURRENCY[role][2:]) if ROLE_CURRENCY[role].startswith("h.") else line(ROLE_CURRENCY[role][2:]))
+        for role in ROLE_CURRENCY if role in amount_roles or role == "local"
+    }
+    df = df.selectExpr(*cols, *[f"{src} AS `__cur_{role}`" for role, src in currencies.items()])
 
     for role in currencies:
         df = _currency_factor(df, decimals, F.col(f"__cur_{role}"), f"__fix_{role}", cfg.broadcast_row_limit)
     df = _with_calendar(df, calendar, cfg, "PostingDateInTheDocument_BUDAT", "PostingDateInTheDocument", "BUDAT")
     df = _with_calendar(df, calendar, cfg, "DocumentDateInDocument_BLDAT", "DocumentDateInDocument", "BLDAT")
 
-    amounts = {}
-    for code, role, name in kept:
-        raw = F.col(f"__raw_{code}")
-        amounts[name] = raw.cast(AMOUNT) if role == "none" else scale_amount(raw, F.col(f"__fix_{role}"))
-    df = df.withColumns(amounts)
+    amounts = [
+        f"CAST(`__raw_{code}` AS {AMOUNT.simpleString()}) AS `{name}`" if role == "none"
+        else scale_amount_sql(f"__raw_{code}", f"__fix_{role}", name)
+        for code, role, name in kept
+    ]
+    df = df.selectExpr("*", *amounts)
     df = df.withColumns(receivable_measures(cfg))
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 

@@ -29,9 +29,24 @@ def pick(df: DataFrame, field: str, dtype: DataType = StringType(), prefix: str
     return F.col(f"{prefix}.{src}") if prefix else F.col(src)
 
 
-def rename(df: DataFrame, mapping: Rename, prefix: str | None = None, types: Mapping[str, DataType] | None = None) -> list[Column]:
+def pick_sql(df: DataFrame, field: str, dtype: DataType = StringType(), prefix: str | None = None) -> str:
+    """SQL text of ``pick``: wide projections are sent to Spark as one
+    ``selectExpr`` list instead of one JVM call per column operation."""
+    names = {c.lower(): c for c in df.columns}
+    src = names.get(field.lower())
+    if src is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    return f"`{prefix}`.`{src}`" if prefix else f"`{src}`"
+
+
+def rename_sql(df: DataFrame, mapping: Rename, prefix: str | None = None,
+               types: Mapping[str, DataType] | None = None) -> list[str]:
     types = types or {}
-    return [pick(df, s, types.get(s.lower(), StringType()), prefix).alias(t) for s, t in mapping]
+    return [f"{pick_sql(df, s, types.get(s.lower(), StringType()), prefix)} AS `{t}`" for s, t in mapping]
+
+
+def rename(df: DataFrame, mapping: Rename, prefix: str | None = None, types: Mapping[str, DataType] | None = None) -> list[Column]:
+    return [F.expr(e) for e in rename_sql(df, mapping, prefix, types)]
 
 
 # Business names of the company table.
