@@ -42,7 +42,6 @@ def for_oracle(df: DataFrame) -> DataFrame:
 
 
 def _model(spark: SparkSession, sf_dir: str) -> LedgerModel:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return LedgerModel(spark, erp_tables(spark, sf_dir), CFG)
 
 

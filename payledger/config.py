@@ -53,6 +53,10 @@ class LedgerConfig:
     # "calendar": previous row of the generated calendar (as the reference does);
     # "business": the previous business day.
     previous_day_mode: str = "calendar"
+    # "due_minus_today": DaysInArrear = due date - today, DoubtfulReceivables
+    # when that exceeds the threshold (as the source model computes it);
+    # "today_minus_due": the reading its comments describe (positive = late).
+    arrear_mode: str = "due_minus_today"
     # Dimensions below this many rows are broadcast; larger ones go through a
     # shuffle join that AQE may still turn into a broadcast at run time.
     broadcast_row_limit: int = 2_000_000

@@ -387,6 +387,12 @@ def receivable_measures(cfg: LedgerConfig) -> dict[str, Column]:
     net = net_due_date(*args, customer_type=cfg.customer_account_type)
     posted_before = budat < today
     ct = cfg.customer_account_type
+    if cfg.arrear_mode == "today_minus_due":
+        arrear = F.datediff(today, net)
+    elif cfg.arrear_mode == "due_minus_today":
+        arrear = F.datediff(net, today)
+    else:
+        raise ValueError(f"unknown arrear_mode {cfg.arrear_mode!r}")
 
     def amt(cond, value=dmbtr):
         return F.when(cond, value).otherwise(zero(AMOUNT))
@@ -402,8 +408,8 @@ def receivable_measures(cfg: LedgerConfig) -> dict[str, Column]:
         "ClearedAfterDueDate": amt(posted_before & (augdt > net) & augdt.isNotNull()),
         "ClearedOnOrBeforeDueDate": amt(posted_before & (augdt <= net) & augdt.isNotNull()),
         "OpenAndOverdue": amt(posted_before & (net < today) & augdt.isNull()),
-        "DoubtfulReceivables": amt(posted_before & (F.datediff(net, today) > cfg.doubtful_after_days) & augdt.isNull()),
-        "DaysInArrear": F.datediff(net, today),
+        "DoubtfulReceivables": amt(posted_before & (arrear > cfg.doubtful_after_days) & augdt.isNull()),
+        "DaysInArrear": arrear,
         "AccountsReceivable": amt((koart == ct) & augdt.isNull() & posted_before),
         "Sales": amt((koart == ct) & posted_before & (F.col("Indicator_SalesRelatedItem_XUMSW") == "X")),
     }

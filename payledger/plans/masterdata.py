@@ -128,11 +128,14 @@ def vendor_config(tables: Mapping[str, DataFrame]) -> DataFrame:
     return tv.select(*rename(tv, VENDOR_CONFIG_NAMES))
 
 
-def customers_md(tables: Mapping[str, DataFrame], cfg: LedgerConfig, extra_columns: Rename = ()) -> DataFrame:
+def customers_md(tables: Mapping[str, DataFrame], cfg: LedgerConfig, extra_columns: Rename = (),
+                 ordered: bool = False) -> DataFrame:
     """Customers with their current address (validity ending on the open date).
 
     The validity test filters the address side *before* the outer join, so a
     customer without a current address keeps its row with NULL address fields.
+    ``ordered`` sorts by client (a range shuffle): meant for a final sink,
+    since later operators do not keep an order anyway.
     """
     kna1 = tables["kna1"].alias("c")
     adrc = tables["adrc"].where(F.col("date_to") == F.lit(cfg.current_address_until)).alias("a")
@@ -145,7 +148,8 @@ def customers_md(tables: Mapping[str, DataFrame], cfg: LedgerConfig, extra_colum
     cols.insert(6, F.coalesce(pick(tables["kna1"], "pstlz", prefix="c"), F.col("a.post_code1")).alias("PostalCode_PSTLZ"))
     cols.insert(7, F.coalesce(pick(tables["kna1"], "regio", prefix="c"), F.col("a.region")).alias("CustomerRegion_REGIO"))
     cols += rename(tables["adrc"], CUSTOMER_ADDRESS_NAMES, "a", _DATE_FIELDS)
-    return joined.select(*cols)
+    out = joined.select(*cols)
+    return out.orderBy("Client_MANDT") if ordered else out
 
 
 def vendors_md(tables: Mapping[str, DataFrame], extra_columns: Rename = ()) -> DataFrame:

@@ -92,3 +92,20 @@ def test_key_helpers(spark):
 def test_safe_int_matches_strict_integer_parse(spark):
     df = spark.createDataFrame([("2",), ("1.5",), ("abc",), (" 7 ",), ("-3",), (None,)], "s string")
     assert [r.v for r in df.select(_safe_int(F.col("s")).alias("v")).collect()] == [2, None, None, 7, -3, None]
+
+
+def test_arrear_modes(spark, erp):
+    import dataclasses
+
+    from payledger.config import FIXTURE_CONFIG
+    from payledger.plans.currency import currency_decimal
+    from payledger.plans.documents import accounting_documents
+
+    def arrears(mode):
+        cfg = dataclasses.replace(FIXTURE_CONFIG, arrear_mode=mode)
+        ad = accounting_documents(erp, currency_decimal(erp), None, cfg)
+        return {(r.AccountingDocumentNumber_BELNR, r.NumberOfLineItemWithinAccountingDocument_BUZEI): r.DaysInArrear
+                for r in ad.where("NetDueDateCalc IS NOT NULL").limit(50).collect()}
+
+    as_written, corrected = arrears("due_minus_today"), arrears("today_minus_due")
+    assert as_written and all(corrected[k] == -v for k, v in as_written.items() if k in corrected)
