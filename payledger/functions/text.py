@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 
 def strip_leading_zeros(c: Column) -> Column:
-    """``LTRIM(c, '0')``: '0010' -> '10', '000' -> ''."""
-    return F.regexp_replace(c, r"^0+", "")
+    """``LTRIM(c, '0')``: '0010' -> '10', '000' -> ''. (Native trim: no regex.)"""
+    return F.ltrim(c, F.lit("0"))
 
 
 def last_token(c: Column, sep: str = "_") -> Column:

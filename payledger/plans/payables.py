@@ -246,10 +246,13 @@ def accounting_invoices_kpi(
 
 
 def _kpi(cond: Column, local: Column, doc: Column, target: Column, prefix: str) -> dict[str, Column]:
+    """Three currencies of one KPI. The amounts arrive already as NUMERIC (one
+    cast per row, shared by every KPI through subexpression elimination), so
+    each KPI is a plain choice between that value and a NUMERIC zero."""
     return {
-        f"{prefix}InLocalCurrency": F.when(cond, local).otherwise(zero(AMOUNT)).cast(NUMERIC),
-        f"{prefix}InDocumentCurrency": F.when(cond, doc).otherwise(zero(AMOUNT)).cast(NUMERIC),
-        f"{prefix}InTargetCurrency": F.when(cond, target).otherwise(zero()).cast(NUMERIC),
+        f"{prefix}InLocalCurrency": F.when(cond, local).otherwise(zero()),
+        f"{prefix}InDocumentCurrency": F.when(cond, doc).otherwise(zero()),
+        f"{prefix}InTargetCurrency": F.when(cond, target).otherwise(zero()),
     }
 
 
@@ -349,10 +352,11 @@ def measures(cfg: LedgerConfig) -> dict[str, Column]:
     due = F.col("NetDueDate")
     augdt = F.col("ClearingDate_AUGDT")
     is_open = augdt < F.lit(cfg.open_item_sentinel)
-    L = F.col("AmountInLocalCurrency_DMBTR").cast(AMOUNT)
-    D = F.col("AmountInDocumentCurrency_WRBTR").cast(AMOUNT)
+    L_amt = F.col("AmountInLocalCurrency_DMBTR").cast(AMOUNT)
+    D_amt = F.col("AmountInDocumentCurrency_WRBTR").cast(AMOUNT)
     rate = F.col("ExchangeRate_UKURS").cast(RATE)
-    T = (D * rate).cast(NUMERIC)
+    T = (D_amt * rate).cast(NUMERIC)
+    L, D = L_amt.cast(NUMERIC), D_amt.cast(NUMERIC)
     prefix2 = left(F.col("AccountingDocumentNumber_BELNR"), 2)
     bwart = F.col("MovementType__inventoryManagement___BWART")
     penalty = F.coalesce(_safe_int(F.col("__vc_low")), F.lit(0)).cast("decimal(9,0)")
@@ -388,8 +392,8 @@ def measures(cfg: LedgerConfig) -> dict[str, Column]:
     out.update(_kpi(vendor & due.between(today, F.date_add(today, cfg.upcoming_payment_days)) & is_open,
                     L, D, T, "UpcomingPayments"))
     out.update({
-        "PotentialPenaltyInLocalCurrency": (F.when(late, L).otherwise(zero(AMOUNT)) * penalty).cast(NUMERIC),
-        "PotentialPenaltyInDocumentCurrency": (F.when(late, D).otherwise(zero(AMOUNT)) * penalty).cast(NUMERIC),
+        "PotentialPenaltyInLocalCurrency": (F.when(late, L_amt).otherwise(zero(AMOUNT)) * penalty).cast(NUMERIC),
+        "PotentialPenaltyInDocumentCurrency": (F.when(late, D_amt).otherwise(zero(AMOUNT)) * penalty).cast(NUMERIC),
         "PotentialPenaltyInTargetCurrency": (
             F.when(late, T).otherwise(zero()).cast("decimal(28,9)") * penalty).cast(NUMERIC),
     })
@@ -397,10 +401,7 @@ def measures(cfg: LedgerConfig) -> dict[str, Column]:
     receipt = material & bwart.isin(*cfg.receipt_movements)
     reversal = material & bwart.isin(*cfg.reversal_movements)
     for suffix, v in (("Local", L), ("Document", D), ("Target", T)):
-        zero_t = zero(AMOUNT) if suffix != "Target" else zero()
-        out[f"PurchaseIn{suffix}Currency"] = (
-            F.when(receipt, v).otherwise(F.when(reversal, -v).otherwise(zero_t)).cast(NUMERIC)
-        )
+        out[f"PurchaseIn{suffix}Currency"] = F.when(receipt, v).when(reversal, -v).otherwise(zero())
     out.update(_kpi(F.col("AccountingDocumenttype_BLART").isin(*cfg.cash_discount_doc_types)
                     & (F.col("TransactionKey_KTOSL") == cfg.cash_discount_transaction_key), L, D, T,
                     "CashDiscountReceived"))

@@ -19,8 +19,9 @@ DOCUMENT_KEYS: dict[str, list[str]] = {
     "bkpf": ["mandt", "bukrs", "gjahr", "belnr"],
     "bseg": ["mandt", "bukrs", "gjahr", "belnr"],
     "rbkp": ["mandt", "belnr", "gjahr"],
-    "rseg": ["mandt", "belnr", "gjahr"],
-    "rbco": ["mandt", "belnr", "gjahr"],
+    # lines and assignments meet in a full outer join on the line key
+    "rseg": ["mandt", "belnr", "gjahr", "buzei"],
+    "rbco": ["mandt", "belnr", "gjahr", "buzei"],
 }
 
 

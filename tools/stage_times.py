@@ -64,14 +64,17 @@ def main(name: str, sf_dir: str, bucketed: bool) -> None:
                         nm = ""
                     if nm and nm not in scopes:
                         scopes.append(nm)
-                stages[info["Stage ID"]] = (dur, info["Number of Tasks"], ",".join(scopes)[:110],
-                                            acc.get("internal.metrics.shuffle.write.bytesWritten"))
+                stages[info["Stage ID"]] = (dur, info["Number of Tasks"], ",".join(scopes)[:100],
+                                            acc.get("internal.metrics.shuffle.write.bytesWritten"),
+                                            acc.get("internal.metrics.executorRunTime") or 0)
     measured = {j: v for j, v in jobs.items() if v[0] == "measure"}
     ids = {s for v in measured.values() for s in (v[3] or [])}
     print(f"jobs in measured group: {len(measured)}; "
           f"sum of job times {sum((v[2] or v[1]) - v[1] for v in measured.values()) / 1000:.2f}s")
-    for sid, (dur, n, nm, sw) in sorted(((s, stages[s]) for s in ids if s in stages), key=lambda x: -x[1][0])[:15]:
-        print(f"  stage {sid:4d} {dur / 1000:6.2f}s tasks={n:4d} shuffle_write={sw} {nm}")
+    total_cpu = sum(stages[s][4] for s in ids if s in stages)
+    print(f"executor run time, all measured stages: {total_cpu / 1000:.2f}s")
+    for sid, (dur, n, nm, sw, cpu) in sorted(((s, stages[s]) for s in ids if s in stages), key=lambda x: -x[1][4])[:15]:
+        print(f"  stage {sid:4d} wall {dur / 1000:6.2f}s run {cpu / 1000:6.2f}s tasks={n:4d} shuffle_write={sw} {nm}")
 
 
 if __name__ == "__main__":
