@@ -62,6 +62,9 @@ class LedgerConfig:
     broadcast_row_limit: int = 2_000_000
     # Write the invoice flow to the checkpoint folder before it is read twice.
     materialize_invoices: bool = False
+    # Write small dimensions (business days, fiscal periods, daily target rates,
+    # currency decimals) once to the checkpoint folder and use them as leaves.
+    materialize_dimensions: bool = True
     extra: dict = field(default_factory=dict)
 
     def today(self) -> Column:

@@ -73,3 +73,14 @@ def left_join_salted_nulls(
     joined = left_keyed.alias("l").join(right_keyed.alias("r"), reduce(lambda a, b: a & b, cond), "left")
     right_out = [F.col(f"r.{c}") for c in right.columns]
     return joined.select(*[F.col(f"l.{c}") for c in left.columns], *right_out)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small dimension once to the shared checkpoint folder and read it
+    back as a plan leaf: consumers no longer carry (and re-analyse) its whole
+    plan, and a lost executor does not recompute it. Needs
+    ``spark.checkpoint.dir`` (see ``payledger.session.checkpoint_dir``)."""
+    from payledger.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from payledger.config import LedgerConfig
+from payledger.operators.joins import materialize
 from payledger.plans import calendar, currency, documents, masterdata, payables
 
 
@@ -23,10 +24,13 @@ class LedgerModel:
         self.tables = tables
         self.cfg = cfg
 
+    def _dimension(self, df: DataFrame) -> DataFrame:
+        return materialize(df) if self.cfg.materialize_dimensions else df
+
     # helpers
     @cached_property
     def currency_decimal(self) -> DataFrame:
-        return currency.currency_decimal(self.tables)
+        return self._dimension(currency.currency_decimal(self.tables))
 
     @cached_property
     def currency_conversion(self) -> DataFrame:
@@ -42,7 +46,7 @@ class LedgerModel:
 
     @cached_property
     def business_days(self) -> DataFrame:
-        return calendar.business_day_table(self.tables, self.spark, self.cfg)
+        return self._dimension(calendar.business_day_table(self.tables, self.spark, self.cfg))
 
     # master data
     @cached_property
@@ -102,12 +106,12 @@ class LedgerModel:
         keys = payables.fiscal_keys_from_headers(self.tables, self.companies)
         return payables.accounting_invoices_kpi(
             self.accounting_invoices, self.companies, self.business_days, keys,
-            self.tables["t009"], self.tables["t009b"], self.cfg,
+            self.tables["t009"], self.tables["t009b"], self.cfg, prepare=self._dimension,
         )
 
     @cached_property
     def enriched_payables(self) -> DataFrame:
-        rates = currency.target_rates(self.currency_conversion_view, self.cfg)
+        rates = self._dimension(currency.target_rates(self.currency_conversion_view, self.cfg))
         return payables.enrich(
             self.accounting_invoices_kpi, self.vendors, self.vendor_config, self.purchase_history, rates, self.cfg
         )

@@ -197,7 +197,7 @@ def fiscal_keys_from_headers(tables: Mapping[str, DataFrame], companies: DataFra
 
 def accounting_invoices_kpi(
     ai: DataFrame, companies: DataFrame, bdays: DataFrame, fiscal_keys: DataFrame,
-    t009: DataFrame, t009b: DataFrame, cfg: LedgerConfig,
+    t009: DataFrame, t009b: DataFrame, cfg: LedgerConfig, prepare=lambda df: df,
 ) -> DataFrame:
     """Company name, fiscal period of the posting date and of the last day of
     the previous month, and the net due date moved to the next business day."""
@@ -220,7 +220,7 @@ def accounting_invoices_kpi(
         cfg.previous_month_end().alias("date"),
     )
     periods = broadcast_if_small(
-        fiscal_period_lookup(fiscal_keys.unionByName(key_keys).distinct(), t009, t009b).select(
+        prepare(fiscal_period_lookup(fiscal_keys.unionByName(key_keys), t009, t009b)).select(
             F.col("mandt").alias("__f_mandt"), F.col("periv").alias("__f_periv"),
             F.col("date").alias("__f_date"), F.col("fiscal_period").alias("__f_period"),
         ),
