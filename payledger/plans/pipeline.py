@@ -67,8 +67,12 @@ def upsert_table(spark: SparkSession, root: str, source: DataFrame, keys: list[s
     return version
 
 
-def deploy(spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConfig, out_root: str) -> dict[str, str]:
-    """Build and persist helper tables, register the views; returns output paths."""
+def deploy(spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConfig, out_root: str,
+           database: str | None = None) -> dict[str, str]:
+    """Build and persist helper tables, register the views; returns output paths.
+
+    With ``database`` the calendar is a catalog table created only when the
+    catalog does not have it yet (``spark.catalog.tableExists``)."""
     model = LedgerModel(spark, tables, cfg)
     out = {}
     conv_path = os.path.join(out_root, "currency_conversion")
@@ -80,9 +84,16 @@ def deploy(spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConf
     out["currency_decimal"] = dec_path
 
     cal_path = os.path.join(out_root, "calendar_date_dim")
-    if not _exists(spark, cal_path):  # create only when absent
-        calendar.calendar_date_dim(spark, cfg.calendar_start, cfg.calendar_end).write.parquet(cal_path)
-    out["calendar_date_dim"] = cal_path
+    if database is not None:
+        name = f"{database}.calendar_date_dim"
+        if not spark.catalog.tableExists(name):  # create only when absent
+            calendar.calendar_date_dim(spark, cfg.calendar_start, cfg.calendar_end).write.option(
+                "path", cal_path).saveAsTable(name)
+        out["calendar_date_dim"] = name
+    else:
+        if not _exists(spark, cal_path):  # create only when absent
+            calendar.calendar_date_dim(spark, cfg.calendar_start, cfg.calendar_end).write.parquet(cal_path)
+        out["calendar_date_dim"] = cal_path
 
     bd_root = os.path.join(out_root, "BusinessDays")
     upsert_table(spark, bd_root, model.business_days, ["date"])

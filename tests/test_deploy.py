@@ -48,3 +48,17 @@ def test_streaming_holiday_feed_dedupes_across_batches(spark):
     start_holiday_feed(spark, inbox, table, ckpt).awaitTermination()
     assert sorted(r.HolidayDate.isoformat() for r in spark.read.parquet(table).collect()) == [
         "2001-01-01", "2001-12-25", "2002-01-01"]
+
+
+def test_calendar_created_once_in_catalog_and_comments(spark, erp, cfg):
+    from payledger.operators.describe import comment_table_columns
+
+    out_root = tempfile.mkdtemp(prefix="deploy-db-")
+    spark.sql("CREATE DATABASE IF NOT EXISTS ledger_test")
+    out = deploy(spark, erp, cfg, out_root, database="ledger_test")
+    assert spark.catalog.tableExists(out["calendar_date_dim"])
+    deploy(spark, erp, cfg, out_root, database="ledger_test")  # second run keeps the table
+    missing = comment_table_columns(spark, out["calendar_date_dim"], [{"name": "Date", "description": "Day"}])
+    assert "CalYear" in missing and "Date" not in missing
+    comments = {c.name: c.description for c in spark.catalog.listColumns(out["calendar_date_dim"])}
+    assert comments["Date"] == "Day" and comments["CalYear"] == "CalYear"
