@@ -22,6 +22,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("PAYLEDGER_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local runs keep managed tables out of the working directory
+        .config("spark.sql.warehouse.dir", os.environ.get(
+            "PAYLEDGER_WAREHOUSE", os.path.join(tempfile.gettempdir(), "payledger-warehouse")))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
