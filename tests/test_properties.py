@@ -50,7 +50,9 @@ def test_left_joins_keep_every_vendor_line(spark, erp, cfg):
     m = LedgerModel(spark, erp, cfg)
     k_lines = m.accounting_documents.where("AccountType_KOART = 'K'").select(
         "AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI", "CompanyCode_BUKRS"
-    ).join(m.companies.select(F.col("CompanyCode_BUKRS")), "CompanyCode_BUKRS", "left_semi").distinct()
+    ).join(m.companies.select(F.col("CompanyCode_BUKRS")), "CompanyCode_BUKRS", "left_semi").select(
+        "AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI", "CompanyCode_BUKRS"
+    ).distinct()
     ap_lines = m.accounts_payable.where("InvStatus_RBSTAT IS NULL").select(
         "AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI", "CompanyCode_BUKRS"
     ).distinct()
