@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,23 +98,44 @@ class LedgerModel:
     # payables
     @cached_property
     def accounting_invoices(self) -> DataFrame:
+        self.prepare_dimensions()
         return payables.accounting_invoices(
             self.accounting_documents, self.invoices, self.business_days, self.cfg, parked_flow=self.parked_invoice_flow
         )
 
     @cached_property
-    def accounting_invoices_kpi(self) -> DataFrame:
+    def fiscal_periods(self) -> DataFrame:
         keys = payables.fiscal_keys_from_headers(self.tables, self.companies)
+        return self._dimension(payables.fiscal_period_dimension(
+            self.companies, keys, self.tables["t009"], self.tables["t009b"], self.cfg))
+
+    @cached_property
+    def target_rates(self) -> DataFrame:
+        return self._dimension(currency.target_rates(self.currency_conversion_view, self.cfg))
+
+    def prepare_dimensions(self) -> None:
+        """Materialise the small dimensions concurrently: they are independent
+        small jobs, and running them side by side keeps the cores busy."""
+        names = ["currency_decimal", "business_days", "fiscal_periods", "target_rates"]
+        todo = [n for n in names if n not in self.__dict__]
+        if not self.cfg.materialize_dimensions or len(todo) < 2:
+            return
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            for name, df in zip(todo, pool.map(lambda n: getattr(self, n), todo)):
+                self.__dict__.setdefault(name, df)
+
+    @cached_property
+    def accounting_invoices_kpi(self) -> DataFrame:
+        self.prepare_dimensions()
         return payables.accounting_invoices_kpi(
-            self.accounting_invoices, self.companies, self.business_days, keys,
-            self.tables["t009"], self.tables["t009b"], self.cfg, prepare=self._dimension,
+            self.accounting_invoices, self.companies, self.business_days, self.fiscal_periods, self.cfg,
         )
 
     @cached_property
     def enriched_payables(self) -> DataFrame:
-        rates = self._dimension(currency.target_rates(self.currency_conversion_view, self.cfg))
         return payables.enrich(
-            self.accounting_invoices_kpi, self.vendors, self.vendor_config, self.purchase_history, rates, self.cfg
+            self.accounting_invoices_kpi, self.vendors, self.vendor_config, self.purchase_history,
+            self.target_rates, self.cfg,
         )
 
     @cached_property

@@ -195,12 +195,24 @@ def fiscal_keys_from_headers(tables: Mapping[str, DataFrame], companies: DataFra
     ).distinct()
 
 
+def fiscal_period_dimension(
+    companies: DataFrame, fiscal_keys: DataFrame, t009: DataFrame, t009b: DataFrame, cfg: LedgerConfig,
+) -> DataFrame:
+    """One fiscal dimension for both lookups: the posting dates of the documents
+    and the key date (last day of the month before ``today``)."""
+    key_keys = companies.select(
+        F.col("Client_MANDT").alias("mandt"), F.col("FiscalyearVariant_PERIV").alias("periv"),
+        cfg.previous_month_end().alias("date"),
+    )
+    return fiscal_period_lookup(fiscal_keys.unionByName(key_keys), t009, t009b)
+
+
 def accounting_invoices_kpi(
-    ai: DataFrame, companies: DataFrame, bdays: DataFrame, fiscal_keys: DataFrame,
-    t009: DataFrame, t009b: DataFrame, cfg: LedgerConfig, prepare=lambda df: df,
+    ai: DataFrame, companies: DataFrame, bdays: DataFrame, fiscal_dim: DataFrame, cfg: LedgerConfig,
 ) -> DataFrame:
     """Company name, fiscal period of the posting date and of the last day of
-    the previous month, and the net due date moved to the next business day."""
+    the previous month, and the net due date moved to the next business day.
+    ``fiscal_dim`` comes from ``fiscal_period_dimension``."""
     comp = broadcast_if_small(
         companies.select(
             F.col("Client_MANDT").alias("__c_mandt"), F.col("CompanyCode_BUKRS").alias("__c_bukrs"),
@@ -213,14 +225,8 @@ def accounting_invoices_kpi(
         "inner",
     ).drop("__c_mandt", "__c_bukrs")
 
-    # One fiscal dimension answers both lookups: the posting dates of the
-    # documents and the key date (last day of the previous month).
-    key_keys = companies.select(
-        F.col("Client_MANDT").alias("mandt"), F.col("FiscalyearVariant_PERIV").alias("periv"),
-        cfg.previous_month_end().alias("date"),
-    )
     periods = broadcast_if_small(
-        prepare(fiscal_period_lookup(fiscal_keys.unionByName(key_keys), t009, t009b)).select(
+        fiscal_dim.select(
             F.col("mandt").alias("__f_mandt"), F.col("periv").alias("__f_periv"),
             F.col("date").alias("__f_date"), F.col("fiscal_period").alias("__f_period"),
         ),
