@@ -361,8 +361,9 @@ def measures(cfg: LedgerConfig) -> dict[str, Column]:
     L_amt = F.col("AmountInLocalCurrency_DMBTR").cast(AMOUNT)
     D_amt = F.col("AmountInDocumentCurrency_WRBTR").cast(AMOUNT)
     rate = F.col("ExchangeRate_UKURS").cast(RATE)
-    T = (D_amt * rate).cast(NUMERIC)
-    L, D = L_amt.cast(NUMERIC), D_amt.cast(NUMERIC)
+    # computed once per row by ``measure_inputs`` (CASE branches are not
+    # shared by subexpression elimination, so they are plain columns here)
+    T, L, D = F.col("__T"), F.col("__L"), F.col("__D")
     prefix2 = left(F.col("AccountingDocumentNumber_BELNR"), 2)
     bwart = F.col("MovementType__inventoryManagement___BWART")
     penalty = F.coalesce(_safe_int(F.col("__vc_low")), F.lit(0)).cast("decimal(9,0)")
@@ -440,8 +441,18 @@ def _safe_int(c: Column) -> Column:
     return F.when(trimmed.rlike(r"^[+-]?[0-9]+$"), trimmed.try_cast("bigint"))
 
 
+def measure_inputs() -> dict[str, Column]:
+    """Row values the KPI families share: the three amounts as NUMERIC."""
+    d_amt = F.col("AmountInDocumentCurrency_WRBTR").cast(AMOUNT)
+    return {
+        "__L": F.col("AmountInLocalCurrency_DMBTR").cast(AMOUNT).cast(NUMERIC),
+        "__D": d_amt.cast(NUMERIC),
+        "__T": (d_amt * F.col("ExchangeRate_UKURS").cast(RATE)).cast(NUMERIC),
+    }
+
+
 def accounts_payable(enriched: DataFrame, cfg: LedgerConfig) -> DataFrame:
-    out = enriched.withColumns(measures(cfg))
+    out = enriched.withColumns(measure_inputs()).withColumns(measures(cfg))
     casts = {
         "AmountInLocalCurrency_DMBTR": NUMERIC,
         "AmountInDocumentCurrency_WRBTR": NUMERIC,

@@ -11,7 +11,7 @@ from conftest import d
 from payledger.config import LedgerConfig
 from payledger.operators.joins import broadcast_if_small, is_small, left_join_salted_nulls
 from payledger.operators.ranking import keep_first_rank
-from payledger.plans.payables import measures
+from payledger.plans.payables import measure_inputs, measures
 
 CFG = LedgerConfig(as_of=dt.date(2001, 6, 30))
 
@@ -45,7 +45,7 @@ def _row(**kw):
 def _eval(spark, rows):
     names = [f.split(" ")[0] for f in ROW_SCHEMA.split(", ")]
     df = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], ROW_SCHEMA)
-    return df.withColumns(measures(CFG)).collect()
+    return df.withColumns(measure_inputs()).withColumns(measures(CFG)).collect()
 
 
 def test_overdue_needs_sentinel_clearing_date(spark):
