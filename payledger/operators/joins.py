@@ -51,28 +51,28 @@ def left_join_salted_nulls(
     """Left join on ``left_expr == right[right_col]`` for every pair.
 
     A NULL key can never match, but a shuffle join still sends every such
-    row to the one partition that NULL hashes to. Those rows get a salt in
-    ``1..buckets`` (a hash of ``salt_from``, so retries are deterministic)
-    while the right side carries salt 0: NULL-key rows spread evenly, match
-    nothing, and keep every left row. Non-NULL keys join as usual.
+    row to the one partition NULL hashes to. Here a left row with a NULL key
+    gets, in place of its first key, a marker plus a hash of ``salt_from``
+    (deterministic, so retries agree): those rows spread over ``buckets``
+    shuffle keys. A left-only residual ``NOT null_key`` keeps them from
+    matching anything, so every left row is kept and none gains a partner.
+    The salt lives in the key itself: a separate constant salt column on the
+    right would be folded away by the optimizer. The first key is compared as
+    a string (the keys of this library are strings; casting is a no-op).
     """
-    salt = "__salt"
     any_null = reduce(lambda a, b: a | b, [expr.isNull() for expr, _ in pairs])
+    salt = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets)).cast("string"))
     key_names = [f"__k{i}" for i in range(len(pairs))]
-    left_keyed = left.withColumns(
-        {
-            **{name: expr for name, (expr, _) in zip(key_names, pairs)},
-            salt: F.when(
-                any_null, F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets)) + 1
-            ).otherwise(F.lit(0)).cast("int"),
-        }
-    )
-    right_keyed = right.withColumn(salt, F.lit(0))
-    cond = [F.col(f"l.{name}") == F.col(f"r.{rc}") for name, (_, rc) in zip(key_names, pairs)]
-    cond.append(F.col(f"l.{salt}") == F.col(f"r.{salt}"))
-    joined = left_keyed.alias("l").join(right_keyed.alias("r"), reduce(lambda a, b: a & b, cond), "left")
-    right_out = [F.col(f"r.{c}") for c in right.columns]
-    return joined.select(*[F.col(f"l.{c}") for c in left.columns], *right_out)
+    first_expr, first_rc = pairs[0]
+    keys = {key_names[0]: F.when(any_null, salt).otherwise(first_expr.cast("string"))}
+    keys.update({name: expr for name, (expr, _) in zip(key_names[1:], pairs[1:])})
+    left_keyed = left.withColumns({**keys, "__null_key": any_null})
+    cond = F.col(f"l.{key_names[0]}") == F.col(f"r.{first_rc}").cast("string")
+    for name, (_, rc) in zip(key_names[1:], pairs[1:]):
+        cond = cond & (F.col(f"l.{name}") == F.col(f"r.{rc}"))
+    cond = cond & ~F.col("l.__null_key")
+    joined = left_keyed.alias("l").join(right.alias("r"), cond, "left")
+    return joined.select(*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in right.columns])
 
 
 def materialize(df: DataFrame) -> DataFrame:

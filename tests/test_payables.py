@@ -112,3 +112,26 @@ def test_size_checked_broadcast(spark):
     with contextlib.redirect_stdout(buf):
         spark.range(1000).join(broadcast_if_small(small, 100), "id").explain()
     assert "BroadcastHashJoin" in buf.getvalue()
+
+
+def test_null_key_rows_spread_over_partitions(spark):
+    """A plain shuffle join sends every NULL-key row to one partition; the
+    salted join spreads them (and still matches nothing for them)."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(4000).select(
+            F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).alias("k"), F.col("id").alias("doc"))
+        right = spark.range(0, 4000, 10).select(F.col("id").cast("string").alias("rk"), F.lit("x").alias("v"))
+        salted = left_join_salted_nulls(left, right, [(F.col("k"), "rk")], ["doc"])
+        plain = left.join(right, F.col("k") == F.col("rk"), "left")
+
+        def null_parts(df):
+            return df.where("k IS NULL").select(F.spark_partition_id().alias("p")).distinct().count()
+
+        assert null_parts(plain) == 1
+        assert null_parts(salted) > 1
+        assert salted.count() == 4000 and salted.where("v IS NOT NULL").count() == 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
