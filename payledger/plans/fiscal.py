@@ -8,7 +8,6 @@ solved once as a small frame and joined back to the documents.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,9 +65,3 @@ def fiscal_period_lookup(keys: DataFrame, t009: DataFrame, t009b: DataFrame, lim
     return k.join(b, cond, "left").groupBy(
         F.col("k.mandt").alias("mandt"), F.col("k.periv").alias("periv"), d.alias("date"), case.alias("fiscal_case")
     ).agg(F.min(label).alias("fiscal_period"))
-
-
-def fiscal_periods_of_dates(
-    tables: Mapping[str, DataFrame], keys: DataFrame
-) -> DataFrame:
-    return fiscal_period_lookup(keys.distinct(), tables["t009"], tables["t009b"])

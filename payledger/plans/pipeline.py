@@ -113,10 +113,3 @@ def read_business_days(spark: SparkSession, root: str) -> DataFrame:
     if current is None:
         raise FileNotFoundError(f"no business-day table under {root}")
     return current.select("date", "is_business_day", "previous_business_day", "next_business_day")
-
-
-def rate_partition_count(spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(path).select("conv_year").distinct().count()
-
-
-__all__ = ["VIEW_NAMES", "deploy", "latest_version", "read_business_days", "upsert_table", "F"]
