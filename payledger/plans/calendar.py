@@ -192,9 +192,9 @@ def _with_prior_max(df: DataFrame, date_col: str, value: Column, out: str) -> Da
         "__y",
         F.max("__ymax").over(Window.orderBy("__y").rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"),
     )
-    # one row per year: a tiny side, broadcast
+    # one row per calendar year present: at most 9,999 rows whatever the data
     return (
-        keyed.join(F.broadcast(carry), "__y", "left")
+        keyed.join(bounded_broadcast(carry, 9999, 2_000_000), "__y", "left")
         .withColumn(out, F.coalesce(within, F.col("__carry")))
         .drop("__y", "__v", "__carry")
     )

@@ -43,7 +43,7 @@ def fiscal_period_lookup(keys: DataFrame, t009: DataFrame, t009b: DataFrame, lim
     picks the period (CASE1 needs no row and is computed from the date). Keys
     with no period come out with a NULL period.
     """
-    cases = F.broadcast(variant_cases(t009))
+    cases = broadcast_if_small(variant_cases(t009), limit)
     k = keys.join(cases, ["mandt", "periv"], "left").alias("k")
     # few variants means few join keys: broadcasting the (checked) period table
     # keeps all dates of one variant from landing in a single shuffle task

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from payledger.operators.joins import broadcast_if_small
+
 # The derivations of FIXTURES.md, one (field, expression) per column.
 _COMPANY = "concat('10', lpad(cast(o_custkey % 5 as string), 2, '0'))"
 _DOC_PREFIX = (
@@ -384,7 +386,7 @@ def _year_months(order_years: DataFrame, months: DataFrame) -> DataFrame:
     (tiny) nation keys keeps the ones the fixture defines. No cross join.
     """
     candidates = order_years.select("y", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m"))
-    return candidates.join(F.broadcast(months), "m", "left_semi")
+    return candidates.join(broadcast_if_small(months, 1000), "m", "left_semi")
 
 
 def fixture_ctes(names: list[str] | tuple[str, ...] | None = None) -> str:
