@@ -233,15 +233,27 @@ def accounting_invoices_kpi(
         cfg.broadcast_row_limit,
     )
 
-    def fiscal(frame: DataFrame, date: Column, out: str) -> DataFrame:
-        p = periods.alias(f"p_{out}")
-        cond = (F.col("Client_MANDT") == F.col(f"p_{out}.__f_mandt")) & (F.col("__periv") == F.col(f"p_{out}.__f_periv")) \
-            & (date == F.col(f"p_{out}.__f_date"))
-        return frame.join(p, cond, "left").select(*[F.col(f"`{c}`") for c in frame.columns],
-                                                  F.col(f"p_{out}.__f_period").alias(out))
-
-    df = fiscal(df, F.col("PostingDateInTheDocument_BUDAT"), "DocFiscPeriod")
-    df = fiscal(df, cfg.previous_month_end(), "KeyFiscPeriod").drop("__periv")
+    doc = periods.alias("p_doc")
+    df = df.join(
+        doc,
+        (F.col("Client_MANDT") == F.col("p_doc.__f_mandt")) & (F.col("__periv") == F.col("p_doc.__f_periv"))
+        & (F.col("PostingDateInTheDocument_BUDAT") == F.col("p_doc.__f_date")),
+        "left",
+    ).select(*[F.col(f"`{c}`") for c in df.columns], F.col("p_doc.__f_period").alias("DocFiscPeriod"))
+
+    # The key period depends on (client, variant) only: a frame with one row
+    # per variant, joined on those two keys (never on the constant date, which
+    # would send every row to one task if the join were not broadcast).
+    key = broadcast_if_small(
+        periods.where(F.col("__f_date") == cfg.previous_month_end()).select(
+            F.col("__f_mandt").alias("__kf_mandt"), F.col("__f_periv").alias("__kf_periv"),
+            F.col("__f_period").alias("KeyFiscPeriod"),
+        ),
+        cfg.broadcast_row_limit,
+    )
+    df = df.join(
+        key, (F.col("Client_MANDT") == F.col("__kf_mandt")) & (F.col("__periv") == F.col("__kf_periv")), "left"
+    ).drop("__kf_mandt", "__kf_periv", "__periv")
 
     vendor_line = F.col("AccountType_KOART") == cfg.vendor_account_type
     base = F.when(vendor_line & F.col("BaselineDateForDueDateCalculation_ZFBDT").isNull(),
@@ -335,19 +347,16 @@ def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: D
          (F.col("ObjectKey_AWKEY"), "__p_awkey")],
         salt,
     )
-    rt = broadcast_if_small(
-        rates.select(
-            F.col("Client_MANDT").alias("__r_mandt"), F.col("FromCurrency_FCURR").alias("__r_fcurr"),
-            F.col("ConvDate").alias("__r_date"), F.col("ExchangeRate_UKURS").cast(RATE).alias("ExchangeRate_UKURS"),
-            F.col("ToCurrency_TCURR").alias("TargetCurrency_TCURR"),
-        ),
-        cfg.broadcast_row_limit,
+    rt = rates.select(
+        F.col("Client_MANDT").alias("__r_mandt"), F.col("FromCurrency_FCURR").alias("__r_fcurr"),
+        F.col("ConvDate").alias("__r_date"), F.col("ExchangeRate_UKURS").cast(RATE).alias("ExchangeRate_UKURS"),
+        F.col("ToCurrency_TCURR").alias("TargetCurrency_TCURR"),
     )
-    return df.join(
-        rt,
-        (F.col("Client_MANDT") == F.col("__r_mandt")) & (F.col("CurrencyKey_WAERS") == F.col("__r_fcurr"))
-        & (F.col("PreviousBusinessDay_BUDAT") == F.col("__r_date")),
-        "left",
+    return lookup_left_join(
+        df, rt,
+        [(F.col("Client_MANDT"), "__r_mandt"), (F.col("CurrencyKey_WAERS"), "__r_fcurr"),
+         (F.col("PreviousBusinessDay_BUDAT"), "__r_date")],
+        salt, cfg.broadcast_row_limit,
     )
 
 
