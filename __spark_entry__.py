@@ -41,8 +41,16 @@ def for_oracle(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
+_MODELS: dict[tuple[int, str], LedgerModel] = {}
+
+
 def _model(spark: SparkSession, sf_dir: str) -> LedgerModel:
-    return LedgerModel(spark, erp_tables(spark, sf_dir), CFG)
+    """One model per Spark context and data folder: the queries share its
+    lazily built datasets and its materialised dimensions."""
+    key = (id(spark.sparkContext), sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = LedgerModel(spark, erp_tables(spark, sf_dir), CFG)
+    return _MODELS[key]
 
 
 def entry(spark: SparkSession) -> DataFrame:
