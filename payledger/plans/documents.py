@@ -13,7 +13,7 @@ from payledger.functions.amounts import scale_amount, scale_amount_sql, sign_fli
 from payledger.functions.dates import cash_discount_date_1, cash_discount_date_2, net_due_date
 from payledger.operators.joins import broadcast_if_small, left_join_salted_nulls
 from payledger.plans.calendar import add_calendar_attributes, day_count
-from payledger.plans.masterdata import pick, pick_sql
+from payledger.plans.masterdata import pick, pick_sql, unmapped_sql
 from payledger.types import AMOUNT, RAW_AMOUNT, zero
 
 CAL = ("CalYear", "CalMonth", "CalWeek", "CalQuarter")
@@ -330,9 +330,11 @@ DOC_KEYS = ["MANDT", "BUKRS", "GJAHR", "BELNR"]
 def accounting_documents(
     tables: Mapping[str, DataFrame], decimals: DataFrame, calendar: DataFrame, cfg: LedgerConfig,
     amount_roles: Sequence[str] = ("doc", "local", "local2", "local3", "gl", "none"),
+    passthrough: bool = False,
 ) -> DataFrame:
     """Accounting line items (BSEG) INNER JOIN headers (BKPF), amounts signed
-    by debit/credit and fixed per currency role, plus receivable measures."""
+    by debit/credit and fixed per currency role, plus receivable measures.
+    ``passthrough`` also carries every other BSEG / BKPF field under its code."""
     bseg, bkpf = tables["bseg"], tables["bkpf"]
     flips = [code for code, _, _ in LINE_AMOUNTS]
     b = sign_flip_columns(bseg, flips).alias("b")
@@ -355,6 +357,13 @@ def accounting_documents(
         role: (head(ROLE_CURRENCY[role][2:]) if ROLE_CURRENCY[role].startswith("h.") else line(ROLE_CURRENCY[role][2:]))
         for role in ROLE_CURRENCY if role in amount_roles or role == "local"
     }
+    if passthrough:
+        named = [t for _, t in HEADER_NAMES + LINE_NAMES]
+        amount_codes = [code for code, _, _ in LINE_AMOUNTS]
+        extra = unmapped_sql(bseg, [s for s, _ in LINE_NAMES] + amount_codes + DOC_KEYS, named, "b")
+        extra += unmapped_sql(bkpf, [s for s, _ in HEADER_NAMES], named + [e.rsplit(" AS ", 1)[1].strip("`")
+                                                                         for e in extra], "h")
+        cols += extra
     df = df.selectExpr(*cols, *[f"{src} AS `__cur_{role}`" for role, src in currencies.items()])
 
     for role in currencies:

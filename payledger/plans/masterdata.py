@@ -45,6 +45,20 @@ def rename_sql(df: DataFrame, mapping: Rename, prefix: str | None = None,
     return [f"{pick_sql(df, s, types.get(s.lower(), StringType()), prefix)} AS `{t}`" for s, t in mapping]
 
 
+def unmapped_sql(df: DataFrame, mapped: Sequence[str], taken: Sequence[str], prefix: str | None = None) -> list[str]:
+    """Pass-through rule for source fields without a business name: each one
+    keeps its field code, upper-cased, unless that name is already produced."""
+    skip = {m.lower() for m in mapped}
+    used = {t.lower() for t in taken}
+    out = []
+    for c in df.columns:
+        if c.lower() in skip or c.upper().lower() in used:
+            continue
+        used.add(c.lower())
+        out.append(f"`{prefix}`.`{c}` AS `{c.upper()}`" if prefix else f"`{c}` AS `{c.upper()}`")
+    return out
+
+
 def rename(df: DataFrame, mapping: Rename, prefix: str | None = None, types: Mapping[str, DataType] | None = None) -> list[Column]:
     return [F.expr(e) for e in rename_sql(df, mapping, prefix, types)]
 
@@ -118,9 +132,14 @@ VENDOR_CONFIG_NAMES: Rename = [
 _DATE_FIELDS = {"date_from": DateType(), "date_to": DateType()}
 
 
-def companies_md(tables: Mapping[str, DataFrame], extra_columns: Rename = ()) -> DataFrame:
+def companies_md(tables: Mapping[str, DataFrame], extra_columns: Rename = (), passthrough: bool = False) -> DataFrame:
+    """Company codes. ``passthrough`` also carries every unnamed T001 field."""
     t001 = tables["t001"]
-    return t001.select(*rename(t001, list(COMPANY_NAMES) + list(extra_columns)))
+    names = list(COMPANY_NAMES) + list(extra_columns)
+    cols = rename_sql(t001, names)
+    if passthrough:
+        cols += unmapped_sql(t001, [s for s, _ in names], [t for _, t in names])
+    return t001.selectExpr(*cols)
 
 
 def vendor_config(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -129,7 +148,7 @@ def vendor_config(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def customers_md(tables: Mapping[str, DataFrame], cfg: LedgerConfig, extra_columns: Rename = (),
-                 ordered: bool = False) -> DataFrame:
+                 ordered: bool = False, passthrough: bool = False) -> DataFrame:
     """Customers with their current address (validity ending on the open date).
 
     The validity test filters the address side *before* the outer join, so a
@@ -148,11 +167,16 @@ def customers_md(tables: Mapping[str, DataFrame], cfg: LedgerConfig, extra_colum
     cols.insert(6, F.coalesce(pick(tables["kna1"], "pstlz", prefix="c"), F.col("a.post_code1")).alias("PostalCode_PSTLZ"))
     cols.insert(7, F.coalesce(pick(tables["kna1"], "regio", prefix="c"), F.col("a.region")).alias("CustomerRegion_REGIO"))
     cols += rename(tables["adrc"], CUSTOMER_ADDRESS_NAMES, "a", _DATE_FIELDS)
+    if passthrough:
+        names = list(CUSTOMER_NAMES) + list(extra_columns)
+        taken = [t for _, t in names] + ["PostalCode_PSTLZ", "CustomerRegion_REGIO"] + \
+            [t for _, t in CUSTOMER_ADDRESS_NAMES]
+        cols += [F.expr(e) for e in unmapped_sql(tables["kna1"], [s for s, _ in names] + ["pstlz", "regio"], taken, "c")]
     out = joined.select(*cols)
     return out.orderBy("Client_MANDT") if ordered else out
 
 
-def vendors_md(tables: Mapping[str, DataFrame], extra_columns: Rename = ()) -> DataFrame:
+def vendors_md(tables: Mapping[str, DataFrame], extra_columns: Rename = (), passthrough: bool = False) -> DataFrame:
     """Vendors joined with *all* their address rows (one row per validity period).
 
     An inner join: a vendor without an address row is not in the result.
@@ -164,4 +188,8 @@ def vendors_md(tables: Mapping[str, DataFrame], extra_columns: Rename = ()) -> D
     )
     cols = rename(tables["lfa1"], list(VENDOR_NAMES) + list(extra_columns), "v")
     cols += rename(tables["adrc"], VENDOR_ADDRESS_NAMES, "a", _DATE_FIELDS)
+    if passthrough:
+        names = list(VENDOR_NAMES) + list(extra_columns)
+        taken = [t for _, t in names] + [t for _, t in VENDOR_ADDRESS_NAMES]
+        cols += [F.expr(e) for e in unmapped_sql(tables["lfa1"], [s for s, _ in names], taken, "v")]
     return joined.select(*cols)

@@ -62,3 +62,21 @@ def test_calendar_created_once_in_catalog_and_comments(spark, erp, cfg):
     assert "CalYear" in missing and "Date" not in missing
     comments = {c.name: c.description for c in spark.catalog.listColumns(out["calendar_date_dim"])}
     assert comments["Date"] == "Day" and comments["CalYear"] == "CalYear"
+
+
+def test_passthrough_keeps_unnamed_fields(spark, erp, cfg):
+    from payledger.plans.currency import currency_decimal
+    from payledger.plans.documents import accounting_documents
+    from payledger.plans.masterdata import companies_md, customers_md, vendors_md
+
+    assert "ZZ" not in companies_md(erp, passthrough=True).columns
+    vend = vendors_md(erp, passthrough=True).columns
+    assert len(vend) == len(set(c.lower() for c in vend))
+    cust = customers_md(erp, cfg, passthrough=True)
+    assert cust.count() == customers_md(erp, cfg).count()
+    # a replicated field without a business name keeps its code
+    tables = dict(erp, bseg=erp["bseg"].withColumn("xblnr", F.lit("REF")))
+    ad = accounting_documents(tables, currency_decimal(erp), None, cfg, passthrough=True)
+    assert "XBLNR" in ad.columns and "XBLNR" not in accounting_documents(tables, currency_decimal(erp), None, cfg).columns
+    assert len(ad.columns) == len({c.lower() for c in ad.columns})
+    assert ad.where("XBLNR = 'REF'").count() == erp["bseg"].count()
