@@ -81,3 +81,24 @@ def test_holiday_csv_roundtrip_dedupes(spark):
     write_holiday_csv(df, folder)  # loads append
     loaded, count = load_holiday_csv(spark, folder)
     assert count == 2 and os.path.isdir(folder)
+
+
+def test_bucketed_staging_removes_header_line_shuffle(spark, erp, cfg):
+    from payledger.sources.erp import stage_tables
+    from payledger.sources.fixtures import ERP_TABLES
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS ledger_plan_test")
+    res = stage_tables(erp, tempfile.mkdtemp(prefix="erp-"), buckets=4, database="ledger_plan_test")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = LedgerModel(spark, res.tables(spark, ERP_TABLES), cfg)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            m.accounting_documents.select("AccountingDocumentNumber_BELNR", "AmountInLocalCurrency_DMBTR").explain()
+        plan = buf.getvalue()
+        assert "SortMergeJoin" in plan
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert not any("belnr" in line for line in exchanges), exchanges
+        assert "PushedFilters" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
