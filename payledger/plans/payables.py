@@ -264,9 +264,9 @@ def accounting_invoices_kpi(
 
 
 def _kpi(cond: Column, local: Column, doc: Column, target: Column, prefix: str) -> dict[str, Column]:
-    """Three currencies of one KPI. The amounts arrive already as NUMERIC (one
-    cast per row, shared by every KPI through subexpression elimination), so
-    each KPI is a plain choice between that value and a NUMERIC zero."""
+    """Three currencies of one KPI. The amounts arrive as NUMERIC columns
+    computed once per row (``measure_inputs``), so each KPI is a plain choice
+    between that value and a NUMERIC zero."""
     return {
         f"{prefix}InLocalCurrency": F.when(cond, local).otherwise(zero()),
         f"{prefix}InDocumentCurrency": F.when(cond, doc).otherwise(zero()),
