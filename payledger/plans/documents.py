@@ -107,7 +107,8 @@ def _t(field: str):
     return _TYPES.get(field, StringType())
 
 
-def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = None) -> DataFrame:
+def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = None,
+                  passthrough: bool = False) -> DataFrame:
     """Invoice lines (RSEG) FULL OUTER JOIN account assignments (RBCO), with
     debit/credit applied to their amounts and shared fields merged.
 
@@ -129,12 +130,21 @@ def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = N
     ]
     cols += [pick(rseg, f, _t(f), "s").alias(f) for f in RSEG_ONLY]
     cols += [pick(rbco, f, _t(f), "c").alias(f) for f in RBCO_ONLY]
+    if passthrough:
+        # every other replicated field, under its upper-case code; a field of
+        # both tables takes the line (RSEG) value first, like the merged keys
+        known = {f.lower() for f in LINE_KEYS + MERGED_LINE_FIELDS + RSEG_ONLY + RBCO_ONLY}
+        s_cols = {c.lower(): c for c in rseg.columns if c.lower() not in known}
+        c_cols = {c.lower(): c for c in rbco.columns if c.lower() not in known}
+        for f in sorted(set(s_cols) | set(c_cols)):
+            parts = ([F.col(f"s.`{s_cols[f]}`")] if f in s_cols else []) + ([F.col(f"c.`{c_cols[f]}`")] if f in c_cols else [])
+            cols.append((F.coalesce(*parts) if len(parts) > 1 else parts[0]).alias(f"__pt_{f.upper()}"))
     return joined.select(*cols)
 
 
 def invoice_documents_flow(
     tables: Mapping[str, DataFrame], decimals: DataFrame, calendar: DataFrame | None, cfg: LedgerConfig,
-    header_filter: Column | None = None,
+    header_filter: Column | None = None, passthrough: bool = False,
 ) -> DataFrame:
     """Supplier invoices at line level: merged lines INNER JOIN headers (RBKP),
     WBS element, document-currency decimal fix and calendar attributes.
@@ -145,9 +155,9 @@ def invoice_documents_flow(
     rbkp = tables["rbkp"]
     if header_filter is not None:
         rbkp = rbkp.where(header_filter)
-        lines = invoice_lines(tables, rbkp).alias("l")
+        lines = invoice_lines(tables, rbkp, passthrough).alias("l")
     else:
-        lines = invoice_lines(tables).alias("l")
+        lines = invoice_lines(tables, passthrough=passthrough).alias("l")
     hdr = rbkp.alias("h")
     df = lines.join(hdr, [F.col(f"l.{k}") == F.col(f"h.{k}") for k in ("mandt", "belnr", "gjahr")], "inner")
     df = df.select(
@@ -155,6 +165,7 @@ def invoice_documents_flow(
         F.coalesce(pick(rbkp, "bukrs", prefix="h"), F.col("l.bukrs")).alias("CompanyCode_BUKRS"),
         F.coalesce(pick(rbkp, "gsber", prefix="h"), F.col("l.gsber")).alias("BusinessArea_GSBER"),
         *[F.col(f"l.{f}").alias(f"__amt_{f}") for f, _ in INVOICE_SCALED],
+        *_invoice_passthrough(lines, rbkp, passthrough),
     )
     prps = tables["prps"].select(F.col("pspnr").alias("__pspnr"), F.col("posid").alias("WbsElement_POSID"))
     df = lookup_left_join(
@@ -168,6 +179,23 @@ def invoice_documents_flow(
     return df.drop("__fix", *[f"__amt_{f}" for f, _ in INVOICE_SCALED])
 
 
+def _invoice_passthrough(lines: DataFrame, rbkp: DataFrame, on: bool) -> list[Column]:
+    """Unnamed header fields (upper-case code) and the lines' pass-through fields."""
+    if not on:
+        return []
+    named = {s[2:].lower() for s, _ in INVOICE_NAMES if s.startswith("h.")} | {"bukrs", "gsber"}
+    taken = {t.lower() for _, t in INVOICE_NAMES}
+    out, seen = [], set()
+    for c in lines.columns:
+        if c.startswith("__pt_"):
+            seen.add(c[5:].lower())
+            out.append(F.col(f"l.`{c}`").alias(c[5:]))
+    for c in rbkp.columns:
+        if c.lower() not in named and c.lower() not in seen and c.upper().lower() not in taken:
+            out.append(F.col(f"h.`{c}`").alias(c.upper()))
+    return out
+
+
 # -------------------------------------------------------- purchase history
 
 # Business names of the purchase-order history fields kept.

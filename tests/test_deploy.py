@@ -80,3 +80,18 @@ def test_passthrough_keeps_unnamed_fields(spark, erp, cfg):
     assert "XBLNR" in ad.columns and "XBLNR" not in accounting_documents(tables, currency_decimal(erp), None, cfg).columns
     assert len(ad.columns) == len({c.lower() for c in ad.columns})
     assert ad.where("XBLNR = 'REF'").count() == erp["bseg"].count()
+
+
+def test_invoice_passthrough(spark, erp, cfg):
+    from payledger.plans.currency import currency_decimal
+    from payledger.plans.documents import invoice_documents_flow
+
+    tables = dict(erp, rseg=erp["rseg"].withColumn("matnr", F.lit("M1")),
+                  rbco=erp["rbco"].withColumn("matnr", F.lit("M2")).withColumn("kostl", F.lit("CC")),
+                  rbkp=erp["rbkp"].withColumn("usnam", F.lit("USER")))
+    flow = invoice_documents_flow(tables, currency_decimal(erp), None, cfg, passthrough=True)
+    base = invoice_documents_flow(tables, currency_decimal(erp), None, cfg)
+    assert {"MATNR", "KOSTL", "USNAM"} <= set(flow.columns) and "MATNR" not in base.columns
+    assert flow.count() == base.count()
+    # a field of both tables takes the line value where the line exists
+    assert flow.where("MATNR = 'M2'").count() == flow.where("InvoiceAmountinDocumentCurrencyofSupplierInvoice_RBWWR IS NULL").count()
