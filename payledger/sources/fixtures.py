@@ -298,14 +298,20 @@ def spread_input(df: DataFrame, key: str, parallelism: int) -> DataFrame:
     enough splits (the normal case for large tables) are left untouched; a
     small input is hash-partitioned by its key (deterministic on retry).
     """
-    if df.rdd.getNumPartitions() >= parallelism:
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(parallelism, key)
+    return df if splits >= parallelism else df.repartition(parallelism, key)
 
 
 def erp_tables(spark: SparkSession, sf_dir: str, parallelism: int | None = None) -> dict[str, DataFrame]:
     """Derive the ERP-shaped tables from the parquet files in ``sf_dir``."""
-    parallelism = parallelism or spark.sparkContext.defaultParallelism
+    if parallelism is None:
+        try:
+            parallelism = spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
+            parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     raw = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in RAW_TABLES}
     for t, key in _SPREAD_KEYS.items():
         raw[t] = spread_input(raw[t], key, parallelism)
