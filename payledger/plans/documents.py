@@ -108,7 +108,7 @@ def _t(field: str):
 
 
 def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = None,
-                  passthrough: bool = False) -> DataFrame:
+                  passthrough: bool = False, limit: int = 2_000_000) -> DataFrame:
     """Invoice lines (RSEG) FULL OUTER JOIN account assignments (RBCO), with
     debit/credit applied to their amounts and shared fields merged.
 
@@ -119,7 +119,8 @@ def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = N
     rseg = sign_flip_columns(tables["rseg"], ["wrbtr", "bnkan"])
     rbco = sign_flip_columns(tables["rbco"], ["wrbtr", "bnkan_fw"])
     if headers is not None:
-        keys = headers.select("mandt", "belnr", "gjahr").distinct()
+        # usually few (parked invoices): broadcast after a size check
+        keys = broadcast_if_small(headers.select("mandt", "belnr", "gjahr").distinct(), limit)
         rseg = rseg.join(keys, ["mandt", "belnr", "gjahr"], "left_semi")
         rbco = rbco.join(keys, ["mandt", "belnr", "gjahr"], "left_semi")
     s, c = rseg.alias("s"), rbco.alias("c")
@@ -155,7 +156,7 @@ def invoice_documents_flow(
     rbkp = tables["rbkp"]
     if header_filter is not None:
         rbkp = rbkp.where(header_filter)
-        lines = invoice_lines(tables, rbkp, passthrough).alias("l")
+        lines = invoice_lines(tables, rbkp, passthrough, cfg.broadcast_row_limit).alias("l")
     else:
         lines = invoice_lines(tables, passthrough=passthrough).alias("l")
     hdr = rbkp.alias("h")
