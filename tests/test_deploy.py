@@ -95,3 +95,15 @@ def test_invoice_passthrough(spark, erp, cfg):
     assert flow.count() == base.count()
     # a field of both tables takes the line value where the line exists
     assert flow.where("MATNR = 'M2'").count() == flow.where("InvoiceAmountinDocumentCurrencyofSupplierInvoice_RBWWR IS NULL").count()
+
+
+def test_command_line_deploy(spark, erp, cfg):
+    from payledger.__main__ import main
+    from payledger.sources.erp import stage_tables
+
+    root = tempfile.mkdtemp(prefix="erp-cli-")
+    stage_tables(erp, root)
+    out = main(["deploy", "--root", root, "--out", tempfile.mkdtemp(prefix="cli-out-"), "--as-of", "2001-06-30",
+                "--calendar-start", "1994-12-01", "--calendar-end", "2002-12-31"], spark=spark)
+    assert spark.table("AccountsPayableGenAI").count() == spark.table("AccountsPayableGenAI").count() > 0
+    assert os.path.isdir(out["currency_conversion"])
