@@ -135,3 +135,37 @@ def test_null_key_rows_spread_over_partitions(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hot_key_partition_is_split_by_aqe(spark):
+    """One key holding a third of the left rows: the salted left join stays a
+    plain sort-merge join on the key, so AQE's skew handling splits the hot
+    partition (thresholds lowered to test size)."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.skewJoin.enabled": "true",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 997).cast("string")).alias("k"),
+            F.col("id").alias("doc"))
+        right = spark.range(1000).select((F.col("id") % 997).cast("string").alias("rk"), F.col("id").alias("v")) \
+            .union(spark.range(2).select(F.lit("HOT").alias("rk"), F.col("id").alias("v")))
+        out = left_join_salted_nulls(left, right, [(F.col("k"), "rk")], ["doc"])
+        rows = out.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain()
+        assert "SortMergeJoin(skew=true)" in buf.getvalue()
+        assert len(rows) == 10000 * 2 + 20000 + sum(1 for r in rows if r.k in ("0", "1", "2")) // 2
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
