@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DecimalType, StringType
 from payledger.config import LedgerConfig
 from payledger.functions.amounts import scale_amount, scale_amount_sql, sign_flip_columns
 from payledger.functions.dates import cash_discount_date_1, cash_discount_date_2, net_due_date
-from payledger.operators.joins import broadcast_if_small, left_join_salted_nulls
+from payledger.operators.joins import broadcast_if_small, lookup_left_join
 from payledger.plans.calendar import add_calendar_attributes, day_count
 from payledger.plans.masterdata import pick, pick_sql, unmapped_sql
 from payledger.types import AMOUNT, RAW_AMOUNT, zero
@@ -39,20 +39,6 @@ def _currency_factor(df: DataFrame, decimals: DataFrame, on: Column, out: str, l
     return df.join(dec, on == dec[f"{out}_key"], "left").drop(f"{out}_key")
 
 
-def lookup_left_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, str]],
-                     salt_from: Sequence[str], limit: int) -> DataFrame:
-    """Left join to a lookup table: broadcast when it is proven small, else a
-    shuffle join whose NULL-key rows are salted across partitions."""
-    small = broadcast_if_small(right, limit)
-    if small is not right:
-        cond = None
-        for expr, rc in pairs:
-            c = expr == small[rc]
-            cond = c if cond is None else cond & c
-        return left.join(small, cond, "left")
-    return left_join_salted_nulls(left, right, pairs, salt_from)
-
-
 # ------------------------------------------------------------------ invoices
 
 # Fixed values: (field of the joined invoice line, business name) for the

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StringType
 
 from payledger.config import LedgerConfig
+from payledger.operators.joins import lookup_left_join
 
 Rename = Sequence[tuple[str, str]]
 
@@ -156,22 +157,26 @@ def customers_md(tables: Mapping[str, DataFrame], cfg: LedgerConfig, extra_colum
     ``ordered`` sorts by client (a range shuffle): meant for a final sink,
     since later operators do not keep an order anyway.
     """
-    kna1 = tables["kna1"].alias("c")
-    adrc = tables["adrc"].where(F.col("date_to") == F.lit(cfg.current_address_until)).alias("a")
-    joined = kna1.join(
-        adrc,
-        (F.col("c.adrnr") == F.col("a.addrnumber")) & (F.col("c.mandt") == F.col("a.client")),
-        "left",
+    kna1 = tables["kna1"]
+    adrc = tables["adrc"].where(F.col("date_to") == F.lit(cfg.current_address_until))
+    addr = adrc.select(*[F.col(f"`{c}`").alias(f"__a_{c.lower()}") for c in adrc.columns])
+    salt = [c for c in kna1.columns if c.lower() in ("mandt", "kunnr")] or kna1.columns[:1]
+    # customers without an address number never match: salted, not piled in one task
+    joined = lookup_left_join(
+        kna1, addr,
+        [(pick(kna1, "adrnr"), "__a_addrnumber"), (pick(kna1, "mandt"), "__a_client")],
+        salt, cfg.broadcast_row_limit,
     )
-    cols = rename(tables["kna1"], list(CUSTOMER_NAMES) + list(extra_columns), "c")
-    cols.insert(6, F.coalesce(pick(tables["kna1"], "pstlz", prefix="c"), F.col("a.post_code1")).alias("PostalCode_PSTLZ"))
-    cols.insert(7, F.coalesce(pick(tables["kna1"], "regio", prefix="c"), F.col("a.region")).alias("CustomerRegion_REGIO"))
-    cols += rename(tables["adrc"], CUSTOMER_ADDRESS_NAMES, "a", _DATE_FIELDS)
+    cols = rename(kna1, list(CUSTOMER_NAMES) + list(extra_columns))
+    cols.insert(6, F.coalesce(pick(kna1, "pstlz"), F.col("__a_post_code1")).alias("PostalCode_PSTLZ"))
+    cols.insert(7, F.coalesce(pick(kna1, "regio"), F.col("__a_region")).alias("CustomerRegion_REGIO"))
+    cols += rename(addr, [(f"__a_{s}", t) for s, t in CUSTOMER_ADDRESS_NAMES],
+                   types={f"__a_{k}": v for k, v in _DATE_FIELDS.items()})
     if passthrough:
         names = list(CUSTOMER_NAMES) + list(extra_columns)
         taken = [t for _, t in names] + ["PostalCode_PSTLZ", "CustomerRegion_REGIO"] + \
             [t for _, t in CUSTOMER_ADDRESS_NAMES]
-        cols += [F.expr(e) for e in unmapped_sql(tables["kna1"], [s for s, _ in names] + ["pstlz", "regio"], taken, "c")]
+        cols += [F.expr(e) for e in unmapped_sql(kna1, [s for s, _ in names] + ["pstlz", "regio"], taken)]
     out = joined.select(*cols)
     return out.orderBy("Client_MANDT") if ordered else out
 

@@ -22,10 +22,9 @@ from pyspark.sql.types import DateType, DecimalType, StringType
 from payledger.config import LedgerConfig
 from payledger.functions.dates import days_to_int
 from payledger.functions.text import last_token, left, strip_leading_zeros
-from payledger.operators.joins import broadcast_if_small, left_join_salted_nulls
+from payledger.operators.joins import broadcast_if_small, left_join_salted_nulls, lookup_left_join
 from payledger.operators.ranking import keep_first_rank
 from payledger.plans.calendar import add_next_business_day, add_previous_business_day
-from payledger.plans.documents import lookup_left_join
 from payledger.plans.fiscal import fiscal_period_lookup
 from payledger.types import AMOUNT, NUMERIC, RATE, zero
 
