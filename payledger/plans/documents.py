@@ -35,8 +35,9 @@ def _with_calendar(df, calendar, cfg, date_col, kind, suffix):
 def _currency_factor(df: DataFrame, decimals: DataFrame, on: Column, out: str, limit: int) -> DataFrame:
     """Left join the currency-decimal table (one row per currency, broadcast
     after a size check) and keep its factor as ``out``."""
-    dec = broadcast_if_small(decimals.select(F.col("CURRKEY").alias(f"{out}_key"), F.col("CURRFIX").alias(out)), limit)
-    return df.join(dec, on == dec[f"{out}_key"], "left").drop(f"{out}_key")
+    dec = decimals.select(F.col("CURRKEY").alias(f"{out}_key"), F.col("CURRFIX").alias(out))
+    salt = df.columns[:2]
+    return lookup_left_join(df, dec, [(on, f"{out}_key")], salt, limit).drop(f"{out}_key")
 
 
 # ------------------------------------------------------------------ invoices

@@ -224,21 +224,18 @@ def accounting_invoices_kpi(
         "inner",
     ).drop("__c_mandt", "__c_bukrs")
 
-    periods = broadcast_if_small(
-        fiscal_dim.select(
-            F.col("mandt").alias("__f_mandt"), F.col("periv").alias("__f_periv"),
-            F.col("date").alias("__f_date"), F.col("fiscal_period").alias("__f_period"),
-        ),
-        cfg.broadcast_row_limit,
+    periods = fiscal_dim.select(
+        F.col("mandt").alias("__f_mandt"), F.col("periv").alias("__f_periv"),
+        F.col("date").alias("__f_date"), F.col("fiscal_period").alias("__f_period"),
     )
 
-    doc = periods.alias("p_doc")
-    df = df.join(
-        doc,
-        (F.col("Client_MANDT") == F.col("p_doc.__f_mandt")) & (F.col("__periv") == F.col("p_doc.__f_periv"))
-        & (F.col("PostingDateInTheDocument_BUDAT") == F.col("p_doc.__f_date")),
-        "left",
-    ).select(*[F.col(f"`{c}`") for c in df.columns], F.col("p_doc.__f_period").alias("DocFiscPeriod"))
+    df = lookup_left_join(
+        df, periods,
+        [(F.col("Client_MANDT"), "__f_mandt"), (F.col("__periv"), "__f_periv"),
+         (F.col("PostingDateInTheDocument_BUDAT"), "__f_date")],
+        ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI"],
+        cfg.broadcast_row_limit,
+    ).withColumnRenamed("__f_period", "DocFiscPeriod").drop("__f_mandt", "__f_periv", "__f_date")
 
     # The key period depends on (client, variant) only: a frame with one row
     # per variant, joined on those two keys (never on the constant date, which
