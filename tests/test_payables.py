@@ -169,3 +169,16 @@ def test_hot_key_partition_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_lookup_join_paths_agree(spark, erp, cfg):
+    """The broadcast path (dimension under the limit) and the salted shuffle
+    path (over it) give the same rows."""
+    import dataclasses
+
+    from payledger.plans.model import LedgerModel
+
+    small = LedgerModel(spark, erp, cfg).accounts_payable
+    large = LedgerModel(spark, erp, dataclasses.replace(cfg, broadcast_row_limit=0)).accounts_payable
+    assert small.count() == large.count()
+    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
