@@ -33,6 +33,11 @@ from payledger.sources.fixtures import erp_tables
 from payledger.sources.holidays import load_holiday_csv, write_holiday_csv
 from payledger.session import checkpoint_dir
 
+try:  # the training-data operators are optional: the library works without them
+    from payledger.llm import queries as LLM
+except ImportError:
+    LLM = None
+
 CFG = FIXTURE_CONFIG
 
 
@@ -279,12 +284,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "accounts_payable": q_accounts_payable,
         "described_schema": q_described_schema,
         "holiday_csv": q_holiday_csv,
+        **(LLM.queries() if LLM else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return O.oracle_queries(
+    return {**O.oracle_queries(
         doc_keys=DOC_KEYS, scaled=SCALED, acc_cols=ACC_COLS, measures=MEASURES, ap_keys=AP_KEYS,
         due_cols=DUE_COLS, status_cols=STATUS_COLS, other_cols=OTHER_COLS, flag_cols=FLAG_COLS,
         flip_keys=FLIP_KEYS, flip_cols=FLIP_COLS, upsert_split=UPSERT_SPLIT,
-    )
+    ), **(LLM.oracle_sql() if LLM else {})}
