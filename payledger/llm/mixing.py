@@ -84,6 +84,7 @@ def permuted(i: Column, n: Column, sid: Column, epoch: Column) -> Column:
     """An affine permutation of 0..n-1, seeded by source and epoch. A prime that
     does not divide n is prime to it; below 2**23 products stay exact up to
     n = 2**40 blocks."""
+    n = F.when(n > 0, n)
     primes = (8388593, 8388587, 8388581, 8388571, 8388547, 8388539)
     step = F.coalesce(*[F.when(n % p != 0, F.lit(p)) for p in primes], F.lit(1))
     shift = F.pmod(F.xxhash64(F.lit("shift"), sid, epoch), n)
@@ -121,8 +122,8 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> tuple[DataFr
 
     # drawing: one slot per hash, its cell names the source
     by_sid = Window.partitionBy(F.lit(0)).orderBy("sid")
-    upto = F.sum("need").over(by_sid) / F.sum("need").over(Window.partitionBy(F.lit(0)))
-    cells = src.select("sid", F.round(upto * CELLS).cast("long").alias("hi"))
+    upto = F.try_divide(F.sum("need").over(by_sid), F.sum("need").over(Window.partitionBy(F.lit(0))))
+    cells = src.select("sid", F.round(upto * CELLS).cast("long").alias("hi"))  # null if nothing is needed
     cells = cells.withColumn("lo", F.coalesce(F.lag("hi").over(by_sid), F.lit(0).cast("long")))
     table = cells.where("hi > lo").select("sid", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("cell"))  # CELLS rows
     n_slots = src.agg(F.coalesce(F.sum("need"), F.lit(0))).first()[0]
