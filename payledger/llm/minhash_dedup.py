@@ -8,13 +8,15 @@
 3. *Banding.* Classes that agree on one band of ``ROWS`` minima share a bucket.
    At a similarity of 0.8 a pair misses every band with probability
    (1 - 0.8**4)**36 = 6e-9.
-4. *Verification.* A bucket never emits all its pairs. In each round it checks
-   all members outside a pivot's component against the pivot: first by the
-   signature estimate (rejected 7 standard deviations below the threshold),
-   then on the full shingle sets. Components follow by alternating large-star
-   and small-star. A bucket is settled once its members that were no pivot yet
-   are in one component; rounds go on until every bucket is, so no pair of a
-   bucket is left unchecked unless its ends are already connected.
+4. *Verification.* A bucket never emits all its pairs. First its members are
+   checked against one pivot: by the signature estimate (rejected 7 standard
+   deviations below the threshold), then on the full shingle sets; components
+   follow by alternating large-star and small-star. Most buckets then lie in
+   one component. The members of the others are compared in blocks of ``BLOCK``,
+   a pair of blocks to a task: pairs that the estimate allows are verified on
+   their sets, likely ones first, unless links found before connect them
+   already, so a task returns fewer links than it has members. No pair of a
+   bucket is left unchecked unless its ends are connected.
 
 Defined results: a null, empty or white-space text has an empty set, is linked
 with nothing and is its own component. Rows without ``doc_id`` take part; a
@@ -38,6 +40,8 @@ from payledger.llm.common import WordHash, ngram_hashes, same, stored, text_key
 BANDS, ROWS = 36, 4
 #: Rejecting an estimate this far below the threshold loses a link with p < 1e-10.
 ESTIMATE_MARGIN = 0.24
+#: Members of an unsettled bucket that one task holds, twice.
+BLOCK = 1000
 
 
 def _universal(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,6 +121,44 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
         cur.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
 
 
+def _labels(members: DataFrame, links: DataFrame) -> DataFrame:
+    cc = connected_components(links)
+    return stored(members.select("node").join(cc, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "label")
+
+
+def _blocks(threshold: int, least: int):
+    """Links between the members of one or two blocks that connect what was not."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["block", "node"], kind="stable").reset_index(drop=True)
+        sig = np.array(pdf["sig"].tolist(), dtype=np.int32)
+        n, block, node = pdf["n"].to_numpy(), pdf["block"].to_numpy(), pdf["node"].tolist()
+        _, root = np.unique(pdf["label"].to_numpy(), return_inverse=True)
+        root = root.copy()  # component of each row
+        across = pdf["i"].iloc[0] != pdf["j"].iloc[0]
+        likely = []
+        for x in range(len(pdf) - 1):
+            alike = (sig[x + 1 :] == sig[x]).sum(axis=1)
+            ok = (alike >= least) & (root[x + 1 :] != root[x])
+            ok &= 100 * np.minimum(n[x + 1 :], n[x]) >= threshold * np.maximum(n[x + 1 :], n[x])
+            if across:
+                ok &= block[x + 1 :] != block[x]
+            at = np.flatnonzero(ok)
+            likely.append(np.stack([alike[at], np.full(len(at), x), at + x + 1], axis=1))
+        found = []
+        if likely:
+            likely = np.concatenate(likely)
+            for _, x, y in likely[np.argsort(-likely[:, 0], kind="stable")]:
+                if root[x] != root[y]:
+                    both = len(np.intersect1d(pdf["shingles"].iat[x], pdf["shingles"].iat[y], assume_unique=True))
+                    if 100 * both >= threshold * (n[x] + n[y] - both):
+                        found.append((node[x], node[y]))
+                        root[root == root[y]] = root[x]
+        return pd.DataFrame(found, columns=["u", "v"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, threshold: int = 80) -> DataFrame:
     """``doc_id, th, n_shingles, component_id, kept`` for every row of ``docs``
     (``doc_id``, ``text``); ``threshold`` is in percent."""
@@ -139,48 +181,33 @@ def near_duplicates(docs: DataFrame, width: int = 4, threshold: int = 80) -> Dat
     sets = texts.mapInPandas(_sets(width), "node binary, shingles array<bigint>").dropDuplicates(["node"])
     full = stored(sets.join(members.select("node", "n", "sig"), "node"), "sets")
 
-    links = None
-    label = members.select("node", F.col("node").alias("label"))
-    degree = None
-    while True:
-        # retired pivots no longer count as open members of their bucket
-        open_ = buckets.join(label, "node")
-        if degree is not None:
-            open_ = open_.join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-        else:
-            open_ = open_.withColumn("degree", F.lit(0))
-        state = open_.groupBy("key").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"),
-            F.array_distinct(F.array(
-                F.max_by("node", F.struct("degree", "node")), F.min_by("node", F.xxhash64("node", F.lit(1))),
-                F.min_by("node", F.xxhash64("node", F.lit(2))), F.min_by("node", F.xxhash64("node", F.lit(3))))).alias("pivots"))
-        if degree is None:  # first round: one pivot, the same in most buckets of a group
-            state = state.withColumn("pivots", F.slice("pivots", 1, 1))
-        state = stored(state.where("lo != hi").select("key", "pivots"), "pivots")
-        if state.isEmpty():
-            break
-        cand = open_.join(state, "key").select("key", "node", "label", F.explode("pivots").alias("pivot"))
-        heads = label.select(F.col("node").alias("pivot"), F.col("label").alias("head"))
-        pairs = cand.join(heads, "pivot").where("label != head").select("pivot", "node").distinct()
-        left = full.select(F.col("node").alias("pivot"), *[F.col(c).alias("p_" + c) for c in ("n", "sig", "shingles")])
-        alike = F.size(F.filter(F.arrays_zip(F.col("sig").alias("x"), F.col("p_sig").alias("y")), lambda s: s["x"] == s["y"]))
-        both = F.size(F.array_intersect("shingles", "p_shingles"))
-        small = pairs.join(full.select("node", "n", "sig"), "node").join(
-            left.select("pivot", "p_n", "p_sig"), "pivot").where(
-            (100 * F.least("n", "p_n") >= threshold * F.greatest("n", "p_n"))
-            & (alike >= int((threshold / 100 - ESTIMATE_MARGIN) * BANDS * ROWS))).select("pivot", "node")
-        checked = small.join(full.select("node", "n", "shingles"), "node").join(left.drop("p_sig"), "pivot")
-        checked = checked.withColumn("both", both).where(
-            100 * F.col("both") >= threshold * (F.col("n") + F.col("p_n") - F.col("both")))
-        found = stored(checked.select(F.col("pivot").alias("u"), F.col("node").alias("v")), "links")
-        links = found if links is None else links.union(found)
-        used = state.select("key", F.explode("pivots").alias("node"))
-        buckets = stored(buckets.join(used, ["key", "node"], "left_anti").join(state.select("key"), "key", "left_semi"), "buckets")
-        cc = connected_components(links)
-        label = stored(members.select("node").join(cc, "node", "left").select(
-            "node", F.coalesce("label", "node").alias("label")), "label")
-        degree = links.select(F.col("u").alias("node")).union(links.select(F.col("v").alias("node"))).groupBy("node").agg(
-            F.count("*").alias("degree"))
+    least = int((threshold / 100 - ESTIMATE_MARGIN) * BANDS * ROWS)
+    # the pivot is the member that meets most others: the original among its variants
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("size"))
+    meets = buckets.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("meets"))
+    pivots = stored(buckets.join(meets, "node").groupBy("key").agg(F.max_by("node", F.struct("meets", "node")).alias("pivot")), "pivots")
+    pairs = buckets.join(pivots, "key").where("node != pivot").select("pivot", "node").distinct()
+    left = full.select(F.col("node").alias("pivot"), *[F.col(c).alias("p_" + c) for c in ("n", "sig", "shingles")])
+    alike = F.size(F.filter(F.arrays_zip(F.col("sig").alias("x"), F.col("p_sig").alias("y")), lambda s: s["x"] == s["y"]))
+    likely = pairs.join(full.select("node", "n", "sig"), "node").join(left.select("pivot", "p_n", "p_sig"), "pivot").where(
+        (100 * F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")) & (alike >= least)).select("pivot", "node")
+    checked = likely.join(full.select("node", "n", "shingles"), "node").join(left.drop("p_sig"), "pivot")
+    checked = checked.withColumn("both", F.size(F.array_intersect("shingles", "p_shingles"))).where(
+        100 * F.col("both") >= threshold * (F.col("n") + F.col("p_n") - F.col("both")))
+    links = stored(checked.select(F.col("pivot").alias("u"), F.col("node").alias("v")), "links")
+    label = _labels(members, links)
+
+    # buckets whose members, but for the pivot, are not all connected
+    rest = buckets.join(pivots, "key").where("node != pivot").join(label, "node").select("key", "node", "label")
+    unsettled = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo != hi")
+    unsettled = unsettled.select("key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    at = rest.join(unsettled, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cells = at.select("key", "node", "label", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    cells = cells.select("key", "node", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    more = cells.join(full, "node").groupBy("key", "i", "j").applyInPandas(_blocks(threshold, least), "u binary, v binary")
+    more = stored(more.distinct(), "links")
+    if not more.isEmpty():
+        label = _labels(members, links.union(more))
 
     named = classes.select("node", "first_id").join(label, "node", "left").select(
         "node", "first_id", F.coalesce("label", "node").alias("label"))
