@@ -46,13 +46,13 @@ def for_oracle(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-_MODELS: dict[tuple[int, str], LedgerModel] = {}
+_MODELS: dict[tuple[str, str], LedgerModel] = {}
 
 
 def _model(spark: SparkSession, sf_dir: str) -> LedgerModel:
     """One model per Spark context and data folder: the queries share its
     lazily built datasets and its materialised dimensions."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         _MODELS[key] = LedgerModel(spark, erp_tables(spark, sf_dir), CFG)
     return _MODELS[key]
@@ -243,7 +243,7 @@ def q_described_schema(spark, sf_dir):
     from payledger.descriptions import PAYABLE_DESCRIPTIONS
 
     described, _missing = attach_descriptions(_model(spark, sf_dir).accounts_payable, PAYABLE_DESCRIPTIONS)
-    return described
+    return for_oracle(described)
 
 
 def q_holiday_csv(spark, sf_dir):
@@ -251,7 +251,7 @@ def q_holiday_csv(spark, sf_dir):
     folder = os.path.join(checkpoint_dir(spark), f"holiday-csv-{uuid.uuid4().hex}")
     write_holiday_csv(C.holidays_from_table(m.tables), folder)
     loaded, _count = load_holiday_csv(spark, folder)
-    return loaded
+    return for_oracle(loaded)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

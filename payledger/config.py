@@ -57,9 +57,9 @@ class LedgerConfig:
     # when that exceeds the threshold (as the source model computes it);
     # "today_minus_due": the reading its comments describe (positive = late).
     arrear_mode: str = "due_minus_today"
-    # Dimensions below this many rows are broadcast; larger ones go through a
-    # shuffle join that AQE may still turn into a broadcast at run time.
-    broadcast_row_limit: int = 2_000_000
+    # Dimensions proven to hold at most this many bytes are broadcast; others go
+    # through a shuffle join that AQE may still turn into a broadcast at run time.
+    broadcast_bytes: int = 64 << 20
     # Write the invoice flow to the checkpoint folder before it is read twice.
     materialize_invoices: bool = False
     # Write small dimensions (business days, fiscal periods, daily target rates,

@@ -9,35 +9,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, limit: int) -> DataFrame:
-    """Broadcast ``df`` when its row count is bounded by construction.
+def bounded_broadcast(df: DataFrame, max_bytes: int, limit: int) -> DataFrame:
+    """Broadcast ``df`` when its size is bounded by construction.
 
-    ``max_rows`` is a bound known without running a job (for example the
+    ``max_bytes`` is a bound known without running a job (for example the
     number of days of a generated calendar). Above ``limit`` the frame is
     left to the planner (sort-merge join, or an AQE broadcast at run time).
     """
-    return F.broadcast(df) if max_rows <= limit else df
-
-
-_SIZE_CHECKS: dict[tuple[int, int, int], bool] = {}
+    return F.broadcast(df) if max_bytes <= limit else df
 
 
 def is_small(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows.
+    """True when the planner's statistics bound ``df`` by ``limit`` bytes.
 
-    Reads at most ``limit + 1`` rows. The answer is remembered per session and
-    semantically equal plan, so a dimension joined several times (one lookup
-    per currency role, say) is counted once.
+    The bound comes from file or catalog sizes through the optimized plan, so no
+    job runs. A frame whose bound is too wide is not broadcast here; the planner
+    or AQE may still do so once it has seen the real size.
     """
-    key = (id(df.sparkSession), df.semanticHash(), limit)
-    if key not in _SIZE_CHECKS:
-        _SIZE_CHECKS[key] = df.limit(limit + 1).count() <= limit
-    return _SIZE_CHECKS[key]
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes())) <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast a dimension only after checking it has at most ``limit`` rows;
-    a larger table keeps the shuffle join (which AQE may still re-plan)."""
+    """Broadcast a dimension only when it is proven to hold at most ``limit``
+    bytes; a larger table keeps the shuffle join (which AQE may re-plan)."""
     return F.broadcast(df) if is_small(df, limit) else df
 
 
@@ -46,31 +41,32 @@ def left_join_salted_nulls(
     right: DataFrame,
     pairs: Sequence[tuple[Column, str]],
     salt_from: Sequence[str],
-    buckets: int = 1024,
 ) -> DataFrame:
     """Left join on ``left_expr == right[right_col]`` for every pair.
 
     A NULL key can never match, but a shuffle join still sends every such
     row to the one partition NULL hashes to. Here a left row with a NULL key
-    gets, in place of its first key, a marker plus a hash of ``salt_from``
-    (deterministic, so retries agree): those rows spread over ``buckets``
-    shuffle keys. A left-only residual ``NOT null_key`` keeps them from
-    matching anything, so every left row is kept and none gains a partner.
-    The salt lives in the key itself: a separate constant salt column on the
-    right would be folded away by the optimizer. The first key is compared as
-    a string (the keys of this library are strings; casting is a no-op).
+    gets, in place of each string key (and of the first key in any case), a
+    marker plus the whole hash of ``salt_from`` (deterministic, so retries
+    agree): those rows spread over all shuffle partitions. A left-only residual
+    ``NOT null_key`` keeps them from matching anything, so every left row is
+    kept and none gains a partner. The salt lives in the keys themselves: a
+    separate salt column, or a salt in a key that a filter makes constant (the
+    client, say), would be folded away by the optimizer.
     """
     any_null = reduce(lambda a, b: a | b, [expr.isNull() for expr, _ in pairs])
-    salt = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(buckets)).cast("string"))
+    salt = F.concat(F.lit("\u0001"), F.xxhash64(*[F.col(c) for c in salt_from]).cast("string"))
     key_names = [f"__k{i}" for i in range(len(pairs))]
-    first_expr, first_rc = pairs[0]
-    keys = {key_names[0]: F.when(any_null, salt).otherwise(first_expr.cast("string"))}
-    keys.update({name: expr for name, (expr, _) in zip(key_names[1:], pairs[1:])})
+    kinds = left.select(*[expr for expr, _ in pairs]).schema.fields
+    as_text = [i == 0 or (f.dataType.typeName() == "string" and right.schema[rc].dataType.typeName() == "string")
+               for i, (f, (_, rc)) in enumerate(zip(kinds, pairs))]
+    keys = {name: F.when(any_null, salt).otherwise(expr.cast("string")) if text else expr
+            for name, text, (expr, _) in zip(key_names, as_text, pairs)}
     left_keyed = left.withColumns({**keys, "__null_key": any_null})
-    cond = F.col(f"l.{key_names[0]}") == F.col(f"r.{first_rc}").cast("string")
-    for name, (_, rc) in zip(key_names[1:], pairs[1:]):
-        cond = cond & (F.col(f"l.{name}") == F.col(f"r.{rc}"))
-    cond = cond & ~F.col("l.__null_key")
+    cond = ~F.col("l.__null_key")
+    for name, text, (_, rc) in zip(key_names, as_text, pairs):
+        other = F.col(f"r.{rc}")
+        cond = cond & (F.col(f"l.{name}") == (other.cast("string") if text else other))
     joined = left_keyed.alias("l").join(right.alias("r"), cond, "left")
     return joined.select(*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in right.columns])
 
@@ -96,10 +92,5 @@ def materialize(df: DataFrame) -> DataFrame:
     ``spark.checkpoint.dir`` (see ``payledger.session.checkpoint_dir``)."""
     from payledger.session import checkpoint_dir
 
-    try:
-        checkpoint_dir(df.sparkSession)
-    except RuntimeError:
-        # no shared folder configured on a cluster: keep the plan as it is
-        # (same results, only without the shorter lineage)
-        return df
+    checkpoint_dir(df.sparkSession)  # on a cluster an unset folder is an error
     return df.checkpoint(eager=True)

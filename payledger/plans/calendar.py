@@ -167,7 +167,7 @@ def business_days(
     """
     horizon = cfg.business_day_horizon
     flagged = flag_business_days(
-        date_spine(spark, start, end + dt.timedelta(days=horizon), "date"), holidays, "date", cfg.broadcast_row_limit
+        date_spine(spark, start, end + dt.timedelta(days=horizon), "date"), holidays, "date", cfg.broadcast_bytes
     )
     serving = flagged.where("is_business_day").select(
         F.col("date").alias("next_business_day"),
@@ -194,7 +194,7 @@ def _with_prior_max(df: DataFrame, date_col: str, value: Column, out: str) -> Da
     )
     # one row per calendar year present: at most 9,999 rows whatever the data
     return (
-        keyed.join(bounded_broadcast(carry, 9999, 2_000_000), "__y", "left")
+        keyed.join(bounded_broadcast(carry, 9999, 64 << 20), "__y", "left")
         .withColumn(out, F.coalesce(within, F.col("__carry")))
         .drop("__y", "__v", "__carry")
     )
@@ -228,7 +228,7 @@ def business_day_lookup(bdays: DataFrame) -> DataFrame:
 
 def _lookup(df: DataFrame, bdays: DataFrame, date_col: Column, value: str, out: str, cfg: LedgerConfig) -> DataFrame:
     # the same lookup frame for every use, so one broadcast serves all joins
-    lk = bounded_broadcast(business_day_lookup(bdays), business_day_rows_bound(cfg), cfg.broadcast_row_limit)
+    lk = bounded_broadcast(business_day_lookup(bdays), 64 * business_day_rows_bound(cfg), cfg.broadcast_bytes)
     return df.join(lk, date_col == lk["__bd_date"], "left").select(
         *[df[c] for c in df.columns], lk[value].alias(out)
     )

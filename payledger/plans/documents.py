@@ -27,7 +27,7 @@ def _calendar_names(kind: str, suffix: str) -> dict[str, str]:
 def _with_calendar(df, calendar, cfg, date_col, kind, suffix):
     n = day_count(cfg.calendar_start, cfg.calendar_end)
     return add_calendar_attributes(
-        df, calendar, date_col, _calendar_names(kind, suffix), n, cfg.broadcast_row_limit,
+        df, calendar, date_col, _calendar_names(kind, suffix), n, cfg.broadcast_bytes,
         cfg.calendar_start, cfg.calendar_end,
     )
 
@@ -95,7 +95,7 @@ def _t(field: str):
 
 
 def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = None,
-                  passthrough: bool = False, limit: int = 2_000_000) -> DataFrame:
+                  passthrough: bool = False, limit: int = 64 << 20) -> DataFrame:
     """Invoice lines (RSEG) FULL OUTER JOIN account assignments (RBCO), with
     debit/credit applied to their amounts and shared fields merged.
 
@@ -143,7 +143,7 @@ def invoice_documents_flow(
     rbkp = tables["rbkp"]
     if header_filter is not None:
         rbkp = rbkp.where(header_filter)
-        lines = invoice_lines(tables, rbkp, passthrough, cfg.broadcast_row_limit).alias("l")
+        lines = invoice_lines(tables, rbkp, passthrough, cfg.broadcast_bytes).alias("l")
     else:
         lines = invoice_lines(tables, passthrough=passthrough).alias("l")
     hdr = rbkp.alias("h")
@@ -158,9 +158,9 @@ def invoice_documents_flow(
     prps = tables["prps"].select(F.col("pspnr").alias("__pspnr"), F.col("posid").alias("WbsElement_POSID"))
     df = lookup_left_join(
         df, prps, [(F.col("WbsElement_PS_PSP_PNR"), "__pspnr")],
-        ["InvoiceDocNum_BELNR", "InvoiceDocLineNum_BUZEI"], cfg.broadcast_row_limit,
+        ["InvoiceDocNum_BELNR", "InvoiceDocLineNum_BUZEI"], cfg.broadcast_bytes,
     ).drop("__pspnr")
-    df = _currency_factor(df, decimals, F.col("Currency_WAERS"), "__fix", cfg.broadcast_row_limit)
+    df = _currency_factor(df, decimals, F.col("Currency_WAERS"), "__fix", cfg.broadcast_bytes)
     df = _with_calendar(df, calendar, cfg, "PostingDate_BUDAT", "PostingDate", "BUDAT")
     df = _with_calendar(df, calendar, cfg, "DocumentDate_BLDAT", "DocumentDate", "BLDAT")
     df = df.withColumns({t: scale_amount(F.col(f"__amt_{f}"), F.col("__fix")) for f, t in INVOICE_SCALED})
@@ -217,7 +217,7 @@ def purchase_documents_history(
         pick(ekbe, "dmbtr", RAW_AMOUNT).alias("__dmbtr"),
         pick(ekbe, "wrbtr", RAW_AMOUNT).alias("__wrbtr"),
     )
-    df = _currency_factor(df, decimals, F.col("CurrencyKey_WAERS"), "__fix", cfg.broadcast_row_limit)
+    df = _currency_factor(df, decimals, F.col("CurrencyKey_WAERS"), "__fix", cfg.broadcast_bytes)
     df = _with_calendar(df, calendar, cfg, "PostingDateInTheDocument_BUDAT", "PostingDateInTheDocument", "BUDAT")
     df = _with_calendar(df, calendar, cfg, "DocumentDateInDocument_BLDAT", "DocumentDateInDocument", "BLDAT")
     return df.withColumns({
@@ -383,7 +383,7 @@ def accounting_documents(
     df = df.selectExpr(*cols, *[f"{src} AS `__cur_{role}`" for role, src in currencies.items()])
 
     for role in currencies:
-        df = _currency_factor(df, decimals, F.col(f"__cur_{role}"), f"__fix_{role}", cfg.broadcast_row_limit)
+        df = _currency_factor(df, decimals, F.col(f"__cur_{role}"), f"__fix_{role}", cfg.broadcast_bytes)
     df = _with_calendar(df, calendar, cfg, "PostingDateInTheDocument_BUDAT", "PostingDateInTheDocument", "BUDAT")
     df = _with_calendar(df, calendar, cfg, "DocumentDateInDocument_BLDAT", "DocumentDateInDocument", "BLDAT")
 

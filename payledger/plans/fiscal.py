@@ -33,7 +33,7 @@ def _period_label(year_str: Column, reljr: Column, poper: Column) -> Column:
     return F.concat((year_str.cast("int") + reljr.cast("int")).cast("string"), poper)
 
 
-def fiscal_period_lookup(keys: DataFrame, t009: DataFrame, t009b: DataFrame, limit: int = 2_000_000) -> DataFrame:
+def fiscal_period_lookup(keys: DataFrame, t009: DataFrame, t009b: DataFrame, limit: int = 64 << 20) -> DataFrame:
     """Resolve ``keys`` (mandt, periv, date) to (mandt, periv, date, fiscal_case, fiscal_period).
 
     One left join of the keys to the period table on (client, variant), whose

@@ -165,7 +165,7 @@ def customers_md(tables: Mapping[str, DataFrame], cfg: LedgerConfig, extra_colum
     joined = lookup_left_join(
         kna1, addr,
         [(pick(kna1, "adrnr"), "__a_addrnumber"), (pick(kna1, "mandt"), "__a_client")],
-        salt, cfg.broadcast_row_limit,
+        salt, cfg.broadcast_bytes,
     )
     cols = rename(kna1, list(CUSTOMER_NAMES) + list(extra_columns))
     cols.insert(6, F.coalesce(pick(kna1, "pstlz"), F.col("__a_post_code1")).alias("PostalCode_PSTLZ"))

@@ -217,7 +217,7 @@ def accounting_invoices_kpi(
             F.col("Client_MANDT").alias("__c_mandt"), F.col("CompanyCode_BUKRS").alias("__c_bukrs"),
             "CompanyText_BUTXT", F.col("FiscalyearVariant_PERIV").alias("__periv"),
         ),
-        cfg.broadcast_row_limit,
+        cfg.broadcast_bytes,
     )
     df = ai.join(
         comp, (F.col("Client_MANDT") == F.col("__c_mandt")) & (F.col("CompanyCode_BUKRS") == F.col("__c_bukrs")),
@@ -234,7 +234,7 @@ def accounting_invoices_kpi(
         [(F.col("Client_MANDT"), "__f_mandt"), (F.col("__periv"), "__f_periv"),
          (F.col("PostingDateInTheDocument_BUDAT"), "__f_date")],
         ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI"],
-        cfg.broadcast_row_limit,
+        cfg.broadcast_bytes,
     ).withColumnRenamed("__f_period", "DocFiscPeriod").drop("__f_mandt", "__f_periv", "__f_date")
 
     # The key period depends on (client, variant) only: a frame with one row
@@ -245,7 +245,7 @@ def accounting_invoices_kpi(
             F.col("__f_mandt").alias("__kf_mandt"), F.col("__f_periv").alias("__kf_periv"),
             F.col("__f_period").alias("KeyFiscPeriod"),
         ),
-        cfg.broadcast_row_limit,
+        cfg.broadcast_bytes,
     )
     df = df.join(
         key, (F.col("Client_MANDT") == F.col("__kf_mandt")) & (F.col("__periv") == F.col("__kf_periv")), "left"
@@ -317,13 +317,13 @@ def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: D
     df = lookup_left_join(
         kpi, current,
         [(F.col("Client_MANDT"), "__v_mandt"), (F.col("AccountNumberOfVendorOrCreditor_LIFNR"), "__v_lifnr")],
-        salt, cfg.broadcast_row_limit,
+        salt, cfg.broadcast_bytes,
     )
     conf = vconfig.select(
         last_token(F.col("NameOfVariantVariable_NAME"), cfg.vendor_config_separator).alias("__vc_id"),
         F.col("LowField_LOW").alias("__vc_low"),
     )
-    df = lookup_left_join(df, conf, [(F.col("__v_lifnr"), "__vc_id")], salt, cfg.broadcast_row_limit)
+    df = lookup_left_join(df, conf, [(F.col("__v_lifnr"), "__vc_id")], salt, cfg.broadcast_bytes)
 
     po = po_history.select(
         F.col("Client_MANDT").alias("__p_mandt"),
@@ -352,7 +352,7 @@ def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: D
         df, rt,
         [(F.col("Client_MANDT"), "__r_mandt"), (F.col("CurrencyKey_WAERS"), "__r_fcurr"),
          (F.col("PreviousBusinessDay_BUDAT"), "__r_date")],
-        salt, cfg.broadcast_row_limit,
+        salt, cfg.broadcast_bytes,
     )
 
 

@@ -9,6 +9,7 @@ to a shared folder; views are session temp views over the lazy plans.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,22 +36,31 @@ VIEW_NAMES = {
 }
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path in its terms."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the files
-        return True
-    except Exception:  # noqa: BLE001 - any read failure means "not there yet"
-        return False
+    """Whether the folder is there; a file system error is no answer and rises."""
+    fs, at = _folder(spark, path)
+    return fs.exists(at)
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Published versions, from the folder names."""
+    fs, at = _folder(spark, root)
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version=") and n.removeprefix("version=").isdigit())
 
 
 def _current_version(spark: SparkSession, root: str) -> tuple[DataFrame | None, int | None]:
-    """The table at ``root`` is partitioned by ``version``; the newest committed
-    version is the current table (a version folder appears only on commit)."""
-    if not _exists(spark, root):
+    """The newest published version is the current table."""
+    found = _versions(spark, root)
+    if not found:
         return None, None
-    df = spark.read.parquet(root)
-    newest = df.agg(F.max("version")).first()[0]
-    return df.where(F.col("version") == newest).drop("version"), newest
+    return spark.read.parquet(f"{root.rstrip('/')}/version={found[-1]}"), found[-1]
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
@@ -58,12 +68,22 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
 
 
 def upsert_table(spark: SparkSession, root: str, source: DataFrame, keys: list[str]) -> int:
-    """MERGE ``source`` into the versioned table at ``root`` (no delete branch);
-    the result is appended as the next version, older versions stay readable."""
+    """MERGE ``source`` into the versioned table at ``root`` (no delete branch).
+
+    The result is written aside, its keys are checked, and one rename publishes
+    it as the next version; older versions stay readable. A writer that finds its
+    version published by another one fails and leaves the table as it is."""
     current, newest = _current_version(spark, root)
     result = source if current is None else upsert(current, source, keys, check_unique=True)
     version = 0 if newest is None else newest + 1
-    result.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(root)
+    aside = f"{root.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    result.write.parquet(aside)
+    twice = spark.read.parquet(aside).groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"duplicate key in the new version: {twice[0].asDict()}")
+    fs, target = _folder(spark, f"{root.rstrip('/')}/version={version}")
+    if fs.exists(target) or not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), target):
+        raise RuntimeError(f"version {version} of {root} was published by another writer")
     return version
 
 

@@ -22,6 +22,8 @@ DOCUMENT_KEYS: dict[str, list[str]] = {
     # lines and assignments meet in a full outer join on the line key
     "rseg": ["mandt", "belnr", "gjahr", "buzei"],
     "rbco": ["mandt", "belnr", "gjahr", "buzei"],
+    # as large as the lines: history per purchase order item
+    "ekbe": ["mandt", "ebeln", "ebelp"],
 }
 
 
@@ -62,8 +64,7 @@ def stage_tables(tables: Mapping[str, DataFrame], root: str, buckets: int | None
             (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
              .bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(f"{database}.{name}"))
         else:
-            parts = max(1, min(spark.sparkContext.defaultParallelism, 64))
-            df.repartition(parts).write.mode("overwrite").parquet(path)
+            df.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
             if database:
                 spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
                 spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")

@@ -254,7 +254,7 @@ SQL_SOURCES: dict[str, str] = {
     ),
     "tcurx": "(select 'JPY' c, 0 d union all select 'KWD', 3 union all select 'BRL', 2 union all select 'USD', null) x",
     "tcurr": (
-        "(select distinct cast(o_orderdate as date) d from orders where o_orderkey % 50 = 0) o "
+        "(select distinct cast(o_orderdate as date) d from orders) o "
         "CROSS JOIN (select 'USD' f, 1 i union all select 'EUR', 2 union all select 'JPY', 3 "
         "union all select 'BRL', 4 union all select 'BRL', 5) c"
     ),
@@ -356,7 +356,7 @@ def erp_tables(spark: SparkSession, sf_dir: str, parallelism: int | None = None)
         ),
         "tcurx",
     )
-    rate_days = orders.where("o_orderkey % 50 = 0").select(F.to_date("o_orderdate").alias("d")).distinct()
+    rate_days = orders.select(F.to_date("o_orderdate").alias("d")).distinct()
     out["tcurr"] = _project(
         _explode_rows(
             rate_days,
@@ -392,7 +392,7 @@ def _year_months(order_years: DataFrame, months: DataFrame) -> DataFrame:
     (tiny) nation keys keeps the ones the fixture defines. No cross join.
     """
     candidates = order_years.select("y", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m"))
-    return candidates.join(broadcast_if_small(months, 1000), "m", "left_semi")
+    return candidates.join(broadcast_if_small(months, 1 << 20), "m", "left_semi")
 
 
 def fixture_ctes(names: list[str] | tuple[str, ...] | None = None) -> str:

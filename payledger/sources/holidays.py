@@ -13,15 +13,22 @@ def load_holiday_csv(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     """Read holiday files into ``HolidayDate`` (one row per distinct date).
 
     Loads append files over time, so the same date can appear in several
-    files; duplicates are removed on read. Returns the frame and its row
-    count (the post-load check).
+    files; duplicates are removed on read. A row whose date cannot be read is an
+    error: a lost holiday would become a business day. Returns the frame and its
+    row count (the post-load check).
     """
     raw = spark.read.csv(path, sep=";", header=True, inferSchema=False)
     first = raw.columns[0]
     col = next((c for c in raw.columns if c.lower() == "holidaydate"), first)
     text = F.trim(F.col(f"`{col}`"))
     parsed = F.coalesce(*[F.try_to_date(text, fmt) for fmt in DATE_FORMATS])
-    df = raw.select(parsed.alias("HolidayDate")).where(F.col("HolidayDate").isNotNull()).dropDuplicates(["HolidayDate"])
+    read = raw.select(text.alias("given"), parsed.alias("HolidayDate"))
+    bad = read.where("HolidayDate IS NULL")
+    n_bad = bad.count()
+    if n_bad:
+        shown = [r["given"] for r in bad.limit(5).collect()]
+        raise ValueError(f"{n_bad} holiday rows without a readable date, such as {shown}")
+    df = read.select("HolidayDate").dropDuplicates(["HolidayDate"])
     return df, df.count()
 
 

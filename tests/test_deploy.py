@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from payledger.plans.pipeline import VIEW_NAMES, deploy, latest_version, read_business_days, upsert_table
@@ -107,3 +109,35 @@ def test_command_line_deploy(spark, erp, cfg):
                 "--calendar-start", "1994-12-01", "--calendar-end", "2002-12-31"], spark=spark)
     assert spark.table("AccountsPayableGenAI").count() == spark.table("AccountsPayableGenAI").count() > 0
     assert os.path.isdir(out["currency_conversion"])
+
+
+def test_unreadable_version_is_an_error(spark):
+    """A version that cannot be read is not taken for an absent table."""
+    from payledger.plans.pipeline import upsert_table
+
+    root = tempfile.mkdtemp(prefix="upsert-broken-") + "/t"
+    os.makedirs(f"{root}/version=0")
+    with open(f"{root}/version=0/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        upsert_table(spark, root, spark.createDataFrame([(1, "a")], "k int, v string"), ["k"])
+    assert sorted(n for n in os.listdir(root) if n.startswith("version=")) == ["version=0"]
+
+
+def test_duplicate_keys_are_not_published(spark):
+    from payledger.plans.pipeline import latest_version, upsert_table
+
+    root = tempfile.mkdtemp(prefix="upsert-twice-") + "/t"
+    with pytest.raises(ValueError):
+        upsert_table(spark, root, spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), ["k"])
+    assert latest_version(spark, root) is None
+
+
+def test_unreadable_holiday_is_an_error(spark):
+    from payledger.sources.holidays import load_holiday_csv
+
+    folder = tempfile.mkdtemp(prefix="holidays-bad-")
+    with open(f"{folder}/a.csv", "w") as f:
+        f.write("HolidayDate;Name\n01/01/2001;New Year\n12-25-2001;odd\n")
+    with pytest.raises(ValueError, match="1 holiday rows"):
+        load_holiday_csv(spark, folder)

@@ -107,7 +107,7 @@ def test_salted_left_join_keeps_null_keys(spark):
 
 def test_size_checked_broadcast(spark):
     small = spark.range(10)
-    assert is_small(small, 100) and not is_small(spark.range(1000), 100)
+    assert is_small(small, 100) and not is_small(spark.range(1000), 100)  # 8 bytes a row
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         spark.range(1000).join(broadcast_if_small(small, 100), "id").explain()
@@ -179,6 +179,6 @@ def test_lookup_join_paths_agree(spark, erp, cfg):
     from payledger.plans.model import LedgerModel
 
     small = LedgerModel(spark, erp, cfg).accounts_payable
-    large = LedgerModel(spark, erp, dataclasses.replace(cfg, broadcast_row_limit=0)).accounts_payable
+    large = LedgerModel(spark, erp, dataclasses.replace(cfg, broadcast_bytes=0)).accounts_payable
     assert small.count() == large.count()
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
