@@ -83,7 +83,7 @@ def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             c = counts_of(text if isinstance(text, str) else None)
             if c is not None:
                 at = np.flatnonzero(c)
-                out.append((lang, at.astype(np.int32), c[at].astype(np.int32)))
+                out.append((lang, at.astype(np.int32).tobytes(), c[at].astype(np.int32).tobytes()))
         yield pd.DataFrame(out, columns=["lang", "slots", "counts"])
 
 
@@ -116,13 +116,14 @@ def fit(train: DataFrame, sample: int = SAMPLE_PER_LANGUAGE, centroids: int = CE
     share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
-    rows = train.where(u < share).select("lang", "text").mapInPandas(_vectors, "lang string, slots array<int>, counts array<int>").collect()
+    rows = train.where(u < share).select("lang", "text").mapInPandas(_vectors, "lang string, slots binary, counts binary").collect()
     owner, centres, langs, floor = [], [], sorted({r["lang"] for r in rows}), []
     for i, lang in enumerate(langs):
-        mine = sorted([r for r in rows if r["lang"] == lang], key=lambda r: (len(r["slots"]), r["slots"], r["counts"]))
+        mine = sorted([r for r in rows if r["lang"] == lang], key=lambda r: (len(r["slots"]), bytes(r["slots"]), bytes(r["counts"])))
         x = np.zeros((len(mine), DIM), dtype=np.float32)
         for j, r in enumerate(mine):
-            x[j, r["slots"]] = np.log1p(np.array(r["counts"])) * idf[r["slots"]]
+            slots = np.frombuffer(r["slots"], dtype=np.int32)
+            x[j, slots] = np.log1p(np.frombuffer(r["counts"], dtype=np.int32)) * idf[slots]
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
         c = _k_means(x, centroids)
         floor.append(REJECT * float(np.max(x @ c.T, axis=1).min()))
