@@ -80,10 +80,10 @@ grams AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
   FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT k FROM grams),
-at AS (
+runs AS (
   SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
   FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)),
-hits AS (SELECT r, i, at.k, item_id FROM at JOIN grams ON at.k = grams.k AND at.g = grams.g),
+hits AS (SELECT r, i, runs.k, item_id FROM runs JOIN grams ON runs.k = grams.k AND runs.g = grams.g),
 marked AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r),
 named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r)
@@ -95,12 +95,13 @@ FROM d LEFT JOIN marked USING (r) LEFT JOIN named USING (r)
 OP3_SQL = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS o,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-at AS (SELECT r, o, i, md5_number(array_to_string(w[i:i + 49], ' ')) AS g
+runs AS (SELECT r, o, i, md5_number(array_to_string(w[i:i + 49], ' ')) AS g
   FROM (SELECT r, o, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
-late AS (SELECT r, i FROM (SELECT r, i, o, min(o) OVER (PARTITION BY g) AS lo FROM at) WHERE lo < o),
+late AS (SELECT r, i FROM (SELECT r, i, o, min(o) OVER (PARTITION BY g) AS lo FROM runs) WHERE lo < o),
 gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 50)) AS p FROM late)),
-kept AS (SELECT d.r, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY x.p) FILTER (gone.p IS NULL) AS t
-  FROM d, LATERAL (SELECT unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p) AS x LEFT JOIN gone ON gone.r = d.r AND gone.p = x.p GROUP BY d.r)
+each AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT r, count(g.q) AS n_removed, string_agg(word, ' ' ORDER BY x.p) FILTER (WHERE g.q IS NULL) AS t
+  FROM (SELECT r, word, p FROM each) x LEFT JOIN (SELECT r, p, p AS q FROM gone) g USING (r, p) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
