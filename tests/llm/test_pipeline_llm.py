@@ -70,3 +70,18 @@ def test_registration():
     names = entry.queries()
     assert "pipeline" in names and len([n for n in names if n.startswith("op")]) == 10
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_sql_agrees(spark):
+    import duckdb
+
+    import __spark_entry__ as entry
+    from payledger.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    for name, sql in queries.oracle_sql().items():
+        expected = con.sql(sql)
+        got = entry.queries()[name](spark, SF).select(*expected.columns).collect()
+        assert sorted(map(tuple, got)) == sorted(expected.fetchall())
