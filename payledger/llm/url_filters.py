@@ -30,7 +30,7 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-DAMPING, THRESHOLD, TOLERANCE, MAX_TURNS = 0.85, 1e-4, 1e-6, 50
+DAMPING, THRESHOLD, TOLERANCE, MAX_TURNS = 0.85, 1e-4, 1e-6, 100
 SALTS = 64
 
 
