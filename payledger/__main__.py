@@ -19,8 +19,7 @@ from pyspark.sql import SparkSession
 
 from payledger.config import LedgerConfig
 from payledger.plans.pipeline import deploy
-from payledger.sources.erp import TableResolver
-from payledger.sources.fixtures import ERP_TABLES
+from payledger.sources.erp import HOLIDAY_TABLE, MODEL_TABLES, TableResolver
 
 
 def _date(text: str) -> dt.date:
@@ -38,7 +37,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     dp.add_argument("--as-of", type=_date, help="date used as 'today' (default: the current date)")
     dp.add_argument("--calendar-start", type=_date)
     dp.add_argument("--calendar-end", type=_date)
-    dp.add_argument("--target-database", help="catalog database for catalog outputs (calendar)")
+    dp.add_argument("--target-database", help="catalog database for the outputs")
+    dp.add_argument("--holiday-csv", help="holiday files to load (default: the table febraban_holiday)")
     args = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName("payledger-deploy").getOrCreate()
@@ -48,7 +48,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.calendar_end:
         cfg = dataclasses.replace(cfg, calendar_end=args.calendar_end)
     resolver = TableResolver(root=args.root, database=args.database)
-    out = deploy(spark, resolver.tables(spark, ERP_TABLES), cfg, args.out, database=args.target_database)
+    names = MODEL_TABLES if args.holiday_csv else (*MODEL_TABLES, HOLIDAY_TABLE)
+    out = deploy(spark, resolver.tables(spark, names), cfg, args.out, database=args.target_database, holiday_csv=args.holiday_csv)
     print(json.dumps(out))
     return out
 

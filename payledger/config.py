@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,7 +65,6 @@ class LedgerConfig:
     # Write small dimensions (business days, fiscal periods, daily target rates,
     # currency decimals) once to the checkpoint folder and use them as leaves.
     materialize_dimensions: bool = True
-    extra: dict = field(default_factory=dict)
 
     def today(self) -> Column:
         if self.as_of is None:

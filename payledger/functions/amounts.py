@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payledger.types import AMOUNT
+from payledger.types import AMOUNT, NUMERIC
 
 
 def flipped(amount: Column, indicator: Column) -> Column:
@@ -41,3 +41,17 @@ def scale_amount(amount: Column, factor: Column) -> Column:
     """``COALESCE(amount * factor, amount)``: amounts of currencies without a
     decimal entry stay as stored; others are multiplied by 10^(2 - decimals)."""
     return F.coalesce(amount * factor, amount).cast(AMOUNT)
+
+
+def exact_product(amount: Column, factor: Column) -> Column:
+    """``amount * factor`` rounded half-up to 9 decimals, for a factor of at
+    most 19 digits and 3 decimals (a count or a quantity).
+
+    Spark gives up decimals when a product needs more than 38 digits. Whole part
+    and fraction of the amount are multiplied apart: they have the same sign, and
+    only the second product is rounded. Fails from 10^28 on, no earlier.
+    """
+    a = amount.cast("decimal(37,9)")
+    fraction = a % F.lit(1).cast("decimal(1,0)")
+    whole = (a - fraction).cast("decimal(28,0)")
+    return ((whole * factor).cast("decimal(37,9)") + (fraction * factor).cast("decimal(37,9)")).cast(NUMERIC)

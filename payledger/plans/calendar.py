@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from payledger.config import LedgerConfig
-from payledger.operators.joins import bounded_broadcast, broadcast_if_small
+from payledger.operators.joins import bounded_broadcast, broadcast_if_small, lookup_left_join
 
 
 def day_count(start: dt.date, end: dt.date) -> int:
@@ -110,15 +110,16 @@ def calendar_attribute(name: str, d: Column) -> Column:
 
 
 def add_calendar_attributes(
-    df: DataFrame, calendar: DataFrame | None, date_col: str, names: Mapping[str, str], max_rows: int, limit: int,
+    df: DataFrame, calendar: DataFrame | None, date_col: str, names: Mapping[str, str], limit: int,
     start: dt.date | None = None, end: dt.date | None = None,
 ) -> DataFrame:
     """Bring calendar attributes ``{attribute: output name}`` for ``date_col``.
 
     With ``calendar=None`` the generated calendar is applied as expressions:
     the same values a left join to ``calendar_date_dim(start, end)`` gives
-    (NULL outside the range), without a join. With a calendar table (one
-    row per day, size known from its range) it is a broadcast left join.
+    (NULL outside the range), without a join. With a stored calendar table (one
+    row per day) its own values are looked up by a left join, a broadcast after a
+    size check.
     """
     if calendar is None:
         d = F.col(date_col)
@@ -126,8 +127,7 @@ def add_calendar_attributes(
         return df.withColumns({o: F.when(inside, calendar_attribute(a, d)) for a, o in names.items()})
     alias = f"cal_{date_col}"
     cal = calendar.select(F.col("Date").alias(f"{alias}_date"), *[F.col(a).alias(o) for a, o in names.items()])
-    cal = bounded_broadcast(cal, max_rows, limit)
-    return df.join(cal, df[date_col] == cal[f"{alias}_date"], "left").drop(f"{alias}_date")
+    return lookup_left_join(df, cal, [(F.col(date_col), f"{alias}_date")], df.columns[:5], limit).drop(f"{alias}_date")
 
 
 # ---------------------------------------------------------------- holidays

@@ -130,7 +130,7 @@ def write_currency_conversion(daily: DataFrame, path: str) -> None:
     (one folder per day would mean ~3,650 tiny partitions per history)."""
     (
         daily.withColumn("conv_year", F.year("conv_date"))
-        .repartition("conv_year")
+        .repartition("conv_year", *PAIR_KEYS)
         .sortWithinPartitions("conv_date")
         .write.mode("overwrite")
         .partitionBy("conv_year")

@@ -12,7 +12,7 @@ from payledger.config import LedgerConfig
 from payledger.functions.amounts import scale_amount, scale_amount_sql, sign_flip_columns
 from payledger.functions.dates import cash_discount_date_1, cash_discount_date_2, net_due_date
 from payledger.operators.joins import broadcast_if_small, lookup_left_join
-from payledger.plans.calendar import add_calendar_attributes, day_count
+from payledger.plans.calendar import add_calendar_attributes
 from payledger.plans.masterdata import pick, pick_sql, unmapped_sql
 from payledger.types import AMOUNT, RAW_AMOUNT, zero
 
@@ -25,9 +25,8 @@ def _calendar_names(kind: str, suffix: str) -> dict[str, str]:
 
 
 def _with_calendar(df, calendar, cfg, date_col, kind, suffix):
-    n = day_count(cfg.calendar_start, cfg.calendar_end)
     return add_calendar_attributes(
-        df, calendar, date_col, _calendar_names(kind, suffix), n, cfg.broadcast_bytes,
+        df, calendar, date_col, _calendar_names(kind, suffix), cfg.broadcast_bytes,
         cfg.calendar_start, cfg.calendar_end,
     )
 
@@ -36,7 +35,7 @@ def _currency_factor(df: DataFrame, decimals: DataFrame, on: Column, out: str, l
     """Left join the currency-decimal table (one row per currency, broadcast
     after a size check) and keep its factor as ``out``."""
     dec = decimals.select(F.col("CURRKEY").alias(f"{out}_key"), F.col("CURRFIX").alias(out))
-    salt = df.columns[:2]
+    salt = df.columns[:5]
     return lookup_left_join(df, dec, [(on, f"{out}_key")], salt, limit).drop(f"{out}_key")
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from payledger.config import LedgerConfig
 from payledger.operators.joins import materialize
@@ -16,14 +18,24 @@ from payledger.plans import calendar, currency, documents, masterdata, payables
 class LedgerModel:
     """Lazily built datasets over ``tables`` (ERP table name -> DataFrame).
 
-    Nothing runs until an action is called on one of the properties; each
-    property is the plan a ``create view`` would give in a SQL warehouse.
+    Each property is the plan a ``create view`` would give in a SQL warehouse;
+    only the small dimensions are written when first used. "Today" is fixed when
+    the model is made, so all datasets agree on it.
+
+    ``stored`` gives already persisted datasets by property name (currency_decimal,
+    currency_conversion, business_days, calendar): they are read instead of built.
+    A stored calendar also provides the calendar attributes of the documents.
     """
 
-    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConfig):
+    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConfig,
+                 stored: Mapping[str, DataFrame] | None = None):
         self.spark = spark
         self.tables = tables
+        if cfg.as_of is None:
+            cfg = dataclasses.replace(cfg, as_of=spark.range(1).select(F.current_date()).first()[0])
         self.cfg = cfg
+        self.__dict__.update(stored or {})
+        self.stored_calendar = (stored or {}).get("calendar")
 
     def _dimension(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self.cfg.materialize_dimensions else df
@@ -69,7 +81,7 @@ class LedgerModel:
     # documents
     @cached_property
     def invoices(self) -> DataFrame:
-        df = documents.invoice_documents_flow(self.tables, self.currency_decimal, None, self.cfg)
+        df = documents.invoice_documents_flow(self.tables, self.currency_decimal, self.stored_calendar, self.cfg)
         if self.cfg.materialize_invoices:
             from payledger.session import checkpoint_dir
 
@@ -80,20 +92,18 @@ class LedgerModel:
     @cached_property
     def parked_invoice_flow(self) -> DataFrame:
         """The invoice flow of parked invoices only (lines filtered before their join)."""
-        from pyspark.sql import functions as F
-
         return documents.invoice_documents_flow(
-            self.tables, self.currency_decimal, None, self.cfg,
+            self.tables, self.currency_decimal, self.stored_calendar, self.cfg,
             header_filter=F.col("rbstat") == self.cfg.parked_status,
         )
 
     @cached_property
     def purchase_history(self) -> DataFrame:
-        return documents.purchase_documents_history(self.tables, self.currency_decimal, None, self.cfg)
+        return documents.purchase_documents_history(self.tables, self.currency_decimal, self.stored_calendar, self.cfg)
 
     @cached_property
     def accounting_documents(self) -> DataFrame:
-        return documents.accounting_documents(self.tables, self.currency_decimal, None, self.cfg)
+        return documents.accounting_documents(self.tables, self.currency_decimal, self.stored_calendar, self.cfg)
 
     # payables
     @cached_property

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, StringType
 
 from payledger.config import LedgerConfig
+from payledger.functions.amounts import exact_product
 from payledger.functions.dates import days_to_int
 from payledger.functions.text import last_token, left, strip_leading_zeros
 from payledger.operators.joins import broadcast_if_small, left_join_salted_nulls, lookup_left_join
@@ -363,15 +364,13 @@ def measures(cfg: LedgerConfig) -> dict[str, Column]:
     due = F.col("NetDueDate")
     augdt = F.col("ClearingDate_AUGDT")
     is_open = augdt < F.lit(cfg.open_item_sentinel)
-    L_amt = F.col("AmountInLocalCurrency_DMBTR").cast(AMOUNT)
-    D_amt = F.col("AmountInDocumentCurrency_WRBTR").cast(AMOUNT)
     rate = F.col("ExchangeRate_UKURS").cast(RATE)
     # computed once per row by ``measure_inputs`` (CASE branches are not
     # shared by subexpression elimination, so they are plain columns here)
     T, L, D = F.col("__T"), F.col("__L"), F.col("__D")
     prefix2 = left(F.col("AccountingDocumentNumber_BELNR"), 2)
     bwart = F.col("MovementType__inventoryManagement___BWART")
-    penalty = F.coalesce(_safe_int(F.col("__vc_low")), F.lit(0)).cast("decimal(9,0)")
+    penalty = F.coalesce(_safe_int(F.col("__vc_low")), F.lit(0)).cast("decimal(19,0)")
     late = vendor & (augdt > due)
 
     out: dict[str, Column] = {
@@ -404,10 +403,8 @@ def measures(cfg: LedgerConfig) -> dict[str, Column]:
     out.update(_kpi(vendor & due.between(today, F.date_add(today, cfg.upcoming_payment_days)) & is_open,
                     L, D, T, "UpcomingPayments"))
     out.update({
-        "PotentialPenaltyInLocalCurrency": (F.when(late, L_amt).otherwise(zero(AMOUNT)) * penalty).cast(NUMERIC),
-        "PotentialPenaltyInDocumentCurrency": (F.when(late, D_amt).otherwise(zero(AMOUNT)) * penalty).cast(NUMERIC),
-        "PotentialPenaltyInTargetCurrency": (
-            F.when(late, T).otherwise(zero()).cast("decimal(28,9)") * penalty).cast(NUMERIC),
+        f"PotentialPenaltyIn{suffix}Currency": exact_product(F.when(late, v).otherwise(zero()), penalty)
+        for suffix, v in (("Local", L), ("Document", D), ("Target", T))
     })
     material = koart == cfg.material_account_type
     receipt = material & bwart.isin(*cfg.receipt_movements)
@@ -420,30 +417,33 @@ def measures(cfg: LedgerConfig) -> dict[str, Column]:
     invoice_31 = F.col("PostingKey_BSCHL") == cfg.vendor_invoice_posting_key
     skfbt = F.col("AmountEligibleForCashDiscountInDocumentCurrency_SKFBT").cast(AMOUNT)
     pct = F.col("CashDiscountPercentage1_ZBD1P").cast("decimal(5,3)")
-    skfbt_target = (skfbt * rate).cast("decimal(30,9)")
+    skfbt_target = (skfbt * rate).cast("decimal(32,9)")
+    percent = F.lit("0.01").cast("decimal(2,2)")
     out["TargetCashDiscountInSourceCurrency"] = F.when(
-        invoice_31, ((skfbt * pct).cast(NUMERIC).cast("decimal(30,9)") / 100)
-    ).otherwise(zero()).cast(NUMERIC)
+        invoice_31, ((skfbt * pct).cast("decimal(35,9)") * percent).cast(NUMERIC)
+    ).otherwise(zero())
     out["TargetCashDiscountInTargetCurrency"] = F.when(
-        invoice_31, ((skfbt_target * pct).cast(NUMERIC).cast("decimal(30,9)") / 100)
-    ).otherwise(zero()).cast(NUMERIC)
+        invoice_31, ((skfbt_target * pct).cast("decimal(35,9)") * percent).cast(NUMERIC)
+    ).otherwise(zero())
     out.update(_kpi(vendor & is_open & ~F.coalesce(prefix2.isin(*cfg.payment_doc_prefixes), F.lit(True)),
                     L, D, T, "AmountOfOpenDebitItems"))
     ret = bwart == cfg.return_movement
     menge = F.col("__p_menge").cast("decimal(13,3)")
     po_l = F.col("__p_dmbtr").cast(AMOUNT)
-    po_t = (F.col("__p_wrbtr").cast(AMOUNT) * rate).cast("decimal(24,9)")
-    out["AmountOfReturnInLocalCurrency"] = F.when(ret, po_l * menge).otherwise(zero()).cast(NUMERIC)
-    out["AmountOfReturnInDocumentCurrency"] = F.when(
-        ret, F.col("__p_wrbtr").cast(AMOUNT) * menge).otherwise(zero()).cast(NUMERIC)
-    out["AmountOfReturnInTargetCurrency"] = F.when(ret, po_t * menge).otherwise(zero()).cast(NUMERIC)
+    po_d = F.col("__p_wrbtr").cast(AMOUNT)
+    for suffix, v in (("Local", po_l), ("Document", po_d), ("Target", po_d * rate)):
+        out[f"AmountOfReturnIn{suffix}Currency"] = F.when(ret, exact_product(v, menge)).otherwise(zero())
     return out
 
 
 def _safe_int(c: Column) -> Column:
-    """SAFE_CAST(string AS INT64): an optionally signed run of digits, else NULL."""
+    """SAFE_CAST(string AS INT64): an optionally signed run of digits, or of
+    hexadecimal digits after ``0x``; else, or out of range, NULL."""
     trimmed = F.trim(c)
-    return F.when(trimmed.rlike(r"^[+-]?[0-9]+$"), trimmed.try_cast("bigint"))
+    digits = F.regexp_extract(trimmed, r"^[+-]?0[xX]0*([0-9a-fA-F]{1,16})$", 1)
+    sign = F.when(F.startswith(trimmed, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    return F.when(trimmed.rlike(r"^[+-]?[0-9]+$"), trimmed.try_cast("bigint")).when(
+        digits != "", F.concat(sign, F.conv(digits, 16, 10)).try_cast("bigint"))
 
 
 def measure_inputs() -> dict[str, Column]:

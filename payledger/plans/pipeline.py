@@ -1,26 +1,28 @@
 """Deploy: build every dataset in dependency order and persist the tables.
 
 Order: currency_conversion (date-partitioned) and currency_decimal (replaced),
-calendar_date_dim (created only when absent), BusinessDays (upserted), then
-the views, and finally descriptions on the payable view. Persisted outputs go
-to a shared folder; views are session temp views over the lazy plans.
+calendar_date_dim (created only when absent), FebrabanHoliday and BusinessDays
+(upserted), then the nine datasets, which read those tables back, with
+descriptions on the payable one. Every output is a stored table in a shared
+folder, and with a database also a catalog table, so a new session finds it.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from payledger.config import LedgerConfig
 from payledger.descriptions import PAYABLE_DESCRIPTIONS
 from payledger.operators.describe import attach_descriptions
 from payledger.operators.upsert import upsert
-from payledger.plans import calendar, currency
+from payledger.plans import calendar, currency, masterdata
 from payledger.plans.model import LedgerModel
+from payledger.sources.erp import HOLIDAY_TABLE
+from payledger.sources.holidays import load_holiday_csv
 
 # Names of the published views.
 VIEW_NAMES = {
@@ -67,64 +69,128 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return _current_version(spark, root)[1]
 
 
-def upsert_table(spark: SparkSession, root: str, source: DataFrame, keys: list[str]) -> int:
-    """MERGE ``source`` into the versioned table at ``root`` (no delete branch).
-
-    The result is written aside, its keys are checked, and one rename publishes
-    it as the next version; older versions stay readable. A writer that finds its
-    version published by another one fails and leaves the table as it is."""
-    current, newest = _current_version(spark, root)
-    result = source if current is None else upsert(current, source, keys, check_unique=True)
-    version = 0 if newest is None else newest + 1
+def _publish(spark: SparkSession, result: DataFrame, root: str, version: int, keys: list[str] | None = None) -> str:
+    """Write ``result`` aside, check its keys, and publish it by one rename as
+    ``version=N`` of ``root``. A writer that finds its version published by
+    another one fails and leaves the table as it is."""
     aside = f"{root.rstrip('/')}/_writing-{uuid.uuid4().hex}"
     result.write.parquet(aside)
-    twice = spark.read.parquet(aside).groupBy(*keys).count().where("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"duplicate key in the new version: {twice[0].asDict()}")
-    fs, target = _folder(spark, f"{root.rstrip('/')}/version={version}")
+    if keys:
+        twice = spark.read.parquet(aside).groupBy(*keys).count().where("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"duplicate key in the new version: {twice[0].asDict()}")
+    path = f"{root.rstrip('/')}/version={version}"
+    fs, target = _folder(spark, path)
     if fs.exists(target) or not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), target):
         raise RuntimeError(f"version {version} of {root} was published by another writer")
+    return path
+
+
+def upsert_table(spark: SparkSession, root: str, source: DataFrame, keys: list[str]) -> int:
+    """MERGE ``source`` into the versioned table at ``root`` (no delete branch);
+    older versions stay readable."""
+    current, newest = _current_version(spark, root)
+    result = source if current is None else upsert(current, source, keys, check_unique=True)
+    version = 0 if newest is None else newest + 1
+    _publish(spark, result, root, version, keys)
     return version
 
 
+def replace_table(spark: SparkSession, root: str, df: DataFrame) -> DataFrame:
+    """Publish ``df`` as the next version of ``root`` and read it back."""
+    newest = latest_version(spark, root)
+    return spark.read.schema(df.schema).parquet(_publish(spark, df, root, 0 if newest is None else newest + 1))
+
+
+def _catalog_table(spark: SparkSession, database: str, name: str, df: DataFrame) -> str:
+    """A catalog table ``database.name`` over the stored files of ``df``, with its
+    column comments; the files of an earlier one are kept."""
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    spark.catalog.createTable(f"{database}.{name}", path=os.path.dirname(df.inputFiles()[0]), source="parquet", schema=df.schema)
+    return f"{database}.{name}"
+
+
+def _holidays(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, csv: str | None) -> DataFrame:
+    """The stored holiday table: rows of the CSV (or of the replicated table) are
+    added to it, then it is read back. With neither, the stored rows count."""
+    if csv is not None:
+        given = load_holiday_csv(spark, csv)[0]
+    elif HOLIDAY_TABLE in tables:
+        given = calendar.holidays_from_table(tables).where("HolidayDate IS NOT NULL").distinct()
+    else:
+        given = None
+    if given is not None:
+        upsert_table(spark, root, given, ["HolidayDate"])
+    current, _ = _current_version(spark, root)
+    if current is None:
+        raise ValueError(f"no holiday table: give a holiday CSV or a {HOLIDAY_TABLE} table")
+    return current
+
+
 def deploy(spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConfig, out_root: str,
-           database: str | None = None) -> dict[str, str]:
-    """Build and persist helper tables, register the views; returns output paths.
-
-    With ``database`` the calendar is a catalog table created only when the
-    catalog does not have it yet (``spark.catalog.tableExists``)."""
-    model = LedgerModel(spark, tables, cfg)
-    out = {}
-    conv_path = os.path.join(out_root, "currency_conversion")
-    currency.write_currency_conversion(model.currency_conversion, conv_path)
-    out["currency_conversion"] = conv_path
-
-    dec_path = os.path.join(out_root, "currency_decimal")
-    model.currency_decimal.coalesce(1).write.mode("overwrite").parquet(dec_path)
-    out["currency_decimal"] = dec_path
-
-    cal_path = os.path.join(out_root, "calendar_date_dim")
+           database: str | None = None, holiday_csv: str | None = None,
+           datasets: Collection[str] | None = None) -> dict[str, str]:
+    """Build and persist the helper tables and the nine datasets; returns where
+    each one is, and under ``missing_descriptions`` the payable columns that no
+    description names.
+
+    ``datasets`` limits the run to some of ``VIEW_NAMES``. Holidays come from
+    ``holiday_csv`` when it is given. With ``database`` every
+    output is a catalog table as well (the calendar is created only when the
+    catalog does not have it yet); without one the datasets get session views over
+    the stored files. Rates, decimals, calendar, holidays and business days are
+    read back from their tables by whatever follows."""
+    def at(name):
+        return os.path.join(out_root, name)
+
+    out = {"FebrabanHoliday": at("FebrabanHoliday")}
+    holidays = _holidays(spark, tables, out["FebrabanHoliday"], holiday_csv)
+    build = LedgerModel(spark, {**tables, HOLIDAY_TABLE: holidays}, cfg)
+    stored: dict[str, DataFrame] = {}
+
+    out["currency_conversion"] = at("currency_conversion")
+    currency.write_currency_conversion(build.currency_conversion, out["currency_conversion"])
+    stored["currency_conversion"] = spark.read.parquet(out["currency_conversion"]).drop("conv_year")
+
+    out["currency_decimal"] = at("currency_decimal")
+    build.currency_decimal.coalesce(1).write.mode("overwrite").parquet(out["currency_decimal"])  # a row per currency
+    stored["currency_decimal"] = spark.read.parquet(out["currency_decimal"])
+
+    days = calendar.calendar_date_dim(spark, cfg.calendar_start, cfg.calendar_end)
     if database is not None:
         name = f"{database}.calendar_date_dim"
         if not spark.catalog.tableExists(name):  # create only when absent
-            calendar.calendar_date_dim(spark, cfg.calendar_start, cfg.calendar_end).write.option(
-                "path", cal_path).saveAsTable(name)
-        out["calendar_date_dim"] = name
+            days.write.option("path", at("calendar_date_dim")).saveAsTable(name)
+        out["calendar_date_dim"], stored["calendar"] = name, spark.table(name)
     else:
-        if not _exists(spark, cal_path):  # create only when absent
-            calendar.calendar_date_dim(spark, cfg.calendar_start, cfg.calendar_end).write.parquet(cal_path)
-        out["calendar_date_dim"] = cal_path
+        out["calendar_date_dim"] = at("calendar_date_dim")
+        if not _exists(spark, out["calendar_date_dim"]):  # create only when absent
+            days.write.parquet(out["calendar_date_dim"])
+        stored["calendar"] = spark.read.parquet(out["calendar_date_dim"])
 
-    bd_root = os.path.join(out_root, "BusinessDays")
-    upsert_table(spark, bd_root, model.business_days, ["date"])
-    out["BusinessDays"] = bd_root
+    out["BusinessDays"] = at("BusinessDays")
+    upsert_table(spark, out["BusinessDays"], build.business_days, ["date"])
+    stored["business_days"] = read_business_days(spark, out["BusinessDays"])
 
+    model = LedgerModel(spark, build.tables, build.cfg, stored)
     for attr, view in VIEW_NAMES.items():
+        if datasets is not None and view not in datasets:
+            continue
         df = getattr(model, attr)
-        if attr == "accounts_payable":
-            df, _missing = attach_descriptions(df, PAYABLE_DESCRIPTIONS)
-        df.createOrReplaceTempView(view)
-        out[view] = f"view:{view}"
+        if attr == "customers":
+            df = masterdata.customers_md(model.tables, model.cfg, ordered=True)
+        elif attr == "accounts_payable":
+            df, missing = attach_descriptions(df, PAYABLE_DESCRIPTIONS)
+            out["missing_descriptions"] = ",".join(missing)
+        kept = replace_table(spark, at(view), df)
+        if database is not None:
+            out[view] = _catalog_table(spark, database, view, kept)
+        else:
+            kept.createOrReplaceTempView(view)
+            out[view] = os.path.dirname(kept.inputFiles()[0])
+    if database is not None:
+        for name, df in (("FebrabanHoliday", holidays), ("BusinessDays", stored["business_days"])):
+            _catalog_table(spark, database, name, df)
     return out
 
 

@@ -26,6 +26,11 @@ DOCUMENT_KEYS: dict[str, list[str]] = {
     "ekbe": ["mandt", "ebeln", "ebelp"],
 }
 
+# The replicated tables the model reads.
+MODEL_TABLES = ("bkpf", "bseg", "rbkp", "rseg", "rbco", "prps", "ekbe", "lfa1", "kna1", "adrc", "t001", "t009", "t009b",
+                "tcurx", "tcurr", "tcurf", "tvarvc")
+HOLIDAY_TABLE = "febraban_holiday"
+
 
 @dataclass(frozen=True)
 class TableResolver:

@@ -222,7 +222,7 @@ COLUMNS: dict[str, list[tuple[str, str]]] = {
     "tvarvc": [
         ("mandt", "'100'"),
         ("name", "concat('Z_VENDOR_', lpad(cast(s_suppkey as string), 10, '0'))"),
-        ("low", "case s_suppkey % 6 when 0 then '2' when 2 then 'abc' else '1.5' end"),
+        ("low", "case s_suppkey % 6 when 0 then '2' when 2 then 'abc' when 4 then case when s_suppkey % 12 = 4 then '5000000000' else '1.5' end else '1.5' end"),
         ("high", "cast(null as string)"),
     ],
     "febraban_holiday": [
@@ -252,7 +252,7 @@ SQL_SOURCES: dict[str, str] = {
         "(select n_nationkey m, y from nation cross join (select distinct year(o_orderdate) y from orders) o "
         "where n_nationkey between 1 and 12) n CROSS JOIN (select 'K2' p union all select 'K3') v"
     ),
-    "tcurx": "(select 'JPY' c, 0 d union all select 'KWD', 3 union all select 'BRL', 2 union all select 'USD', null) x",
+    "tcurx": "(select 'JPY' c, 0 d union all select 'KWD', 3 union all select 'BRL', 2 union all select 'USD', null union all select 'ZZZ', 5) x",
     "tcurr": (
         "(select distinct cast(o_orderdate as date) d from orders) o "
         "CROSS JOIN (select 'USD' f, 1 i union all select 'EUR', 2 union all select 'JPY', 3 "
@@ -352,7 +352,7 @@ def erp_tables(spark: SparkSession, sf_dir: str, parallelism: int | None = None)
     out["tcurx"] = _project(
         spark.range(1).selectExpr(
             "inline(array(struct('JPY' AS c, 0 AS d), struct('KWD' AS c, 3 AS d), "
-            "struct('BRL' AS c, 2 AS d), struct('USD' AS c, cast(null as int) AS d)))"
+            "struct('BRL' AS c, 2 AS d), struct('USD' AS c, cast(null as int) AS d), struct('ZZZ' AS c, 5 AS d)))"
         ),
         "tcurx",
     )

@@ -1,6 +1,6 @@
 """Decimal types. Products are cast so that Spark never has to drop digits.
 
-decimal(23,4) * decimal(18,9) needs 42 digits, so Spark rounds the product
+decimal(28,9) * decimal(18,9) needs 47 digits, so Spark rounds the product
 half-up to 9 decimals: the same result a NUMERIC(38,9) column gives.
 """
 
@@ -8,17 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-AMOUNT = DecimalType(23, 4)     # amounts after the currency-decimal fix
+AMOUNT = DecimalType(28, 9)     # amounts after the currency-decimal fix
 RAW_AMOUNT = DecimalType(23, 2)
 RATE = DecimalType(18, 9)       # exchange rates
-FACTOR = DecimalType(12, 4)     # currency decimal factor 10^(2 - decimals)
+FACTOR = DecimalType(12, 9)     # currency decimal factor 10^(2 - decimals)
 NUMERIC = DecimalType(38, 9)    # generic NUMERIC result
-NARROW = DecimalType(27, 9)     # NUMERIC narrowed before a further product
-DAYS = DecimalType(3, 0)
-
-
-def numeric(c: Column) -> Column:
-    return c.cast(NUMERIC)
 
 
 def zero(t=NUMERIC) -> Column:

@@ -7,6 +7,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from payledger.plans.calendar import calendar_date_dim
+from payledger.plans.model import LedgerModel
 from payledger.plans.pipeline import VIEW_NAMES, deploy, latest_version, read_business_days, upsert_table
 from payledger.sources.holidays import write_holiday_csv
 from payledger.streaming.holiday_feed import start_holiday_feed
@@ -15,7 +17,7 @@ from payledger.streaming.holiday_feed import start_holiday_feed
 def test_deploy_writes_tables_and_registers_views(spark, erp, cfg):
     out_root = tempfile.mkdtemp(prefix="deploy-")
     out = deploy(spark, erp, cfg, out_root)
-    assert spark.read.parquet(out["currency_decimal"]).count() == 4
+    assert spark.read.parquet(out["currency_decimal"]).count() == 5
     conv = spark.read.parquet(out["currency_conversion"])
     assert "conv_year" in conv.columns and conv.count() > 0
     for view in VIEW_NAMES.values():
@@ -23,7 +25,7 @@ def test_deploy_writes_tables_and_registers_views(spark, erp, cfg):
     ap = spark.table("AccountsPayableGenAI")
     assert ap.schema["NAME1"].metadata.get("comment")
     # a second deploy upserts BusinessDays into a new version with the same rows
-    deploy(spark, erp, cfg, out_root)
+    deploy(spark, erp, cfg, out_root, datasets=["VendorConfig"])
     assert latest_version(spark, out["BusinessDays"]) == 1
     assert read_business_days(spark, out["BusinessDays"]).count() == \
         spark.read.parquet(out["BusinessDays"]).where("version = 0").count()
@@ -57,9 +59,9 @@ def test_calendar_created_once_in_catalog_and_comments(spark, erp, cfg):
 
     out_root = tempfile.mkdtemp(prefix="deploy-db-")
     spark.sql("CREATE DATABASE IF NOT EXISTS ledger_test")
-    out = deploy(spark, erp, cfg, out_root, database="ledger_test")
+    out = deploy(spark, erp, cfg, out_root, database="ledger_test", datasets=["CompaniesMD"])
     assert spark.catalog.tableExists(out["calendar_date_dim"])
-    deploy(spark, erp, cfg, out_root, database="ledger_test")  # second run keeps the table
+    deploy(spark, erp, cfg, out_root, database="ledger_test", datasets=["CompaniesMD"])  # second run keeps the table
     missing = comment_table_columns(spark, out["calendar_date_dim"], [{"name": "Date", "description": "Day"}])
     assert "CalYear" in missing and "Date" not in missing
     comments = {c.name: c.description for c in spark.catalog.listColumns(out["calendar_date_dim"])}
@@ -107,8 +109,52 @@ def test_command_line_deploy(spark, erp, cfg):
     stage_tables(erp, root)
     out = main(["deploy", "--root", root, "--out", tempfile.mkdtemp(prefix="cli-out-"), "--as-of", "2001-06-30",
                 "--calendar-start", "1994-12-01", "--calendar-end", "2002-12-31"], spark=spark)
-    assert spark.table("AccountsPayableGenAI").count() == spark.table("AccountsPayableGenAI").count() > 0
-    assert os.path.isdir(out["currency_conversion"])
+    fresh = spark.newSession()  # the outputs outlive the session that wrote them
+    stored = fresh.read.parquet(out["AccountsPayableGenAI"])
+    assert stored.count() == LedgerModel(spark, erp, cfg).accounts_payable.count() > 0
+    assert len(stored.columns) == 83 and os.path.isdir(out["currency_conversion"])
+
+
+def test_holiday_csv_reaches_the_business_days_and_catalog_tables_stay(spark, erp, cfg):
+    """One command: CSV to holiday table to business days to datasets, as catalog
+    tables with comments that a new session reads; a corrected calendar counts."""
+    import datetime as dt
+
+    from payledger.__main__ import main
+    from payledger.sources.erp import stage_tables
+
+    root, folder, result = (tempfile.mkdtemp(prefix=p) for p in ("erp-csv-", "csv-", "out-csv-"))
+    stage_tables({k: v for k, v in erp.items() if k != "febraban_holiday"}, root)
+    with open(f"{folder}/a.csv", "w") as f:
+        f.write("HolidayDate;Name\n03/01/1996;Odd Wednesday\n03/01/1996;again\n")
+    spark.sql("CREATE DATABASE IF NOT EXISTS ledger_csv")
+    corrected = calendar_date_dim(spark, cfg.calendar_start, cfg.calendar_end).withColumn("CalWeek", F.lit(99).cast("long"))
+    spark.sql("DROP TABLE IF EXISTS ledger_csv.calendar_date_dim")
+    corrected.write.option("path", f"{result}/calendar_date_dim").saveAsTable("ledger_csv.calendar_date_dim")
+    args = ["deploy", "--root", root, "--out", result, "--as-of", "2001-06-30", "--calendar-start", "1994-12-01",
+            "--calendar-end", "2002-12-31", "--holiday-csv", folder, "--target-database", "ledger_csv"]
+    out = main(args, spark=spark)
+    fresh = spark.newSession()
+    assert [r[0] for r in fresh.table("ledger_csv.FebrabanHoliday").collect()] == [dt.date(1996, 1, 3)]
+    days = {r["date"]: r for r in fresh.table("ledger_csv.BusinessDays").where("date BETWEEN '1996-01-01' AND '1996-01-04'").collect()}
+    assert days[dt.date(1996, 1, 1)]["is_business_day"] and not days[dt.date(1996, 1, 3)]["is_business_day"]
+    assert days[dt.date(1996, 1, 2)]["next_business_day"] == dt.date(1996, 1, 4)
+    for view in VIEW_NAMES.values():
+        assert fresh.table(out[view]).columns
+    weeks = fresh.table(out["AccountingDocuments"]).select("WeekOfPostingDateInTheDocument_BUDAT").distinct().collect()
+    assert [r[0] for r in weeks] == [99]
+    comments = {c.name: c.description for c in fresh.catalog.listColumns(out["AccountsPayableGenAI"])}
+    assert comments["NAME1"] and out["missing_descriptions"] == ""
+    clients = [r[0] for r in fresh.table(out["CustomersMD"]).select("Client_MANDT").collect()]
+    assert clients == sorted(clients)
+
+
+def test_today_is_fixed_when_the_model_is_made(spark, erp, cfg):
+    import dataclasses
+    import datetime as dt
+
+    model = LedgerModel(spark, erp, dataclasses.replace(cfg, as_of=None))
+    assert isinstance(model.cfg.as_of, dt.date)
 
 
 def test_unreadable_version_is_an_error(spark):

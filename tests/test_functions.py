@@ -109,3 +109,26 @@ def test_arrear_modes(spark, erp):
 
     as_written, corrected = arrears("due_minus_today"), arrears("today_minus_due")
     assert as_written and all(corrected[k] == -v for k, v in as_written.items() if k in corrected)
+
+
+def test_exact_product_keeps_nine_decimals(spark):
+    from decimal import ROUND_HALF_UP, Context
+
+    from payledger.functions.amounts import exact_product
+
+    amounts = ["0.01234", "-0.700000000", "123456789012345678.123456789", "-99.999999999", "0.000000001"]
+    factors = ["5000000000.000", "0.500", "0.001", "-3.333", "9999999999.999"]
+    rows = [(Decimal(a), Decimal(f)) for a in amounts for f in factors]
+    df = spark.createDataFrame(rows, "a decimal(28,9), f decimal(13,3)")
+    got = df.select("a", "f", exact_product(F.col("a"), F.col("f")).alias("p")).collect()
+    wide = Context(prec=60)
+    for r in got:
+        assert r.p == wide.multiply(r.a, r.f).quantize(Decimal("1e-9"), ROUND_HALF_UP, wide)
+
+
+def test_safe_int_takes_hexadecimal_and_nineteen_digits(spark):
+    from payledger.plans.payables import _safe_int
+
+    texts = ["0x1F", "-0Xff", "9223372036854775807", "9223372036854775808", "0x8000000000000000", "0x", "1.5", "5000000000"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert [r[0] for r in df.select(_safe_int(F.col("s"))).collect()] == [31, -255, 9223372036854775807, None, None, None, None, 5000000000]
