@@ -274,6 +274,40 @@ def test_lm_learns_context(spark):
     assert lm_scoring.log_probs(w, c, t).sum() > unigram * 0.6
 
 
+def test_lm_scores_ids():
+    """Texts of one class sequence differ in context score, and the factored
+    probabilities of all next ids sum to one."""
+    import numpy as np
+
+    bounds, counts = np.array([0, 1, 2, 10, 20, 21]), np.arange(21, 0, -1.0)
+    rng = np.random.default_rng(4)
+    w = lm_scoring.initial_weights(counts, bounds)
+    w["y"] = rng.normal(size=w["y"].shape).astype(np.float32)
+
+    def total(s):
+        return lm_scoring.log_probs(w, *lm_scoring.windows([np.array(s)])[:2], bounds).sum()
+
+    seq = [3, 0, 12, 5]
+    assert sum(10 ** (total([*seq, k]) - total(seq)) for k in range(21)) == pytest.approx(1, abs=1e-4)
+    after = [total([k, 0, 15]) - total([k]) for k in range(2, 10)]  # ids of one class
+    assert np.ptp(after) > 1e-3
+    ids = lm_scoring.class_bounds()
+    assert len(ids) - 1 == lm_scoring.CLASSES and ids[-1] == lm_scoring.VOCABULARY and np.diff(ids).max() <= lm_scoring.SIZE
+
+    w = {k: v.astype(np.float64) for k, v in w.items()}
+    c, t, _ = lm_scoring.windows([rng.integers(0, 21, 70), rng.integers(0, 21, 20)])
+    _, g = lm_scoring.gradients(w, c, t, bounds)
+    for k in w:
+        for i in np.argsort(-np.abs(g[k]).ravel())[:3]:
+            old, step = w[k].ravel()[i], 1e-5
+            w[k].ravel()[i] = old + step
+            up = lm_scoring.gradients(w, c, t, bounds)[0]
+            w[k].ravel()[i] = old - step
+            down = lm_scoring.gradients(w, c, t, bounds)[0]
+            w[k].ravel()[i] = old
+            assert (up - down) / (2 * step) == pytest.approx(g[k].ravel()[i], rel=2e-2, abs=1e-6), k
+
+
 def test_empty_tables(spark):
     none, bench = empty(spark), spark.createDataFrame([], cases.BENCH_SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
