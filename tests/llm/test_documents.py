@@ -308,6 +308,14 @@ def test_lm_scores_ids():
             assert (up - down) / (2 * step) == pytest.approx(g[k].ravel()[i], rel=2e-2, abs=1e-6), k
 
 
+def test_lm_learns_from_every_training_document(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm_scoring, "_round", lambda part, weights, tasks: seen.append(part.count()) or weights, raising=False)
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    lm_scoring.score(df).count()
+    assert len(seen) == lm_scoring.ROUNDS and sum(seen) == sum(crc(r["doc_id"]) % 10 != 0 for r in df.select("doc_id").collect())
+
+
 def test_empty_tables(spark):
     none, bench = empty(spark), spark.createDataFrame([], cases.BENCH_SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
