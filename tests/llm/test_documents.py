@@ -316,6 +316,16 @@ def test_lm_learns_from_every_training_document(spark, monkeypatch):
     assert len(seen) == lm_scoring.ROUNDS and sum(seen) == sum(crc(r["doc_id"]) % 10 != 0 for r in df.select("doc_id").collect())
 
 
+def test_lm_deals_copies_of_a_text_apart(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm_scoring, "_round", lambda part, weights, tasks: seen.extend(
+        r["count"] for r in part.repartition(4, "order").groupBy(F.spark_partition_id()).count().collect()) or weights, raising=False)
+    docs = spark.createDataFrame([(None, "one text")] * 1500 + [(11, "one text")] * 500, "doc_id long, text string")
+    lm_scoring.score(docs).count()
+    n = 1500 + 500 * (crc(11) % 10 != 0)
+    assert sum(seen) == n and max(seen) < 1.5 * n / len(seen)
+
+
 def test_empty_tables(spark):
     none, bench = empty(spark), spark.createDataFrame([], cases.BENCH_SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
