@@ -7,8 +7,11 @@ host. Links between hosts are read from the ``href`` attributes of the pages and
 aggregated to weighted host edges. Trust is the personalised PageRank from the
 hosts of which allow rules decide most pages; distrust is the same on reversed
 edges from the hosts of which block rules decide most pages (whoever links to a
-blocked host inherits its distrust). A host is blocked when its distrust exceeds its trust by more than
-``THRESHOLD``; a host without evidence is allowed.
+blocked host inherits its distrust). Both scores sum to one over all hosts, so a
+host's own shrink as a table grows; for the verdict they are multiplied by the
+pages of their seeds. A host is blocked when its distrust exceeds its trust by
+more than the part ``THRESHOLD`` of their sum, however small both are; a host
+without evidence is allowed. Mass travels ``MAX_TURNS`` links at most.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
 no rule and the verdict ``allow``; a null html has no links. Repeated rows keep
@@ -68,8 +71,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def propagate(edges: DataFrame, seeds: DataFrame, name: str) -> DataFrame:
     """Personalised PageRank ``host, score`` over ``edges(src, dst, weight)`` from
     ``seeds(host, mass)``, whose masses sum to 1. Each turn is a join and a
-    partial aggregate whose result is written; only the total change comes to
-    the driver. Mass of a host without links returns to the seeds."""
+    partial aggregate whose result is written; only the largest change of a host
+    in proportion to its score, however small that is, comes to the driver. Mass of a host without links returns to the seeds."""
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     steps = stored(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("p")), name)
     score = seeds.select("host", F.col("mass").alias("score"))
@@ -77,8 +80,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, name: str) -> DataFrame:
         moved = score.join(steps, score["host"] == steps["src"]).select(F.col("dst").alias("host"), (F.col("score") * F.col("p") * DAMPING).alias("x"))
         kept = seeds.select("host", (F.col("mass") * (1 - DAMPING)).alias("x"))
         new = stored(moved.union(kept).groupBy("host").agg(F.sum("x").alias("score")), name)
-        both = new.select("host", F.col("score").alias("x")).union(score.select("host", (-F.col("score")).alias("x")))
-        change = both.groupBy("host").agg(F.abs(F.sum("x")).alias("x")).agg(F.sum("x")).first()[0] or 0.0
+        both = new.select("host", F.col("score").alias("x"), F.col("score").alias("now")).union(
+            score.select("host", (-F.col("score")).alias("x"), F.lit(0.0).alias("now")))
+        change = both.groupBy("host").agg((F.abs(F.sum("x")) / F.sum("now")).alias("x")).agg(F.max("x")).first()[0] or 0.0
         score = new
         if change < TOLERANCE or steps.isEmpty():
             break
@@ -86,7 +90,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, name: str) -> DataFrame:
 
 
 def host_scores(pages: DataFrame, rules=RULES) -> DataFrame:
-    """``host, trust, distrust`` of every host that a seed reaches."""
+    """``host, trust, distrust, lean`` of every host that a seed reaches; ``lean``
+    is the excess of distrust over trust, in pages of seeds, by their sum."""
     judged = pages.select(url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     _, verdict = rule_of(F.col("host"), F.col("path"), rules)
     tally = stored(judged.select("host", verdict.alias("v")).groupBy("host").agg(
@@ -94,15 +99,18 @@ def host_scores(pages: DataFrame, rules=RULES) -> DataFrame:
     edges = stored(host_edges(pages), "edges")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
 
-    def seeds(kind: str) -> DataFrame:
+    def seeds(kind: str) -> tuple[DataFrame, float]:
         hosts = tally.where((F.col("host") != "") & (2 * F.col(kind) > F.col("pages")))
-        total = hosts.agg(F.sum(kind)).first()[0] or 1
-        return hosts.select("host", (F.col(kind) / float(total)).alias("mass"))
+        total = float(hosts.agg(F.sum(kind)).first()[0] or 1)
+        return hosts.select("host", (F.col(kind) / total).alias("mass")), total
 
-    trust = propagate(edges, seeds("allow"), "trust").withColumnRenamed("score", "trust")
-    distrust = propagate(back, seeds("block"), "distrust").withColumnRenamed("score", "distrust")
-    return trust.join(distrust, "host", "full").select(
+    (good, n_good), (bad, n_bad) = seeds("allow"), seeds("block")
+    trust = propagate(edges, good, "trust").withColumnRenamed("score", "trust")
+    distrust = propagate(back, bad, "distrust").withColumnRenamed("score", "distrust")
+    both = trust.join(distrust, "host", "full").select(
         "host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+    plus, minus = F.col("trust") * n_good, F.col("distrust") * n_bad
+    return both.withColumn("lean", F.try_divide(minus - plus, minus + plus))
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -115,5 +123,5 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     scores = host_scores(pages, rules).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     out = rows.join(scores, ["host", "salt"], "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    method = F.when(distrust > trust + THRESHOLD, "block").otherwise("allow")
+    method = F.when(F.col("lean") > THRESHOLD, "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("given", method).alias("verdict"), trust.alias("trust"), distrust.alias("distrust"))

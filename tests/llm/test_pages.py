@@ -74,6 +74,22 @@ def test_link_graph(spark):
     assert verdict["bad.net"] == "block" and verdict["good.example.net"] == "allow"
 
 
+def test_verdicts_do_not_change_with_the_size_of_the_table(spark):
+    """One blocked host and the host that links to it, alone and among thousands
+    of blocked hosts of which one is hot."""
+    few = [(1, "http://bad.net/x", "", "h", "t", 1.0, 1), (2, "http://spam.com/x", '<a href="http://bad.net/">x</a>', "h", "t", 1.0, 1),
+           (3, "http://good.example.net/en/x", '<a href="http://fine.com/">x</a>', "h", "t", 1.0, 1), (4, "http://fine.com/x", "", "h", "t", 1.0, 1),
+           (5, "http://lone.com/x", "", "h", "t", 1.0, 1), (6, "http://far.com/x", '<a href="http://spam.com/">x</a>', "h", "t", 1.0, 1)]
+    many = few + [(10 + i, f"http://b{i}.net/x", "", "h", "t", 1.0, 1) for i in range(4000)]
+    many += [(5000 + i, "http://hot.net/x", "", "h", "t", 1.0, 1) for i in range(4000)]
+    verdicts = []
+    for rows in (few, many):
+        got = url_filters.judge_urls(spark.createDataFrame(rows, PAGE_SCHEMA), [("allow", "example.net", "/en/"), ("block", "net", "/x")])
+        verdicts.append({r["host"]: r["verdict"] for r in got.where("page_id < 10").collect()})
+    assert verdicts[0] == verdicts[1] == {"bad.net": "block", "spam.com": "block", "far.com": "block", "good.example.net": "allow",
+                                          "fine.com": "allow", "lone.com": "allow"}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p>";</script></head><body>
 <header class="site-header"><a href="/">Home</a></header><nav><ul><li>one</li></ul></nav><div id="cookie-banner">We use cookies</div>
 <div class="ad">Buy</div>{main}<aside>More</aside><section class="comments"><p>First!</p></section><form><p>Sign up</p></form><footer>&copy; x</footer></body></html>"""
