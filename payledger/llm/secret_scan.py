@@ -1,7 +1,7 @@
 """Secret scans with password guess costs (operator 4).
 
 Base patterns find assignments, access keys and long hex runs. Beside them,
-values in a wider credential context (``pwd``, ``credential``, ``bearer`` ...)
+values in a wider credential context (``DB_PASS=``, ``credential:``, ``Bearer`` ...)
 are judged by how hard they are to guess: dynamic programming finds the
 segmentation into words, dates, repeats, keyboard walks and brute-force spans
 with the least total of log10 guesses. A value at or above ``GUESSES`` is a
@@ -33,10 +33,15 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # maximal runs of 16 or more
 ASSIGN_LEAST = 12
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Wider credential contexts: a keyword, a separator, a value without white space.
+#: Wider credential contexts: a keyword (after ``_`` or ``-`` too), a separator, a scheme or none, a value without white
+#: space. After ``bearer`` alone a word of prose is no value: it has a digit, a sign, inner capitals or 20 characters.
 CONTEXT = re.compile(
-    r"""\b(?:pwd|pass(?:word|wd|phrase|code)?|pin|secret|token|credentials?|auth(?:orization)?|bearer|private_?key|"""
-    r"""access_?key|api_?key|client_?secret)["']?\x20*(?::=|[:=]|\x20is\x20)\x20*["']?([^\s"'<>,;]{6,})""", re.I | re.A)
+    r"""(?<![A-Za-z0-9])(?:(?:pwd|pass(?:word|wd|phrase|code)?|pin|secret|token|credentials?|auth(?:orization)?|bearer|private[_-]?key|"""
+    r"""(?:secret[_-]?)?access[_-]?key|api[_-]?key|client[_-]?secret)["']?[\x20\t]*(?::=|[:=]|[\x20\t]is[\x20\t])[\x20\t]*["']?"""
+    r"""(?:(?:bearer|basic|token)(?:[\x20\t]*[:=][\x20\t]*|[\x20\t]+)["']?)?|"""
+    r"""bearer[\x20\t]+["']?(?=[^\s"'<>,;]*(?:\d|[+/_=~]|(?-i:[a-z][A-Z]))|[^\s"'<>,;]{20}))([^\s"'<>,;]{6,})""", re.I | re.A)
+#: Every context holds one of these, lower-cased.
+HINTS = ("pwd", "pass", "pin", "secret", "token", "credential", "auth", "bearer", "key")
 #: log10 of the guesses from which a value counts as a secret.
 GUESSES = 9.0
 LONG = 64
@@ -114,7 +119,8 @@ def find_spans(text: str | None) -> list[tuple[int, int, str]]:
     if "AKIA" in text:
         found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
     found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    if "=" in text or ":" in text or " is " in text:
+    low = text.lower()
+    if any(h in low for h in HINTS):
         base = sorted(found)
         for m in CONTEXT.finditer(text):
             s, e = m.span(1)

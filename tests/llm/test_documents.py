@@ -205,6 +205,19 @@ def test_language_accuracy(spark):
     assert right[0] > 0.97 and right[1] < 0.01
 
 
+def test_credential_contexts():
+    """Real forms of credentials are found and masked, words round them are not."""
+    value = "q8Zr!x7Lk2#"
+    for before in ("DB_PASS=", "MYSQL_PWD=", "user_password: ", "aws_secret_access_key = ", "Authorization: Bearer ", "authorization: Basic ",
+                   "AUTHORIZATION: token ", "auth: Bearer: ", "sent with bearer  ", "the PASSWORD IS ", "the password is ", "X-Api-Key: ", "pwd:\t", "bearer="):
+        text = f"see {before}{value} and go"
+        at = text.index(value)
+        assert secret_scan.find_spans(text) == [(at, at + len(value), "guess")], before
+        assert secret_scan.masked(text) == f"see {before}[REDACTED] and go"
+    for plain in ("Authorization: Bearer", "the bearer remembers international law", "compass=" + value, "pwd: password1990", "password: Bearer", ""):
+        assert secret_scan.find_spans(plain) == [], plain
+
+
 def test_lm_scores(docs, texts):
     held = [d is not None and crc(d) % 10 == 0 for d, _ in texts]
     out = lm_scoring.score(docs, hot=50)  # most words take the join
