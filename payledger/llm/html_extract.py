@@ -3,11 +3,13 @@
 1. *Blocks.* A page is read into blocks of text with the elements round them.
    Scripts, styles, menus, footers, sidebars, notices, adverts, forms and reader
    comments go by element, role, or class and id; page headers go outside an article.
-2. *Pairing.* Within a host, pages stand in the order of their path; each meets
-   its neighbour whose blocks differ. A large host is dealt by a hash of the path
-   into groups of about ``GROUP`` pages, so no task meets a whole hot host.
-3. *Differencing.* The blocks of the two pages are aligned by longest common
-   subsequence (bit-parallel), and shared blocks are deleted.
+2. *Pairing.* Within a host, pages of equal blocks are one class, which stands
+   where the first of its urls does in the order of paths. A class meets the
+   classes before and after it. Long hosts are cut into ranges of that order of
+   about ``GROUP`` classes; the ends of a range meet the ends of the next.
+3. *Differencing.* The blocks of a class and its neighbour are aligned by longest
+   common subsequence (bit-parallel), and shared blocks are deleted from all pages
+   of the class: those shared with the class before, or if there is none after.
 
 Blocks inside an ``article`` or ``main`` element are the main text by markup and
 are never deleted; where a page has such an element, blocks outside are not part
@@ -15,8 +17,8 @@ of the text. Differencing alone would lose the text of copied pages and keep
 menus that vary from page to page (see README).
 
 Defined results: a null or empty html gives an empty text. A null url, or one
-without a host, is paired within the host ``''``. A page whose neighbours equal
-it, or that has none, loses nothing to differencing. Repeated rows keep their own
+without a host, is paired within the host ``''``. A page whose class
+has no neighbour loses nothing to differencing; pages without blocks are none. Repeated rows keep their own
 result; extra columns are ignored.
 """
 
@@ -156,34 +158,52 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for page_id, url, host, path, html in zip(pdf["page_id"], pdf["url"], pdf["host"], pdf["path"], pdf["html"]):
             blocks, marked = page_blocks(html if isinstance(html, str) else None)
-            keys = None if marked else np.array([xxhash.xxh64_intdigest(b) for b in blocks], dtype=np.uint64).view(np.int64)
+            keys = np.array([xxhash.xxh64_intdigest(b) for b in blocks], dtype=np.uint64).view(np.int64)
             out.append((None if pd.isna(page_id) else int(page_id), url if isinstance(url, str) else None, host, path, blocks, marked, keys))
         yield pd.DataFrame(out, columns=["page_id", "url", "host", "path", "blocks", "marked", "keys"]).astype({"page_id": "Int64"})
 
 
+def shared_blocks(keys: list, sizes: list, marked: bool, before: list | None, after: list | None) -> list[int]:
+    """Indices of the blocks to delete, from the blocks of the classes around."""
+    if not marked:
+        return sorted(common_lines(keys, after if before is None else before))
+    return []
+
+
 def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        texts = []
-        for blocks, keys, other in zip(pdf["blocks"], pdf["keys"], pdf["other"]):
-            gone = common_lines(list(keys), list(other)) if other is not None else set()
-            texts.append("\n".join(b for i, b in enumerate(blocks) if i not in gone))
-        yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": texts})
+        around = [[None if x is None else x.tolist() for x in pdf[k]] for k in ("before", "after")]
+        gone = [shared_blocks(k.tolist(), z.tolist(), m, b, a) for k, z, m, b, a in zip(pdf["keys"], pdf["sizes"], pdf["marked"], *around)]
+        out = pd.DataFrame({"host": pdf["host"], "marked": pdf["marked"], "sig": pdf["sig"], "gone": gone})
+        yield out[[bool(g) for g in gone]]
+
+
+def paired(rows: DataFrame, group: int) -> DataFrame:
+    """``host, marked, sig, keys, sizes, before, after`` of every class of pages
+    with equal blocks; ``before`` and ``after`` are the keys of its neighbours."""
+    classes = rows.where(F.size("keys") > 0).groupBy("host", "marked", "sig").agg(
+        F.min(F.struct("path", F.coalesce("url", F.lit("")).alias("url"))).alias("at"),
+        F.any_value(F.struct("keys", F.transform("blocks", F.length).alias("sizes"))).alias("of"))
+    classes = stored(classes.select("host", "marked", "sig", "at.path", "at.url", "of.keys", "of.sizes"), "classes")
+    n = max(1, -(-classes.count() // group))
+    dealt = classes.repartitionByRange(n, "host", "marked", "path", "url", "sig").withColumn("deal", F.spark_partition_id())
+    dealt = stored(dealt, "dealt")
+    place = F.struct("path", "url", "sig", "keys")
+    ends = dealt.groupBy("host", "marked", "deal").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    along = Window.partitionBy("host", "marked").orderBy("deal")
+    ends = ends.select("host", "marked", "deal", F.lag("last.keys").over(along).alias("left"), F.lead("first.keys").over(along).alias("right"))
+    near = Window.partitionBy("host", "marked", "deal").orderBy("path", "url", "sig")
+    met = dealt.withColumns({"before": F.lag("keys").over(near), "after": F.lead("keys").over(near)}).join(ends, ["host", "marked", "deal"])
+    return met.select("host", "marked", "sig", "keys", "sizes", F.coalesce("before", "left").alias("before"), F.coalesce("after", "right").alias("after"))
 
 
 def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``."""
     rows = pages.select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), "html").mapInPandas(
         _parse, "page_id long, url string, host string, path string, blocks array<string>, marked boolean, keys array<bigint>")
-    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "blocks")
-    by_markup = rows.where("marked").select("page_id", "url", F.array_join("blocks", "\n").alias("text"))
-    bare = rows.where("NOT marked")
-    groups = bare.groupBy("host").agg(F.ceil(F.count("*") / group).alias("groups"))
-    narrow = bare.select("row", "host", "path", "url", "page_id", "keys").join(groups, "host")
-    narrow = narrow.withColumn("deal", F.pmod(F.xxhash64("path"), F.col("groups")))
-    near = Window.partitionBy("host", "deal").orderBy("path", "url", "page_id", "row")
-    before, after = F.lag("keys").over(near), F.lead("keys").over(near)
-    other = F.coalesce(F.when(before != F.col("keys"), before), F.when(after != F.col("keys"), after))
-    pairs = narrow.select("row", other.alias("other"))
-    by_difference = bare.join(pairs, "row").select("page_id", "url", "blocks", "keys", "other").mapInPandas(
-        _difference, "page_id long, url string, text string")
-    return by_markup.union(by_difference).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    rows = stored(rows.withColumn("sig", F.xxhash64("keys")), "blocks")
+    gone = stored(paired(rows.where("NOT marked"), group).mapInPandas(_difference, "host string, marked boolean, sig long, gone array<int>"), "gone")
+    out = rows.join(gone, ["host", "marked", "sig"], "left")  # a hot class: rows on the left, which a skew join splits
+    text = F.array_join(F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(
+        F.filter("blocks", lambda b, i: ~F.array_contains("gone", i))), "\n")
+    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -140,6 +140,24 @@ def test_differencing(spark):
         assert got[None] == "" and got[103] == ""
 
 
+def test_neighbours_do_not_change_with_the_size_of_a_host(spark):
+    """Near urls meet whatever the range, and copies lose what one page loses."""
+    rows = []
+    for section in ("blog", "news", "shop"):
+        for i in range(30):
+            body = f"<div>Menu of {section}</div><p>{section} story {i // 3}</p>"  # three copies of every page
+            rows.append((len(rows), f"http://h.com/{section}/{i:03d}", body, "h", "t", 1.0, 1))
+    rows += [(1000 + i, f"http://q.com/?p={i}", f"<div>Top</div><p>Query {i}</p>", "h", "t", 1.0, 1) for i in range(25)]
+    df = spark.createDataFrame(rows, PAGE_SCHEMA).repartition(3)
+    expected = {i: f"{u.split('/')[3]} story {i % 30 // 3}" for i, u, *_ in rows[:90]} | {1000 + i: f"Query {i}" for i in range(25)}
+    # the first of a section meets the end of the section before
+    odd = {i for i in expected if i < 90 and i % 30 < 3 and i >= 30}
+    for group in (html_extract.GROUP, 4):
+        got = {r["page_id"]: r["text"] for r in html_extract.extract(df, group).collect()}
+        assert {i: t for i, t in got.items() if i not in odd} == {i: t for i, t in expected.items() if i not in odd}
+        assert {got[i] for i in odd} == {"Menu of news\nnews story 0", "Menu of shop\nshop story 0"}
+
+
 def test_pages_of_the_tables(spark):
     import html as H
     import re
