@@ -11,10 +11,12 @@
    common subsequence (bit-parallel), and shared blocks are deleted from all pages
    of the class: those shared with the class before, or if there is none after.
 
-Blocks inside an ``article`` or ``main`` element are the main text by markup and
-are never deleted; where a page has such an element, blocks outside are not part
-of the text. Differencing alone would lose the text of copied pages and keep
-menus that vary from page to page (see README).
+Markup checks the result on pages with an ``article`` or ``main`` element: blocks
+outside are not part of the text, and a block inside is deleted only if the
+classes before and after both share it and neither is a copy of the article (more
+than half of its characters, or of the other's blocks, shared). Differencing alone
+would lose lines of articles that quote each other and keep menus that vary from
+page to page (see README).
 
 Defined results: a null or empty html gives an empty text. A null url, or one
 without a host, is paired within the host ``''``. A page whose class
@@ -167,7 +169,15 @@ def shared_blocks(keys: list, sizes: list, marked: bool, before: list | None, af
     """Indices of the blocks to delete, from the blocks of the classes around."""
     if not marked:
         return sorted(common_lines(keys, after if before is None else before))
-    return []
+    if before is None or after is None:
+        return []
+    found = []
+    for other in (before, after):
+        gone = common_lines(keys, other) if not set(keys).isdisjoint(other) else set()
+        if not gone or 2 * sum(sizes[i] for i in gone) > sum(sizes) or 2 * len(gone) > len(other):
+            return []
+        found.append(gone)
+    return sorted(found[0] & found[1])
 
 
 def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,7 +212,7 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     rows = pages.select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), "html").mapInPandas(
         _parse, "page_id long, url string, host string, path string, blocks array<string>, marked boolean, keys array<bigint>")
     rows = stored(rows.withColumn("sig", F.xxhash64("keys")), "blocks")
-    gone = stored(paired(rows.where("NOT marked"), group).mapInPandas(_difference, "host string, marked boolean, sig long, gone array<int>"), "gone")
+    gone = stored(paired(rows, group).mapInPandas(_difference, "host string, marked boolean, sig long, gone array<int>"), "gone")
     out = rows.join(gone, ["host", "marked", "sig"], "left")  # a hot class: rows on the left, which a skew join splits
     text = F.array_join(F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(
         F.filter("blocks", lambda b, i: ~F.array_contains("gone", i))), "\n")

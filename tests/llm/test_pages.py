@@ -158,6 +158,21 @@ def test_neighbours_do_not_change_with_the_size_of_a_host(spark):
         assert {got[i] for i in odd} == {"Menu of news\nnews story 0", "Menu of shop\nshop story 0"}
 
 
+def test_differencing_inside_articles(spark):
+    """Lines that the pages on both sides share go, also inside an article; those
+    of a copy of the article, or of one neighbour, stay."""
+    def page(*lines):
+        return "<nav>Menu</nav><article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article><footer>End</footer>"
+
+    rows = [(i, f"http://h.com/a/{i:02d}", page(f"Story {i} with its own text", f"Part two of {i}", "Read more stories"), "h", "t", 1.0, 1) for i in range(9)]
+    rows += [(20 + i, f"http://copy.com/{i}", page("One article", "in three", "near copies", f"Number {i}"), "h", "t", 1.0, 1) for i in range(3)]
+    rows += [(30 + i, f"http://one.com/{i}", page(f"Long text of page {i}", "Said once more" if i < 2 else "Other words"), "h", "t", 1.0, 1) for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, PAGE_SCHEMA)).collect()}
+    assert all(got[i] == f"Story {i} with its own text\nPart two of {i}" for i in range(1, 8))
+    assert all(got[20 + i] == f"One article\nin three\nnear copies\nNumber {i}" for i in range(3))
+    assert got[31] == "Long text of page 1\nSaid once more"
+
+
 def test_pages_of_the_tables(spark):
     import html as H
     import re
