@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payledger.llm import (decontaminate, html_extract, language_id, lm_scoring, minhash_dedup, mixing, quality_rules, secret_scan,
-                           substring_dedup, url_filters)
+from payledger.llm import (decontaminate, html_extract, language_id, lm_scoring, merkle_manifest, minhash_dedup, mixing,
+                           quality_rules, secret_scan, substring_dedup, url_filters)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verify(merkle_manifest.manifest(_table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,7 +70,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_source_mixing, op2_decontamination, op3_substring_dedup, op4_secret_scan, op5_language_id, op6_minhash_dedup,
-        op7_quality_rules, op8_url_filters, op9_lm_scoring, op10_html_extract, pipeline)}
+        op7_quality_rules, op8_url_filters, op9_lm_scoring, op10_html_extract, op13_merkle_manifest, pipeline)}
 
 
 # DuckDB; the character lists are those of the contracts.
@@ -107,5 +111,58 @@ FROM d LEFT JOIN kept USING (r)
 """
 
 
+def _field_sql(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(f) for f in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _merkle_sql(levels: int = 8, top_levels: int = 6) -> str:
+    """Trees of up to 16^levels documents a source and 16^top_levels sources. A
+    tree of one node stays as it is on all further levels (no step). The CRC-32 is
+    taken bit by bit: -1 stands for a shift, other values are taken up."""
+    ctes = [f"""e AS (SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+      CASE WHEN xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+          lambda x: [CAST(ord(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+          lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END)) % 5 = 0
+      THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+    FROM documents)""",
+            """s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER () AS trees
+    FROM (SELECT DISTINCT source FROM e))""",
+            """d0 AS (SELECT s.tree, row_number() OVER (PARTITION BY s.tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+      count(*) OVER (PARTITION BY s.tree) AS n, leaf AS digest, doc_id, changed FROM e JOIN s ON e.source IS NOT DISTINCT FROM s.source)"""]
+
+    def tree(name: str, count: int) -> None:
+        for k in range(count):
+            ctes.append(f"""{name}{k + 1} AS (SELECT tree, idx // 16 AS idx, (any_value(n) + 15) // 16 AS n,
+      CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY idx)) END AS digest
+    FROM {name}{k} GROUP BY tree, idx // 16)""")
+        for k in range(count):
+            run = "PARTITION BY tree, idx // 16 ORDER BY idx ROWS BETWEEN"
+            ctes.append(f"""{name}s{k} AS (SELECT tree, idx, n,
+      coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+      coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+
+    tree("d", levels)
+    ctes.append(f"t0 AS (SELECT 0 AS tree, d.tree AS idx, s.trees AS n, d.digest FROM d{levels} d JOIN s ON d.tree = s.tree)")
+    tree("t", top_levels)
+    ctes.append("f0 AS (SELECT doc_id, tree, idx AS i, digest AS leaf, coalesce(changed, digest) AS got, '' AS proof FROM d0)")
+    steps = [(f"ds{k}", f"f.tree = x.tree AND f.i // {16 ** k} = x.idx") for k in range(levels)]
+    steps += [(f"ts{k}", f"f.tree // {16 ** k} = x.idx") for k in range(top_levels)]
+    for k, (level, on) in enumerate(steps):
+        ctes.append(f"""f{k + 1} AS (SELECT doc_id, f.tree, i, leaf, CASE WHEN n = 1 THEN got ELSE sha256(l || got || r) END AS got,
+      CASE WHEN n = 1 THEN proof ELSE proof || l || r END AS proof FROM f{k} f JOIN {level} x ON {on})""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, leaf, t0.digest AS subroot, t{top_levels}.digest AS root, sha256(proof) AS proof_sha256, got AS folded_root,
+  got = t{top_levels}.digest AS verified
+FROM f{len(steps)} f JOIN t0 ON t0.idx = f.tree, t{top_levels}"""
+
+
+OP13_SQL = _merkle_sql()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op3_substring_dedup": OP3_SQL}
+    return {"op2_decontamination": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op13_merkle_manifest": OP13_SQL}

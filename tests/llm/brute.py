@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -171,3 +172,55 @@ def unigram(docs, held):
         out.append((doc_id, h, len(tokens), sum(count[t] > 0 for t in tokens), n,
                     sum(math.log10((count[t] + 0.1) / (n + 0.1 * (v + 1))) for t in tokens)))
     return out
+
+
+def _digest(*parts):
+    return sha("".join(parts))
+
+
+def _field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def _leaf(doc_id, text, lang, source, n_chars):
+    return _digest(*map(_field, (doc_id, source, lang, n_chars, text)))
+
+
+def _tree(nodes):
+    """Root, and per leaf its (left siblings, right siblings) from the leaf up."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for path, i in zip(paths, range(len(paths))):
+            low = at[i] // 16 * 16
+            path.append((nodes[low : at[i]], nodes[at[i] + 1 : low + 16]))
+            at[i] //= 16
+        nodes = [_digest(*nodes[low : low + 16]) for low in range(0, len(nodes), 16)]
+    return nodes[0], paths
+
+
+def manifest(rows):
+    """op13 rows of (doc_id, text, lang, source, n_chars)."""
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[3]].append(r)
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    subs, inner, leaves = [], [], []
+    for name in names:
+        leaves.append(sorted(((_leaf(*r), r) for r in groups[name]), key=lambda x: (x[1][0] is not None, x[1][0] or 0, x[0])))
+        top, paths = _tree([leaf for leaf, _ in leaves[-1]])
+        subs.append(top)
+        inner.append(paths)
+    if not names:
+        return []
+    root, tops = _tree(subs)
+    out = []
+    for sub, top, items, paths in zip(subs, tops, leaves, inner):
+        for (leaf, r), path in zip(items, paths):
+            got = leaf
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 and r[1] is not None:
+                got = _leaf(r[0], r[1].translate(UPPER), *r[2:])
+            for left, right in path + top:
+                got = _digest(*left, got, *right)
+            proof = _digest(*[h for left, right in path + top for h in left + right])
+            out.append((r[0], leaf, sub, root, proof, got, got == root))
+    return out
