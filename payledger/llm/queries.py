@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from payledger.llm import (decontaminate, html_extract, language_id, lm_scoring, merkle_manifest, minhash_dedup, mixing,
-                           quality_rules, secret_scan, sentencepiece_codec, substring_dedup, url_filters)
+                           quality_rules, secret_scan, sentencepiece_codec, substring_dedup, token_alignment, url_filters)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(_table(spark, sf_dir, "documents"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -74,7 +78,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_source_mixing, op2_decontamination, op3_substring_dedup, op4_secret_scan, op5_language_id, op6_minhash_dedup,
-        op7_quality_rules, op8_url_filters, op9_lm_scoring, op10_html_extract, op12_sentencepiece, op13_merkle_manifest, pipeline)}
+        op7_quality_rules, op8_url_filters, op9_lm_scoring, op10_html_extract, op11_token_alignment,
+        op12_sentencepiece, op13_merkle_manifest, pipeline)}
 
 
 # DuckDB; the character lists are those of the contracts.
