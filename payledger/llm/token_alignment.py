@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from payledger.llm.common import stored
 
 #: Bytes of text in a block; links that are expanded, and groups that are written out, at once.
-BLOCK, LINKS, GROUPS = 8 << 20, 4_000_000, 1_000_000
+BLOCK, LINKS, GROUPS = 2 << 20, 1_000_000, 250_000
 #: Links of a group beyond which its ids are counted before they are paired.
 WIDE = 4096
 #: The splitting pattern of A keeps a stack of a white-space run; beyond this length the slower library of A splits.
