@@ -40,6 +40,8 @@ SPACE = "▁"
 #: Remembered cuts and pairs; the limits bound memory only, what is forgotten is worked out again.
 CUTS, PAIRS, LONGEST_CUT = 400_000, 1_000_000, 64
 
+NEVER = float("-inf")
+
 # Wire names of the model file's fields and piece types.
 PIECE, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -106,21 +108,24 @@ class Model:
         self.fallback = fallback
         self.byte_of = {i: b for b, i in enumerate(self.byte) if i >= 0}
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.types[i] == NORMAL}
+        self.score = {p: self.scores[i] for p, i in self.ids.items()}
 
 
 def merged(model: Model, text: str) -> list[str]:
     """Pieces of a short text by merging: the definition that pairs are held against."""
-    parts = list(text)
-    ids, scores = model.ids, model.scores
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            piece = ids.get(parts[i] + parts[i + 1])
-            if piece is not None and (best is None or scores[piece] > best):
-                best, at = scores[piece], i
-        if at < 0:
+    parts, score = list(text), model.score
+    gain = [score.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+    while gain:
+        best = max(gain)
+        if best == NEVER:
             break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        i = gain.index(best)  # the leftmost
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del gain[i]
+        if i:
+            gain[i - 1] = score.get(parts[i - 1] + parts[i], NEVER)
+        if i < len(gain):
+            gain[i] = score.get(parts[i] + parts[i + 1], NEVER)
     return parts
 
 
@@ -139,11 +144,14 @@ class Codec:
         for p in own:
             self.automaton.add_word(p, (m.ids[p], len(p)))
         self.automaton.make_automaton()
-        self.length = {m.ids[p]: len(p) for p in own}
-        # the next shorter piece that starts the piece, -1 if none
         kept = set(own)
-        self.shorter = {m.ids[p]: next((m.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in kept), -1) for p in own}
-        self.pairs: dict[int, bool] = {}
+        self.length, self.shorter = [0] * len(m.pieces), [-1] * len(m.pieces)
+        for p in own:
+            self.length[m.ids[p]] = len(p)
+            # the next shorter piece that starts the piece, -1 if none
+            self.shorter[m.ids[p]] = next((m.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in kept), -1)
+        self.follows: list[dict[int, bool]] = [{} for _ in m.pieces]
+        self.remembered = 0
         self.cuts: dict[str, list[int]] = {}
         self.surface = [p.replace(SPACE, " ") for p in m.pieces]
         for i, t in enumerate(m.types):
@@ -151,15 +159,16 @@ class Codec:
                 self.surface[i] = "" if t == CONTROL else m.unk_surface
 
     def compatible(self, left: int, right: int) -> bool:
-        key = left << 32 | right
-        known = self.pairs.get(key)
-        if known is None:
-            a, b = self.model.pieces[left], self.model.pieces[right]
-            known = merged(self.model, a + b) == [a, b]
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = known
-        return known
+        """Whether the two pieces, merged anew, are the same two pieces."""
+        a, b = self.model.pieces[left], self.model.pieces[right]
+        fits = merged(self.model, a + b) == [a, b]
+        if self.remembered >= PAIRS:
+            for known in self.follows:
+                known.clear()
+            self.remembered = 0
+        self.follows[left][right] = fits
+        self.remembered += 1
+        return fits
 
     def pieces_of(self, text: str) -> list[int]:
         """Encoding of a text in which every character has a piece."""
@@ -168,23 +177,26 @@ class Codec:
         for end, (piece, n) in self.automaton.iter(text):
             longest[end - n + 1] = piece  # later ends are longer
         failed = None  # one bit a position, made at the first failure
-        length, shorter, pairs, out, at, take = self.length, self.shorter, self.pairs, [], 0, longest[0]
+        length, shorter, follows = self.length, self.shorter, self.follows
+        out: list[int] = []
+        at, take, known = 0, longest[0], None
         while True:
             while take >= 0:
                 end = at + length[take]
                 if failed is None or not failed[end >> 3] >> (end & 7) & 1:
-                    if not out:
+                    if known is None:
                         break
-                    fits = pairs.get(out[-1] << 32 | take)
-                    if fits or (fits is None and self.compatible(out[-1], take)):
+                    fits = known.get(take)
+                    if fits is None:
+                        fits = self.compatible(out[-1], take)
+                    if fits:
                         break
                 take = shorter[take]
             if take >= 0:
                 out.append(take)
-                at = end
-                if at == size:
+                if end == size:
                     return out
-                take = longest[at]
+                at, known, take = end, follows[take], longest[end]
                 continue
             # no piece goes on from here: the position has failed
             if failed is None:
@@ -192,6 +204,7 @@ class Codec:
             failed[at >> 3] |= 1 << (at & 7)
             take = out.pop()
             at -= length[take]
+            known = follows[out[-1]] if out else None
             take = shorter[take]
 
     def _cut(self, text: str) -> list[int]:
