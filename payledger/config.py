@@ -60,8 +60,12 @@ class LedgerConfig:
     # Dimensions proven to hold at most this many bytes are broadcast; others go
     # through a shuffle join that AQE may still turn into a broadcast at run time.
     broadcast_bytes: int = 64 << 20
-    # Write the invoice flow to the checkpoint folder before it is read twice.
-    materialize_invoices: bool = False
+    # Write the merged invoice lines once, bucketed by invoice, for the two branches
+    # of the payable fact (posted and parked); else each branch merges them again.
+    share_invoice_lines: bool = True
+    # Buckets of that table: those of the stored header table (None: the number of
+    # shuffle partitions).
+    invoice_line_buckets: int | None = None
     # Write small dimensions (business days, fiscal periods, daily target rates,
     # currency decimals) once to the checkpoint folder and use them as leaves.
     materialize_dimensions: bool = True

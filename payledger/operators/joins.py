@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -23,8 +24,10 @@ def is_small(df: DataFrame, limit: int) -> bool:
     """True when the planner's statistics bound ``df`` by ``limit`` bytes.
 
     The bound comes from file or catalog sizes through the optimized plan, so no
-    job runs. A frame whose bound is too wide is not broadcast here; the planner
-    or AQE may still do so once it has seen the real size.
+    job runs. It is tight for a scan or a materialised dimension and far too wide
+    for a join (the product of its sides): dimensions that come from joins are
+    materialised first. A frame whose bound is too wide is not broadcast here; the
+    planner or AQE may still do so once it has seen the real size.
     """
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     return int(str(stats.sizeInBytes())) <= limit
@@ -85,12 +88,34 @@ def lookup_left_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Co
     return left_join_salted_nulls(left, right, pairs, salt_from)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, name: str = "dimension") -> DataFrame:
     """Write a small dimension once to the shared checkpoint folder and read it
     back as a plan leaf: consumers no longer carry (and re-analyse) its whole
-    plan, and a lost executor does not recompute it. Needs
+    plan, and a lost executor does not recompute it.
+
+    The leaf's statistics are its own bytes, so a size check sees the dimension
+    and not the product of the tables it was joined from (which is what the
+    statistics of a checkpointed or joined frame say). The files are plain: no
+    compression and no dictionaries, which would make a dimension of few distinct
+    values look smaller than the rows a broadcast holds. Needs
     ``spark.checkpoint.dir`` (see ``payledger.session.checkpoint_dir``)."""
     from payledger.session import checkpoint_dir
 
-    checkpoint_dir(df.sparkSession)  # on a cluster an unset folder is an error
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder, hashed and sorted by ``keys``, and
+    read it back as a scan that still knows so: joins on the keys with tables in
+    the same number of buckets need no exchange and no sort, however often the
+    table is read (a checkpoint forgets how it was partitioned)."""
+    from payledger.session import checkpoint_dir
+
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{table}").saveAsTable(table))
+    return spark.table(table)

@@ -93,14 +93,20 @@ def _t(field: str):
     return _TYPES.get(field, StringType())
 
 
-def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = None,
-                  passthrough: bool = False, limit: int = 64 << 20) -> DataFrame:
+# The line fields that the payable fact needs of the invoice flow.
+PAYABLE_LINE_FIELDS = ["bukrs", "wrbtr", "ps_psp_pnr"]
+HEADER_KEYS = ["mandt", "belnr", "gjahr"]
+
+
+def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = None, passthrough: bool = False,
+                  limit: int = 64 << 20, fields: Sequence[str] | None = None) -> DataFrame:
     """Invoice lines (RSEG) FULL OUTER JOIN account assignments (RBCO), with
     debit/credit applied to their amounts and shared fields merged.
 
     ``headers`` (mandt, belnr, gjahr) restricts both sides *before* the full
     join. Exact for a later inner join with those headers: a matched pair has
-    equal keys on both sides, an unmatched row keeps its own keys.
+    equal keys on both sides, an unmatched row keeps its own keys. ``fields``
+    names the fields to keep besides the line keys (default: all).
     """
     rseg = sign_flip_columns(tables["rseg"], ["wrbtr", "bnkan"])
     rbco = sign_flip_columns(tables["rbco"], ["wrbtr", "bnkan_fw"])
@@ -113,10 +119,10 @@ def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = N
     joined = s.join(c, [F.col(f"s.{k}") == F.col(f"c.{k}") for k in LINE_KEYS], "full")
     cols = [F.coalesce(pick(rseg, k, prefix="s"), pick(rbco, k, prefix="c")).alias(k) for k in LINE_KEYS]
     cols += [
-        F.coalesce(pick(rseg, f, _t(f), "s"), pick(rbco, f, _t(f), "c")).alias(f) for f in MERGED_LINE_FIELDS
+        F.coalesce(pick(rseg, f, _t(f), "s"), pick(rbco, f, _t(f), "c")).alias(f) for f in _kept(MERGED_LINE_FIELDS, fields)
     ]
-    cols += [pick(rseg, f, _t(f), "s").alias(f) for f in RSEG_ONLY]
-    cols += [pick(rbco, f, _t(f), "c").alias(f) for f in RBCO_ONLY]
+    cols += [pick(rseg, f, _t(f), "s").alias(f) for f in _kept(RSEG_ONLY, fields)]
+    cols += [pick(rbco, f, _t(f), "c").alias(f) for f in _kept(RBCO_ONLY, fields)]
     if passthrough:
         # every other replicated field, under its upper-case code; a field of
         # both tables takes the line (RSEG) value first, like the merged keys
@@ -129,29 +135,34 @@ def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = N
     return joined.select(*cols)
 
 
+def _kept(names: Sequence[str], fields: Sequence[str] | None) -> list[str]:
+    return [n for n in names if fields is None or n in fields]
+
+
 def invoice_documents_flow(
     tables: Mapping[str, DataFrame], decimals: DataFrame, calendar: DataFrame | None, cfg: LedgerConfig,
-    header_filter: Column | None = None, passthrough: bool = False,
+    header_filter: Column | None = None, passthrough: bool = False, lines: DataFrame | None = None,
 ) -> DataFrame:
     """Supplier invoices at line level: merged lines INNER JOIN headers (RBKP),
     WBS element, document-currency decimal fix and calendar attributes.
 
     ``header_filter`` (a condition on RBKP columns) limits the flow to those
-    invoices, and is applied to the lines before their full outer join.
+    invoices, and is applied to the lines before their full outer join. ``lines``
+    gives lines that are merged already (stored ones); fields they lack are NULL.
     """
     rbkp = tables["rbkp"]
     if header_filter is not None:
         rbkp = rbkp.where(header_filter)
-        lines = invoice_lines(tables, rbkp, passthrough, cfg.broadcast_bytes).alias("l")
-    else:
-        lines = invoice_lines(tables, passthrough=passthrough).alias("l")
+    if lines is None:
+        lines = invoice_lines(tables, rbkp if header_filter is not None else None, passthrough, cfg.broadcast_bytes)
+    lines = lines.alias("l")
     hdr = rbkp.alias("h")
     df = lines.join(hdr, [F.col(f"l.{k}") == F.col(f"h.{k}") for k in ("mandt", "belnr", "gjahr")], "inner")
     df = df.select(
         *[pick(rbkp if s.startswith("h.") else lines, s[2:], _t(s[2:]), s[0]).alias(t) for s, t in INVOICE_NAMES],
         F.coalesce(pick(rbkp, "bukrs", prefix="h"), F.col("l.bukrs")).alias("CompanyCode_BUKRS"),
-        F.coalesce(pick(rbkp, "gsber", prefix="h"), F.col("l.gsber")).alias("BusinessArea_GSBER"),
-        *[F.col(f"l.{f}").alias(f"__amt_{f}") for f, _ in INVOICE_SCALED],
+        F.coalesce(pick(rbkp, "gsber", prefix="h"), pick(lines, "gsber", prefix="l")).alias("BusinessArea_GSBER"),
+        *[pick(lines, f, _t(f), "l").alias(f"__amt_{f}") for f, _ in INVOICE_SCALED],
         *_invoice_passthrough(lines, rbkp, passthrough),
     )
     prps = tables["prps"].select(F.col("pspnr").alias("__pspnr"), F.col("posid").alias("WbsElement_POSID"))

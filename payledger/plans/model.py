@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payledger.config import LedgerConfig
-from payledger.operators.joins import materialize
+from payledger.operators.joins import bucketed, materialize
 from payledger.plans import calendar, currency, documents, masterdata, payables
 
 
@@ -23,8 +23,9 @@ class LedgerModel:
     the model is made, so all datasets agree on it.
 
     ``stored`` gives already persisted datasets by property name (currency_decimal,
-    currency_conversion, business_days, calendar): they are read instead of built.
-    A stored calendar also provides the calendar attributes of the documents.
+    currency_conversion, business_days, calendar, or any view): they are read instead
+    of built, also by the datasets that build on them. A stored calendar also
+    provides the calendar attributes of the documents.
     """
 
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConfig,
@@ -36,14 +37,15 @@ class LedgerModel:
         self.cfg = cfg
         self.__dict__.update(stored or {})
         self.stored_calendar = (stored or {}).get("calendar")
+        self.stored_invoices = (stored or {}).get("invoices")
 
-    def _dimension(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self.cfg.materialize_dimensions else df
+    def _dimension(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self.cfg.materialize_dimensions else df
 
     # helpers
     @cached_property
     def currency_decimal(self) -> DataFrame:
-        return self._dimension(currency.currency_decimal(self.tables))
+        return self._dimension(currency.currency_decimal(self.tables), "currency-decimal")
 
     @cached_property
     def currency_conversion(self) -> DataFrame:
@@ -59,7 +61,7 @@ class LedgerModel:
 
     @cached_property
     def business_days(self) -> DataFrame:
-        return self._dimension(calendar.business_day_table(self.tables, self.spark, self.cfg))
+        return self._dimension(calendar.business_day_table(self.tables, self.spark, self.cfg), "business-days")
 
     # master data
     @cached_property
@@ -81,21 +83,33 @@ class LedgerModel:
     # documents
     @cached_property
     def invoices(self) -> DataFrame:
-        df = documents.invoice_documents_flow(self.tables, self.currency_decimal, self.stored_calendar, self.cfg)
-        if self.cfg.materialize_invoices:
-            from payledger.session import checkpoint_dir
+        return documents.invoice_documents_flow(self.tables, self.currency_decimal, self.stored_calendar, self.cfg)
 
-            checkpoint_dir(self.spark)
-            df = df.checkpoint(eager=True)
-        return df
+    @cached_property
+    def invoice_lines(self) -> DataFrame:
+        """The merged invoice lines as far as the payable fact needs them: one
+        full outer join, written once, bucketed by invoice, and read by both branches."""
+        lines = documents.invoice_lines(self.tables, fields=documents.PAYABLE_LINE_FIELDS)
+        buckets = self.cfg.invoice_line_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return bucketed(lines, documents.HEADER_KEYS, buckets, "invoice_lines")
+
+    def _payable_flow(self, header_filter=None) -> DataFrame:
+        """The invoice flow for one branch of the fact: from the stored flow when
+        there is one, else from the shared lines."""
+        if self.stored_invoices is not None:
+            return self.stored_invoices
+        return documents.invoice_documents_flow(
+            self.tables, self.currency_decimal, self.stored_calendar, self.cfg, header_filter,
+            lines=self.invoice_lines if self.cfg.share_invoice_lines else None)
+
+    @cached_property
+    def payable_invoice_flow(self) -> DataFrame:
+        return self._payable_flow()
 
     @cached_property
     def parked_invoice_flow(self) -> DataFrame:
-        """The invoice flow of parked invoices only (lines filtered before their join)."""
-        return documents.invoice_documents_flow(
-            self.tables, self.currency_decimal, self.stored_calendar, self.cfg,
-            header_filter=F.col("rbstat") == self.cfg.parked_status,
-        )
+        """The invoice flow of parked invoices only."""
+        return self._payable_flow(F.col("rbstat") == self.cfg.parked_status)
 
     @cached_property
     def purchase_history(self) -> DataFrame:
@@ -110,23 +124,32 @@ class LedgerModel:
     def accounting_invoices(self) -> DataFrame:
         self.prepare_dimensions()
         return payables.accounting_invoices(
-            self.accounting_documents, self.invoices, self.business_days, self.cfg, parked_flow=self.parked_invoice_flow
+            self.accounting_documents, self.payable_invoice_flow, self.business_days, self.cfg,
+            parked_flow=self.parked_invoice_flow,
         )
 
     @cached_property
     def fiscal_periods(self) -> DataFrame:
         keys = payables.fiscal_keys_from_headers(self.tables, self.companies)
         return self._dimension(payables.fiscal_period_dimension(
-            self.companies, keys, self.tables["t009"], self.tables["t009b"], self.cfg))
+            self.companies, keys, self.tables["t009"], self.tables["t009b"], self.cfg), "fiscal-periods")
 
     @cached_property
     def target_rates(self) -> DataFrame:
-        return self._dimension(currency.target_rates(self.currency_conversion_view, self.cfg))
+        return self._dimension(currency.target_rates(self.currency_conversion_view, self.cfg), "target-rates")
+
+    @cached_property
+    def current_vendors(self) -> DataFrame:
+        return self._dimension(payables.current_vendors(self.vendors, self.cfg), "current-vendors")
+
+    @cached_property
+    def company_dimension(self) -> DataFrame:
+        return self._dimension(payables.company_dimension(self.companies, self.fiscal_periods, self.cfg), "companies")
 
     def prepare_dimensions(self) -> None:
         """Materialise the small dimensions concurrently: they are independent
         small jobs, and running them side by side keeps the cores busy."""
-        names = ["currency_decimal", "business_days", "fiscal_periods", "target_rates"]
+        names = ["currency_decimal", "business_days", "target_rates", "current_vendors", "company_dimension"]
         todo = [n for n in names if n not in self.__dict__]
         if not self.cfg.materialize_dimensions or len(todo) < 2:
             return
@@ -138,13 +161,13 @@ class LedgerModel:
     def accounting_invoices_kpi(self) -> DataFrame:
         self.prepare_dimensions()
         return payables.accounting_invoices_kpi(
-            self.accounting_invoices, self.companies, self.business_days, self.fiscal_periods, self.cfg,
+            self.accounting_invoices, self.company_dimension, self.business_days, self.fiscal_periods, self.cfg,
         )
 
     @cached_property
     def enriched_payables(self) -> DataFrame:
         return payables.enrich(
-            self.accounting_invoices_kpi, self.vendors, self.vendor_config, self.purchase_history,
+            self.accounting_invoices_kpi, self.current_vendors, self.vendor_config, self.purchase_history,
             self.target_rates, self.cfg,
         )
 

@@ -207,19 +207,32 @@ def fiscal_period_dimension(
     return fiscal_period_lookup(fiscal_keys.unionByName(key_keys), t009, t009b)
 
 
+def company_dimension(companies: DataFrame, fiscal_dim: DataFrame, cfg: LedgerConfig) -> DataFrame:
+    """One row per company: name, fiscal variant, and the period of the key date.
+
+    The key period depends on the company's (client, variant) only, so it is
+    looked up here, in a table of a few rows, and not once per document line: the
+    fact has no join on the handful of (client, variant) values at all."""
+    key = fiscal_dim.where(F.col("date") == cfg.previous_month_end()).select(
+        F.col("mandt").alias("__kf_mandt"), F.col("periv").alias("__kf_periv"),
+        F.col("fiscal_period").alias("KeyFiscPeriod"),
+    )
+    return companies.select(
+        F.col("Client_MANDT").alias("__c_mandt"), F.col("CompanyCode_BUKRS").alias("__c_bukrs"),
+        "CompanyText_BUTXT", F.col("FiscalyearVariant_PERIV").alias("__periv"),
+    ).join(
+        key, (F.col("__c_mandt") == F.col("__kf_mandt")) & (F.col("__periv") == F.col("__kf_periv")), "left"
+    ).drop("__kf_mandt", "__kf_periv")
+
+
 def accounting_invoices_kpi(
     ai: DataFrame, companies: DataFrame, bdays: DataFrame, fiscal_dim: DataFrame, cfg: LedgerConfig,
 ) -> DataFrame:
     """Company name, fiscal period of the posting date and of the last day of
     the previous month, and the net due date moved to the next business day.
-    ``fiscal_dim`` comes from ``fiscal_period_dimension``."""
-    comp = broadcast_if_small(
-        companies.select(
-            F.col("Client_MANDT").alias("__c_mandt"), F.col("CompanyCode_BUKRS").alias("__c_bukrs"),
-            "CompanyText_BUTXT", F.col("FiscalyearVariant_PERIV").alias("__periv"),
-        ),
-        cfg.broadcast_bytes,
-    )
+    ``companies`` comes from ``company_dimension``, ``fiscal_dim`` from
+    ``fiscal_period_dimension``."""
+    comp = broadcast_if_small(companies, cfg.broadcast_bytes)
     df = ai.join(
         comp, (F.col("Client_MANDT") == F.col("__c_mandt")) & (F.col("CompanyCode_BUKRS") == F.col("__c_bukrs")),
         "inner",
@@ -229,28 +242,13 @@ def accounting_invoices_kpi(
         F.col("mandt").alias("__f_mandt"), F.col("periv").alias("__f_periv"),
         F.col("date").alias("__f_date"), F.col("fiscal_period").alias("__f_period"),
     )
-
     df = lookup_left_join(
         df, periods,
         [(F.col("Client_MANDT"), "__f_mandt"), (F.col("__periv"), "__f_periv"),
          (F.col("PostingDateInTheDocument_BUDAT"), "__f_date")],
         ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI"],
         cfg.broadcast_bytes,
-    ).withColumnRenamed("__f_period", "DocFiscPeriod").drop("__f_mandt", "__f_periv", "__f_date")
-
-    # The key period depends on (client, variant) only: a frame with one row
-    # per variant, joined on those two keys (never on the constant date, which
-    # would send every row to one task if the join were not broadcast).
-    key = broadcast_if_small(
-        periods.where(F.col("__f_date") == cfg.previous_month_end()).select(
-            F.col("__f_mandt").alias("__kf_mandt"), F.col("__f_periv").alias("__kf_periv"),
-            F.col("__f_period").alias("KeyFiscPeriod"),
-        ),
-        cfg.broadcast_bytes,
-    )
-    df = df.join(
-        key, (F.col("Client_MANDT") == F.col("__kf_mandt")) & (F.col("__periv") == F.col("__kf_periv")), "left"
-    ).drop("__kf_mandt", "__kf_periv", "__periv")
+    ).withColumnRenamed("__f_period", "DocFiscPeriod").drop("__f_mandt", "__f_periv", "__f_date", "__periv")
 
     vendor_line = F.col("AccountType_KOART") == cfg.vendor_account_type
     base = F.when(vendor_line & F.col("BaselineDateForDueDateCalculation_ZFBDT").isNull(),
@@ -306,17 +304,22 @@ OUTPUT_COLUMNS = [
 ]
 
 
-def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: DataFrame, rates: DataFrame,
-           cfg: LedgerConfig) -> DataFrame:
-    """Left joins to current vendors, vendor config, PO history and daily rates."""
-    current = vendors.where(F.col("ValidToDate_DATE_TO") == F.lit(cfg.current_address_until)).select(
+def current_vendors(vendors: DataFrame, cfg: LedgerConfig) -> DataFrame:
+    """The vendor attributes of the fact, from the currently valid addresses."""
+    return vendors.where(F.col("ValidToDate_DATE_TO") == F.lit(cfg.current_address_until)).select(
         F.col("Client_MANDT").alias("__v_mandt"),
         F.col("AccountNumberOfVendorOrCreditor_LIFNR").alias("__v_lifnr"),
         "NAME1", "VendorAccountGroup_KTOKK",
     )
+
+
+def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: DataFrame, rates: DataFrame,
+           cfg: LedgerConfig) -> DataFrame:
+    """Left joins to current vendors (``current_vendors``), vendor config, PO
+    history and daily rates."""
     salt = ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI"]
     df = lookup_left_join(
-        kpi, current,
+        kpi, vendors,
         [(F.col("Client_MANDT"), "__v_mandt"), (F.col("AccountNumberOfVendorOrCreditor_LIFNR"), "__v_lifnr")],
         salt, cfg.broadcast_bytes,
     )

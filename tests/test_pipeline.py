@@ -8,6 +8,7 @@ import tempfile
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
@@ -103,3 +104,61 @@ def test_bucketed_staging_removes_header_line_shuffle(spark, erp, cfg):
         assert "PushedFilters" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _physical(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue().splitlines()
+
+
+def test_flagship_joins_and_exchanges(spark, erp, cfg):
+    """The static plan over staged tables: every lookup is a broadcast of its
+    measured size, the invoice lines are merged once, and the shuffles left are
+    those of the two fact-to-fact joins and of the parked rank."""
+    from payledger.sources.erp import stage_tables
+    from payledger.sources.fixtures import ERP_TABLES
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS ledger_shape_test")
+    res = stage_tables(erp, tempfile.mkdtemp(prefix="erp-"), buckets=4, database="ledger_shape_test")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        model = LedgerModel(spark, res.tables(spark, ERP_TABLES), cfg)
+        plan = _physical(model.accounts_payable)
+        merges = [x for x in plan if "SortMergeJoin" in x]
+        exchanges = [x for x in plan if "Exchange hashpartitioning" in x]
+        assert len(merges) <= 8 and len(exchanges) <= 9, (merges, exchanges)
+        assert not any("FullOuter" in x for x in merges)  # merged in the stored lines, once
+        assert sum("FullOuter" in x for x in _physical(model.invoices)) == 1
+        # no lookup key is a shuffle key
+        lookups = ("__f_periv", "__v_lifnr", "__kf_", "__vc_id", "__r_fcurr", "__c_bukrs", "__bd_date", "__fix")
+        assert not [x for x in merges + exchanges if any(k in x for k in lookups)]
+        # header joins of the shared lines read buckets: no exchange on the invoice key alone
+        assert not [x for x in exchanges if "hashpartitioning(mandt" in x and "belnr" in x and "gjahr" in x]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_materialized_dimension_is_as_large_as_its_rows(spark):
+    """A dimension that a join made: the planner's bound for the join is a product
+    of its sides, the stored leaf's bound its own bytes, and no less than the data
+    where few distinct values would compress away."""
+    from payledger.operators.joins import is_small, materialize
+
+    left = spark.range(20_000).select((F.col("id") % 50).alias("k"), F.lit("one value of forty characters, repeated").alias("v"))
+    joined = left.join(spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("w")), "k").where("k < 500")
+    assert not is_small(joined, 100 << 20)
+    leaf = materialize(joined)
+    assert is_small(leaf, 4 << 20) and not is_small(leaf, 20_000 * 40)
+
+
+def test_shared_invoice_lines_change_nothing(spark, erp, cfg):
+    import dataclasses
+
+    shared = LedgerModel(spark, erp, cfg).accounts_payable
+    apart = LedgerModel(spark, erp, dataclasses.replace(cfg, share_invoice_lines=False, materialize_dimensions=False)).accounts_payable
+    assert shared.count() == apart.count() > 0
+    assert shared.exceptAll(apart).count() == 0 and apart.exceptAll(shared).count() == 0
