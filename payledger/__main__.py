@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from payledger.config import LedgerConfig
 from payledger.plans.pipeline import deploy
-from payledger.sources.erp import HOLIDAY_TABLE, MODEL_TABLES, TableResolver
+from payledger.sources.erp import HOLIDAY_TABLE, MODEL_TABLES, TableResolver, table_states
 
 
 def _date(text: str) -> dt.date:
@@ -39,6 +39,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     dp.add_argument("--calendar-end", type=_date)
     dp.add_argument("--target-database", help="catalog database for the outputs")
     dp.add_argument("--holiday-csv", help="holiday files to load (default: the table febraban_holiday)")
+    dp.add_argument("--rebuild", action="store_true", help="build every dataset, also those whose inputs did not change")
+    dp.add_argument("--keep-versions", type=int, help="remove all but the newest versions of every output")
     args = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName("payledger-deploy").getOrCreate()
@@ -49,7 +51,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         cfg = dataclasses.replace(cfg, calendar_end=args.calendar_end)
     resolver = TableResolver(root=args.root, database=args.database)
     names = MODEL_TABLES if args.holiday_csv else (*MODEL_TABLES, HOLIDAY_TABLE)
-    out = deploy(spark, resolver.tables(spark, names), cfg, args.out, database=args.target_database, holiday_csv=args.holiday_csv)
+    states = None if args.rebuild else table_states(spark, resolver, MODEL_TABLES)
+    out = deploy(spark, resolver.tables(spark, names), cfg, args.out, database=args.target_database, holiday_csv=args.holiday_csv,
+                 states=states, keep_versions=args.keep_versions)
     print(json.dumps(out))
     return out
 

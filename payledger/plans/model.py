@@ -147,9 +147,11 @@ class LedgerModel:
         return self._dimension(payables.company_dimension(self.companies, self.fiscal_periods, self.cfg), "companies")
 
     def prepare_dimensions(self) -> None:
-        """Materialise the small dimensions concurrently: they are independent
-        small jobs, and running them side by side keeps the cores busy."""
+        """Write the small dimensions and the shared invoice lines concurrently: they
+        are independent jobs, and running them side by side keeps the cores busy."""
         names = ["currency_decimal", "business_days", "target_rates", "current_vendors", "company_dimension"]
+        if self.cfg.share_invoice_lines and self.stored_invoices is None:
+            names.append("invoice_lines")
         todo = [n for n in names if n not in self.__dict__]
         if not self.cfg.materialize_dimensions or len(todo) < 2:
             return

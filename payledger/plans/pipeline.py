@@ -9,20 +9,23 @@ folder, and with a database also a catalog table, so a new session finds it.
 
 from __future__ import annotations
 
+import dataclasses
 import os
 import uuid
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from payledger.config import LedgerConfig
 from payledger.descriptions import PAYABLE_DESCRIPTIONS
 from payledger.operators.describe import attach_descriptions
-from payledger.operators.upsert import upsert
-from payledger.plans import calendar, currency, masterdata
+from payledger.plans import calendar, masterdata
 from payledger.plans.model import LedgerModel
+from payledger.sources import versioned
 from payledger.sources.erp import HOLIDAY_TABLE
 from payledger.sources.holidays import load_holiday_csv
+from payledger.sources.versioned import Partition
 
 # Names of the published views.
 VIEW_NAMES = {
@@ -38,76 +41,37 @@ VIEW_NAMES = {
 }
 
 
-def _folder(spark: SparkSession, path: str):
-    """The file system of ``path`` and the path in its terms."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether the folder is there; a file system error is no answer and rises."""
-    fs, at = _folder(spark, path)
-    return fs.exists(at)
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Published versions, from the folder names."""
-    fs, at = _folder(spark, root)
-    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
-    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version=") and n.removeprefix("version=").isdigit())
-
+# Partitions of the stored helper tables: a year a folder.
+RATE_YEARS = Partition("conv_year", "year(conv_date)")
+DAY_YEARS = Partition("cal_year", "year(date)")
+
+# Dataset -> the ERP tables and stored tables it is built from.
+INPUTS = {
+    "CurrencyConversion": ["currency_conversion"],
+    "CompaniesMD": ["t001"],
+    "CustomersMD": ["kna1", "adrc"],
+    "VendorConfig": ["tvarvc"],
+    "VendorsMD": ["lfa1", "adrc"],
+    "InvoiceDocuments_Flow": ["rseg", "rbco", "rbkp", "prps", "currency_decimal", "calendar_date_dim"],
+    "PurchaseDocumentsHistory": ["ekbe", "currency_decimal", "calendar_date_dim"],
+    "AccountingDocuments": ["bseg", "bkpf", "currency_decimal", "calendar_date_dim"],
+    "AccountsPayableGenAI": ["AccountingDocuments", "InvoiceDocuments_Flow", "PurchaseDocumentsHistory", "CompaniesMD", "VendorsMD",
+                             "VendorConfig", "CurrencyConversion", "BusinessDays", "t009", "t009b", "bkpf", "rbkp"],
+}
 
-def _current_version(spark: SparkSession, root: str) -> tuple[DataFrame | None, int | None]:
-    """The newest published version is the current table."""
-    found = _versions(spark, root)
-    if not found:
-        return None, None
-    return spark.read.parquet(f"{root.rstrip('/')}/version={found[-1]}"), found[-1]
+# Datasets that depend on "today" themselves.
+DATED = {"AccountingDocuments", "AccountsPayableGenAI"}
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    return _current_version(spark, root)[1]
-
-
-def _publish(spark: SparkSession, result: DataFrame, root: str, version: int, keys: list[str] | None = None) -> str:
-    """Write ``result`` aside, check its keys, and publish it by one rename as
-    ``version=N`` of ``root``. A writer that finds its version published by
-    another one fails and leaves the table as it is."""
-    aside = f"{root.rstrip('/')}/_writing-{uuid.uuid4().hex}"
-    result.write.parquet(aside)
-    if keys:
-        twice = spark.read.parquet(aside).groupBy(*keys).count().where("count > 1").limit(1).collect()
-        if twice:
-            raise ValueError(f"duplicate key in the new version: {twice[0].asDict()}")
-    path = f"{root.rstrip('/')}/version={version}"
-    fs, target = _folder(spark, path)
-    if fs.exists(target) or not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), target):
-        raise RuntimeError(f"version {version} of {root} was published by another writer")
-    return path
+    found = versioned.versions(spark, root)
+    return found[-1] if found else None
 
 
 def upsert_table(spark: SparkSession, root: str, source: DataFrame, keys: list[str]) -> int:
     """MERGE ``source`` into the versioned table at ``root`` (no delete branch);
-    older versions stay readable."""
-    current, newest = _current_version(spark, root)
-    result = source if current is None else upsert(current, source, keys, check_unique=True)
-    version = 0 if newest is None else newest + 1
-    _publish(spark, result, root, version, keys)
-    return version
-
-
-def replace_table(spark: SparkSession, root: str, df: DataFrame) -> DataFrame:
-    """Publish ``df`` as the next version of ``root`` and read it back."""
-    newest = latest_version(spark, root)
-    return spark.read.schema(df.schema).parquet(_publish(spark, df, root, 0 if newest is None else newest + 1))
-
-
-def _catalog_table(spark: SparkSession, database: str, name: str, df: DataFrame) -> str:
-    """A catalog table ``database.name`` over the stored files of ``df``, with its
-    column comments; the files of an earlier one are kept."""
-    spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-    spark.catalog.createTable(f"{database}.{name}", path=os.path.dirname(df.inputFiles()[0]), source="parquet", schema=df.schema)
-    return f"{database}.{name}"
+    older versions stay readable. Returns the version published."""
+    return versioned.upsert_table(spark, root, source, keys).version
 
 
 def _holidays(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, csv: str | None) -> DataFrame:
@@ -120,26 +84,33 @@ def _holidays(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, c
     else:
         given = None
     if given is not None:
-        upsert_table(spark, root, given, ["HolidayDate"])
-    current, _ = _current_version(spark, root)
-    if current is None:
+        versioned.upsert_table(spark, root, given, ["HolidayDate"])
+    if versioned.current(spark, root) is None:
         raise ValueError(f"no holiday table: give a holiday CSV or a {HOLIDAY_TABLE} table")
-    return current
+    return versioned.read(spark, root)
 
 
 def deploy(spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConfig, out_root: str,
            database: str | None = None, holiday_csv: str | None = None,
-           datasets: Collection[str] | None = None) -> dict[str, str]:
+           datasets: Collection[str] | None = None, states: Mapping[str, str] | None = None,
+           keep_versions: int | None = None) -> dict[str, str]:
     """Build and persist the helper tables and the nine datasets; returns where
-    each one is, and under ``missing_descriptions`` the payable columns that no
-    description names.
+    each one is, under ``missing_descriptions`` the payable columns that no
+    description names, and under ``rebuilt`` the datasets that were built anew.
 
     ``datasets`` limits the run to some of ``VIEW_NAMES``. Holidays come from
-    ``holiday_csv`` when it is given. With ``database`` every
-    output is a catalog table as well (the calendar is created only when the
-    catalog does not have it yet); without one the datasets get session views over
-    the stored files. Rates, decimals, calendar, holidays and business days are
-    read back from their tables by whatever follows."""
+    ``holiday_csv`` when it is given. With ``database`` every output is a persistent
+    catalog view over its newest version as well (the calendar a table, created only
+    when the catalog does not have it yet); without one the datasets get session
+    views. Rates, decimals, calendar, holidays and business days are read back from
+    their tables by whatever follows, and a dataset that builds on another reads
+    the stored one.
+
+    ``states`` names the content of the ERP tables (see ``sources.erp.table_states``).
+    With it a dataset is built only when a table it builds on, the settings or
+    "today" changed since its newest version: a run after a new holiday or rate
+    refreshes what depends on it, in order, and leaves the rest. Without it every
+    dataset is built. ``keep_versions`` removes older versions at the end."""
     def at(name):
         return os.path.join(out_root, name)
 
@@ -147,14 +118,15 @@ def deploy(spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConf
     holidays = _holidays(spark, tables, out["FebrabanHoliday"], holiday_csv)
     build = LedgerModel(spark, {**tables, HOLIDAY_TABLE: holidays}, cfg)
     stored: dict[str, DataFrame] = {}
+    state: dict[str, str] = dict(states or {})
 
     out["currency_conversion"] = at("currency_conversion")
-    currency.write_currency_conversion(build.currency_conversion, out["currency_conversion"])
-    stored["currency_conversion"] = spark.read.parquet(out["currency_conversion"]).drop("conv_year")
+    kept = versioned.replace_table(spark, at("currency_conversion"), build.currency_conversion, RATE_YEARS)
+    stored["currency_conversion"], state["currency_conversion"] = versioned.read(spark, at("currency_conversion"), kept), kept.state()
 
-    out["currency_decimal"] = at("currency_decimal")
-    build.currency_decimal.coalesce(1).write.mode("overwrite").parquet(out["currency_decimal"])  # a row per currency
-    stored["currency_decimal"] = spark.read.parquet(out["currency_decimal"])
+    kept = _whole_if_changed(spark, at("currency_decimal"), build.currency_decimal.coalesce(1))  # a row per currency
+    out["currency_decimal"] = os.path.join(at("currency_decimal"), kept.folders[versioned.WHOLE])
+    stored["currency_decimal"], state["currency_decimal"] = versioned.read(spark, at("currency_decimal"), kept), kept.state()
 
     days = calendar.calendar_date_dim(spark, cfg.calendar_start, cfg.calendar_end)
     if database is not None:
@@ -164,38 +136,68 @@ def deploy(spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConf
         out["calendar_date_dim"], stored["calendar"] = name, spark.table(name)
     else:
         out["calendar_date_dim"] = at("calendar_date_dim")
-        if not _exists(spark, out["calendar_date_dim"]):  # create only when absent
+        if not versioned.exists(spark, out["calendar_date_dim"]):  # create only when absent
             days.write.parquet(out["calendar_date_dim"])
         stored["calendar"] = spark.read.parquet(out["calendar_date_dim"])
+    # a row per day of the configured range, and no more: cheap to compare
+    state["calendar_date_dim"] = _content(stored["calendar"])
 
     out["BusinessDays"] = at("BusinessDays")
-    upsert_table(spark, out["BusinessDays"], build.business_days, ["date"])
-    stored["business_days"] = read_business_days(spark, out["BusinessDays"])
+    kept = versioned.upsert_table(spark, out["BusinessDays"], build.business_days, ["date"], DAY_YEARS)
+    stored["business_days"], state["BusinessDays"] = read_business_days(spark, out["BusinessDays"]), kept.state()
+    helpers = {"currency_conversion": RATE_YEARS, "currency_decimal": None, "BusinessDays": DAY_YEARS, "FebrabanHoliday": None}
 
-    model = LedgerModel(spark, build.tables, build.cfg, stored)
+    settings, rebuilt = build.cfg, []
     for attr, view in VIEW_NAMES.items():
         if datasets is not None and view not in datasets:
             continue
-        df = getattr(model, attr)
-        if attr == "customers":
-            df = masterdata.customers_md(model.tables, model.cfg, ordered=True)
-        elif attr == "accounts_payable":
-            df, missing = attach_descriptions(df, PAYABLE_DESCRIPTIONS)
-            out["missing_descriptions"] = ",".join(missing)
-        kept = replace_table(spark, at(view), df)
+        inputs = {name: state.get(name, uuid.uuid4().hex) for name in INPUTS[view]}
+        inputs["settings"] = repr(settings if view in DATED else dataclasses.replace(settings, as_of=None))
+        kept = versioned.current(spark, at(view))
+        if kept is None or dict(kept.inputs) != inputs:
+            model = LedgerModel(spark, build.tables, build.cfg, stored)
+            df = getattr(model, attr)
+            if attr == "customers":
+                df = masterdata.customers_md(model.tables, model.cfg, ordered=True)
+            elif attr == "accounts_payable":
+                df, missing = attach_descriptions(df, PAYABLE_DESCRIPTIONS)
+                out["missing_descriptions"] = ",".join(missing)
+            kept = versioned.replace_table(spark, at(view), df, inputs=inputs)
+            rebuilt.append(view)
+        frame = versioned.read(spark, at(view), kept)
+        state[view] = kept.state()
+        if attr not in ("customers", "accounts_payable"):
+            stored[attr] = frame
         if database is not None:
-            out[view] = _catalog_table(spark, database, view, kept)
+            out[view] = versioned.catalog_view(spark, database, view, at(view), kept)
         else:
-            kept.createOrReplaceTempView(view)
-            out[view] = os.path.dirname(kept.inputFiles()[0])
-    if database is not None:
-        for name, df in (("FebrabanHoliday", holidays), ("BusinessDays", stored["business_days"])):
-            _catalog_table(spark, database, name, df)
+            frame.createOrReplaceTempView(view)
+            out[view] = os.path.join(at(view), kept.folders[versioned.WHOLE])
+    for name in helpers:
+        if database is not None:
+            versioned.catalog_view(spark, database, name, at(name), versioned.current(spark, at(name)))
+    if keep_versions is not None:
+        for name in [*helpers, *(VIEW_NAMES.values() if datasets is None else datasets)]:
+            versioned.retain(spark, at(name), keep_versions)
+    out["rebuilt"] = ",".join(rebuilt)
     return out
 
 
+def _content(df: DataFrame) -> str:
+    """A digest of the rows of a small table that does not depend on their order."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("h")).first()
+    return f"{r['n']}:{r['h']}"
+
+
+def _whole_if_changed(spark: SparkSession, root: str, df: DataFrame) -> versioned.Commit:
+    """Publish a small table anew unless its newest version has the same rows."""
+    content = {"rows": _content(df)}
+    newest = versioned.current(spark, root)
+    if newest is not None and dict(newest.inputs) == content:
+        return newest
+    return versioned.replace_table(spark, root, df, inputs=content)
+
+
 def read_business_days(spark: SparkSession, root: str) -> DataFrame:
-    current, _ = _current_version(spark, root)
-    if current is None:
-        raise FileNotFoundError(f"no business-day table under {root}")
-    return current.select("date", "is_business_day", "previous_business_day", "next_business_day")
+    return versioned.read(spark, root).select("date", "is_business_day", "previous_business_day", "next_business_day")

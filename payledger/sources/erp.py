@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Document tables and the keys their joins use: staged hash-bucketed by them so
 # header/line joins read co-partitioned data (no shuffle of either side).
@@ -74,3 +75,26 @@ def stage_tables(tables: Mapping[str, DataFrame], root: str, buckets: int | None
                 spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
                 spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
     return TableResolver(root=None if database else root, database=database)
+
+
+def table_states(spark: SparkSession, resolver: TableResolver, names: Iterable[str]) -> dict[str, str]:
+    """Name -> digest of the table's files (path, size, time of change), for
+    ``deploy(states=...)``. The files are listed and hashed by Spark; their content
+    is not read, and only a digest per table comes back. A catalog table's folder is
+    taken from the catalog."""
+    out = {}
+    for name in names:
+        if name in resolver.overrides:
+            path = resolver.overrides[name]
+        elif resolver.database is not None:
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {resolver.database}.{name}").where("col_name = 'Location'").collect()
+            path = rows[0]["data_type"] if rows else None
+        else:
+            path = f"{resolver.root.rstrip('/')}/{name}"
+        if path is None:
+            continue  # a view: its content cannot be named, so what builds on it is always built
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+        h = F.xxhash64("path", "length", "modificationTime")
+        r = files.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("h")).first()
+        out[name] = f"{r['n']}:{r['h']}"
+    return out
