@@ -60,6 +60,10 @@ class LedgerConfig:
     # Dimensions proven to hold at most this many bytes are broadcast; others go
     # through a shuffle join that AQE may still turn into a broadcast at run time.
     broadcast_bytes: int = 64 << 20
+    # Invoices and purchase-order items that hold this share of the vendor lines are
+    # split over several tasks in the joins on them (found by one more pass over the
+    # key columns). None leaves hot keys to AQE's skew join.
+    hot_key_share: float | None = None
     # Write the merged invoice lines once, bucketed by invoice, for the two branches
     # of the payable fact (posted and parked); else each branch merges them again.
     share_invoice_lines: bool = True

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,11 +41,51 @@ def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if is_small(df, limit) else df
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Join keys that hold at least a given share of the rows: their hashes (see
+    ``key_hash``), and over how many pieces each is to be spread."""
+
+    hashes: tuple[int, ...]
+    pieces: int
+
+
+#: Items that the frequency sketch of ``frequent_keys`` tracks; its counts are high by rows * 3.5 / tracked at most.
+TRACKED = 8192
+
+
+def key_hash(columns: Sequence[Column]) -> Column:
+    return F.xxhash64(*[c.cast("string") for c in columns])
+
+
+def frequent_keys(df: DataFrame, keys: Mapping[str, Sequence[Column]], share: float, partitions: int) -> dict[str, HotKeys]:
+    """Per named key, the values that hold ``share`` of the rows or more.
+
+    One pass with a frequent-items sketch per key (merged map-side, a few thousand
+    entries whatever the input); at most ``1 / share`` hashes come back. A key with a
+    NULL part is left out: it has no partner. The sketch never counts too low, so no
+    hot key is missed; one taken for hot by its error is split for nothing.
+    ``pieces`` gives a hot key as many shuffle partitions as its share is worth."""
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
+    k = math.ceil(1 / share) + 1
+    frame = df.select(*[
+        F.when(reduce(lambda a, b: a & b, [c.isNotNull() for c in cols]), key_hash(cols)).alias(name) for name, cols in keys.items()])
+    found = frame.agg(F.count(F.lit(1)).alias("rows"), *[F.expr(f"approx_top_k(`{n}`, {k}, {max(TRACKED, 8 * k)})").alias(n) for n in keys]).first()
+    out = {}
+    for name in keys:
+        hot = [(i["item"], i["count"]) for i in found[name] or [] if i["item"] is not None and i["count"] >= share * found["rows"]]
+        most = max((c for _, c in hot), default=0) / max(found["rows"], 1)
+        out[name] = HotKeys(tuple(sorted(h for h, _ in hot)), max(2, math.ceil(most * partitions)))
+    return out
+
+
 def left_join_salted_nulls(
     left: DataFrame,
     right: DataFrame,
     pairs: Sequence[tuple[Column, str]],
     salt_from: Sequence[str],
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left join on ``left_expr == right[right_col]`` for every pair.
 
@@ -56,6 +98,10 @@ def left_join_salted_nulls(
     kept and none gains a partner. The salt lives in the keys themselves: a
     separate salt column, or a salt in a key that a filter makes constant (the
     client, say), would be folded away by the optimizer.
+
+    ``hot`` keys are split as well, without AQE: their left rows are dealt by the
+    same hash over ``hot.pieces``, their right rows are repeated once a piece, and
+    the piece joins along. Every left row meets every right row of its key once.
     """
     any_null = reduce(lambda a, b: a | b, [expr.isNull() for expr, _ in pairs])
     salt = F.concat(F.lit("\u0001"), F.xxhash64(*[F.col(c) for c in salt_from]).cast("string"))
@@ -65,13 +111,25 @@ def left_join_salted_nulls(
                for i, (f, (_, rc)) in enumerate(zip(kinds, pairs))]
     keys = {name: F.when(any_null, salt).otherwise(expr.cast("string")) if text else expr
             for name, text, (expr, _) in zip(key_names, as_text, pairs)}
-    left_keyed = left.withColumns({**keys, "__null_key": any_null})
+    added = {**keys, "__null_key": any_null}
+    columns = right.columns
+    if hot is not None and hot.hashes:
+        if not all(as_text):
+            raise ValueError("hot keys are told by their text: all key columns must be strings")
+        mine, theirs = key_hash([e for e, _ in pairs]), key_hash([F.col(rc) for _, rc in pairs])
+        piece = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(hot.pieces)).cast("int")
+        added["__piece"] = F.when(mine.isin(*hot.hashes), piece).otherwise(F.lit(0))
+        copies = F.when(theirs.isin(*hot.hashes), F.sequence(F.lit(0), F.lit(hot.pieces - 1))).otherwise(F.array(F.lit(0)))
+        right = right.withColumn("__piece", F.explode(copies))
+    left_keyed = left.withColumns(added)
     cond = ~F.col("l.__null_key")
     for name, text, (_, rc) in zip(key_names, as_text, pairs):
         other = F.col(f"r.{rc}")
         cond = cond & (F.col(f"l.{name}") == (other.cast("string") if text else other))
+    if "__piece" in added:
+        cond = cond & (F.col("l.__piece") == F.col("r.__piece"))
     joined = left_keyed.alias("l").join(right.alias("r"), cond, "left")
-    return joined.select(*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in right.columns])
+    return joined.select(*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in columns])
 
 
 def lookup_left_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, str]],

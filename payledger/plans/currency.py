@@ -123,16 +123,3 @@ def target_rates(daily_view: DataFrame, cfg: LedgerConfig) -> DataFrame:
     return daily_view.where(
         (F.col("ToCurrency_TCURR") == cfg.target_currency) & (F.col("ExchangeRateType_KURST") == cfg.rate_type)
     ).select("Client_MANDT", "FromCurrency_FCURR", "ToCurrency_TCURR", "ConvDate", "ExchangeRate_UKURS")
-
-
-def write_currency_conversion(daily: DataFrame, path: str) -> None:
-    """Persist the daily table partitioned by year, days sorted inside files
-    (one folder per day would mean ~3,650 tiny partitions per history)."""
-    (
-        daily.withColumn("conv_year", F.year("conv_date"))
-        .repartition("conv_year", *PAIR_KEYS)
-        .sortWithinPartitions("conv_date")
-        .write.mode("overwrite")
-        .partitionBy("conv_year")
-        .parquet(path)
-    )

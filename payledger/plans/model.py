@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payledger.config import LedgerConfig
-from payledger.operators.joins import bucketed, materialize
+from payledger.operators.joins import HotKeys, bucketed, materialize
 from payledger.plans import calendar, currency, documents, masterdata, payables
 
 
@@ -120,12 +120,18 @@ class LedgerModel:
         return documents.accounting_documents(self.tables, self.currency_decimal, self.stored_calendar, self.cfg)
 
     # payables
+    @cached_property
+    def hot_keys(self) -> dict[str, HotKeys]:
+        if self.cfg.hot_key_share is None:
+            return {}
+        return payables.hot_join_keys(self.accounting_documents, self.cfg, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
     @cached_property
     def accounting_invoices(self) -> DataFrame:
         self.prepare_dimensions()
         return payables.accounting_invoices(
             self.accounting_documents, self.payable_invoice_flow, self.business_days, self.cfg,
-            parked_flow=self.parked_invoice_flow,
+            parked_flow=self.parked_invoice_flow, hot=self.hot_keys.get("invoice"),
         )
 
     @cached_property
@@ -170,7 +176,7 @@ class LedgerModel:
     def enriched_payables(self) -> DataFrame:
         return payables.enrich(
             self.accounting_invoices_kpi, self.current_vendors, self.vendor_config, self.purchase_history,
-            self.target_rates, self.cfg,
+            self.target_rates, self.cfg, hot=self.hot_keys.get("purchase"),
         )
 
     @cached_property

@@ -23,7 +23,7 @@ from payledger.config import LedgerConfig
 from payledger.functions.amounts import exact_product
 from payledger.functions.dates import days_to_int
 from payledger.functions.text import last_token, left, strip_leading_zeros
-from payledger.operators.joins import broadcast_if_small, left_join_salted_nulls, lookup_left_join
+from payledger.operators.joins import HotKeys, broadcast_if_small, frequent_keys, left_join_salted_nulls, lookup_left_join
 from payledger.operators.ranking import keep_first_rank
 from payledger.plans.calendar import add_next_business_day, add_previous_business_day
 from payledger.plans.fiscal import fiscal_period_lookup
@@ -88,7 +88,25 @@ def _typed(c: Column, t) -> Column:
     return c.cast(t)
 
 
-def posted_vendor_lines(acc_docs: DataFrame, invoices: DataFrame, cfg: LedgerConfig) -> DataFrame:
+def join_keys() -> dict[str, list[Column]]:
+    """The keys of the two fact-to-fact joins, as expressions over accounting lines."""
+    client, year = F.col("Client_MANDT"), F.col("FiscalYear_GJAHR")
+    return {
+        "invoice": [client, F.col("CompanyCode_BUKRS"), left(F.col("ObjectKey_AWKEY"), 10), year,
+                    strip_leading_zeros(F.col("NumberOfLineItemWithinAccountingDocument_BUZEI"))],
+        "purchase": [client, F.col("PurchasingDocumentNumber_EBELN"), F.col("ItemNumberOfPurchasingDocument_EBELP"), year,
+                     F.col("ObjectKey_AWKEY")],
+    }
+
+
+def hot_join_keys(acc_docs: DataFrame, cfg: LedgerConfig, partitions: int) -> dict[str, HotKeys]:
+    """The invoices and purchase-order items that hold ``cfg.hot_key_share`` of the
+    vendor lines or more: one pass over the key columns of the lines."""
+    lines = acc_docs.where(F.col("AccountType_KOART") == cfg.vendor_account_type)
+    return frequent_keys(lines, join_keys(), cfg.hot_key_share, partitions)
+
+
+def posted_vendor_lines(acc_docs: DataFrame, invoices: DataFrame, cfg: LedgerConfig, hot: HotKeys | None = None) -> DataFrame:
     """Vendor ('K') lines joined to the invoice lines they were posted from.
 
     Keys: client, company, first 10 characters of the object key = invoice
@@ -106,15 +124,9 @@ def posted_vendor_lines(acc_docs: DataFrame, invoices: DataFrame, cfg: LedgerCon
         F.col("Documenttype_BLART").alias("InvoiceDocumenttype_BLART"),
         F.col("PostingDate_BUDAT"),
     )
-    pairs = [
-        (F.col("Client_MANDT"), "__i_mandt"),
-        (F.col("CompanyCode_BUKRS"), "__i_bukrs"),
-        (left(F.col("ObjectKey_AWKEY"), 10), "__i_belnr"),
-        (F.col("FiscalYear_GJAHR"), "__i_gjahr"),
-        (strip_leading_zeros(F.col("NumberOfLineItemWithinAccountingDocument_BUZEI")), "__i_buzei"),
-    ]
+    pairs = list(zip(join_keys()["invoice"], ["__i_mandt", "__i_bukrs", "__i_belnr", "__i_gjahr", "__i_buzei"]))
     joined = left_join_salted_nulls(
-        ad, inv, pairs, ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI"]
+        ad, inv, pairs, ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI"], hot
     )
     cols = []
     for name, t in UNION_COLUMNS:
@@ -165,13 +177,13 @@ def parked_invoices(invoices: DataFrame, cfg: LedgerConfig) -> DataFrame:
 
 def accounting_invoices(
     acc_docs: DataFrame, invoices: DataFrame, bdays: DataFrame, cfg: LedgerConfig,
-    parked_flow: DataFrame | None = None,
+    parked_flow: DataFrame | None = None, hot: HotKeys | None = None,
 ) -> DataFrame:
     """Posted vendor lines UNION ALL parked invoices, plus the previous business
     day of the posting date. ``parked_flow`` is an invoice flow already limited
     to parked headers (cheaper than filtering the full flow a second time)."""
     parked = parked_invoices(parked_flow if parked_flow is not None else invoices, cfg)
-    union = posted_vendor_lines(acc_docs, invoices, cfg).unionByName(parked)
+    union = posted_vendor_lines(acc_docs, invoices, cfg, hot).unionByName(parked)
     return add_previous_business_day(
         union, bdays, F.col("PostingDateInTheDocument_BUDAT"), "PreviousBusinessDay_BUDAT", cfg
     )
@@ -314,7 +326,7 @@ def current_vendors(vendors: DataFrame, cfg: LedgerConfig) -> DataFrame:
 
 
 def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: DataFrame, rates: DataFrame,
-           cfg: LedgerConfig) -> DataFrame:
+           cfg: LedgerConfig, hot: HotKeys | None = None) -> DataFrame:
     """Left joins to current vendors (``current_vendors``), vendor config, PO
     history and daily rates."""
     salt = ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI"]
@@ -340,13 +352,8 @@ def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: D
         F.col("AmountInDocumentCurrency_WRBTR").alias("__p_wrbtr"),
         F.col("Quantity_MENGE").alias("__p_menge"),
     )
-    df = left_join_salted_nulls(
-        df, po,
-        [(F.col("Client_MANDT"), "__p_mandt"), (F.col("PurchasingDocumentNumber_EBELN"), "__p_ebeln"),
-         (F.col("ItemNumberOfPurchasingDocument_EBELP"), "__p_ebelp"), (F.col("FiscalYear_GJAHR"), "__p_gjahr"),
-         (F.col("ObjectKey_AWKEY"), "__p_awkey")],
-        salt,
-    )
+    pairs = list(zip(join_keys()["purchase"], ["__p_mandt", "__p_ebeln", "__p_ebelp", "__p_gjahr", "__p_awkey"]))
+    df = left_join_salted_nulls(df, po, pairs, salt, hot)
     rt = rates.select(
         F.col("Client_MANDT").alias("__r_mandt"), F.col("FromCurrency_FCURR").alias("__r_fcurr"),
         F.col("ConvDate").alias("__r_date"), F.col("ExchangeRate_UKURS").cast(RATE).alias("ExchangeRate_UKURS"),

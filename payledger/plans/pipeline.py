@@ -42,8 +42,8 @@ VIEW_NAMES = {
 
 
 # Partitions of the stored helper tables: a year a folder.
-RATE_YEARS = Partition("conv_year", "year(conv_date)")
-DAY_YEARS = Partition("cal_year", "year(date)")
+RATE_YEARS = Partition("conv_year", "year(conv_date)", "conv_date")
+DAY_YEARS = Partition("cal_year", "year(date)", "date")
 
 # Dataset -> the ERP tables and stored tables it is built from.
 INPUTS = {

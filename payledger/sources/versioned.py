@@ -46,10 +46,13 @@ class ConflictError(RuntimeError):
 
 @dataclass(frozen=True)
 class Partition:
-    """Partition column ``name`` with the SQL rule that gives its value for a row."""
+    """Partition column ``name`` with the SQL rule that gives its value for a row.
+    One task writes a partition, sorted by ``order``: for tables whose partitions
+    are bounded by what they describe (the days of a year), not by documents."""
 
     name: str
     rule: str
+    order: str | None = None
 
 
 @dataclass(frozen=True)
@@ -213,7 +216,8 @@ def commit(spark: SparkSession, root: str, schema: StructType, make: Callable[[C
                 draft.rows.write.parquet(path)
                 folders[WHOLE] = f"version={version}"
             else:
-                draft.rows.repartition(partition.name).write.partitionBy(partition.name).parquet(path)
+                order = [partition.name, *([partition.order] if partition.order else [])]
+                draft.rows.repartition(partition.name).sortWithinPartitions(*order).write.partitionBy(partition.name).parquet(path)
                 for name in _names(spark, path):
                     if name.startswith(f"{partition.name}="):
                         folders[unquote(name.split("=", 1)[1])] = f"version={version}/{name}"

@@ -182,3 +182,53 @@ def test_lookup_join_paths_agree(spark, erp, cfg):
     large = LedgerModel(spark, erp, dataclasses.replace(cfg, broadcast_bytes=0)).accounts_payable
     assert small.count() == large.count()
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+
+
+def test_hot_keys_are_split_without_aqe(spark):
+    """One document with a third of the lines, AQE and broadcasts off: a plain join
+    puts its rows in one task, the split join over as many as its share is worth,
+    with the same result."""
+    from payledger.operators.joins import frequent_keys
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "24"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 30 != 1, (F.col("id") % 997).cast("string")).alias("k"),
+            F.lit("100").alias("client"), F.col("id").alias("doc")).cache()
+        right = spark.range(1000).select(
+            F.lit("100").alias("rc"), (F.col("id") % 500).cast("string").alias("rk"), F.col("id").alias("v")).union(
+            spark.range(3).select(F.lit("100"), F.lit("HOT"), F.col("id")))
+        pairs = [(F.col("client"), "rc"), (F.col("k"), "rk")]
+        found = frequent_keys(left, {"key": [F.col("client"), F.col("k")], "doc": [F.col("doc")]}, 0.05, 24)
+        assert len(found["key"].hashes) == 1 and found["key"].pieces == 8 and found["doc"].hashes == ()
+        plain = left_join_salted_nulls(left, right, pairs, ["doc"])
+        split = left_join_salted_nulls(left, right, pairs, ["doc"], found["key"])
+
+        def largest(df):
+            return df.where("k = 'HOT'").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        assert largest(plain) == 30000 and largest(split) <= 30000 // 3
+        assert split.columns == plain.columns and split.count() == plain.count()
+        assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_fact_with_split_keys_is_the_same(spark, erp, cfg):
+    import dataclasses
+
+    from payledger.plans.model import LedgerModel
+
+    # a document that holds most lines, on both joins
+    hot = dict(erp)
+    doc = hot["bseg"].limit(1).collect()[0]
+    for t in ("bseg",):
+        hot[t] = hot[t].withColumns({c: F.when(F.xxhash64("belnr", "buzei") % 2 == 0, F.lit(doc[c])).otherwise(F.col(c)) for c in ("ebeln", "ebelp")})
+    plain, split = (LedgerModel(spark, hot, dataclasses.replace(cfg, hot_key_share=s)) for s in (None, 0.0002))
+    assert plain.hot_keys == {} and all(k.hashes for k in split.hot_keys.values())
+    a, b = plain.accounts_payable, split.accounts_payable
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
