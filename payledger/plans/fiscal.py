@@ -9,11 +9,11 @@ solved once as a small frame and joined back to the documents.
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payledger.functions.dates import fiscal_case1
-from payledger.operators.joins import broadcast_if_small
+from payledger.operators.joins import broadcast_if_small, is_small
 
 
 def variant_cases(t009: DataFrame) -> DataFrame:
@@ -42,12 +42,15 @@ def fiscal_period_lookup(keys: DataFrame, t009: DataFrame, t009b: DataFrame, lim
     for '0000') + month + day is on or after the date. A grouped MIN then
     picks the period (CASE1 needs no row and is computed from the date). Keys
     with no period come out with a NULL period.
+
+    Few variants means few join keys, so this join is only right for a period table
+    small enough to broadcast; a larger one goes through ``carried_period_lookup``.
     """
     cases = broadcast_if_small(variant_cases(t009), limit)
     k = keys.join(cases, ["mandt", "periv"], "left").alias("k")
-    # few variants means few join keys: broadcasting the (checked) period table
-    # keeps all dates of one variant from landing in a single shuffle task
-    b = broadcast_if_small(t009b, limit).alias("b")
+    if not is_small(t009b, limit):
+        return carried_period_lookup(k.distinct(), t009b)
+    b = F.broadcast(t009b).alias("b")
     d = F.col("k.date")
     case = F.col("k.fiscal_case")
     year_eff = _year_or(F.col("b.bdatj"), d)
@@ -65,3 +68,50 @@ def fiscal_period_lookup(keys: DataFrame, t009: DataFrame, t009b: DataFrame, lim
     return k.join(b, cond, "left").groupBy(
         F.col("k.mandt").alias("mandt"), F.col("k.periv").alias("periv"), d.alias("date"), case.alias("fiscal_case")
     ).agg(F.min(label).alias("fiscal_period"))
+
+
+VARIANT = ["mandt", "periv"]
+
+
+def carried_period_lookup(keys: DataFrame, t009b: DataFrame) -> DataFrame:
+    """``fiscal_period_lookup`` for a period table of any size; ``keys`` carry their
+    ``fiscal_case`` and are distinct. No task holds a whole variant:
+
+    - CASE2 is an equi-join on client, variant, year and month;
+    - CASE3, "smallest label of all period ends on or after the date", is an as-of
+      lookup: dates and period ends are put in one sequence per (client, variant,
+      year), latest first, and a running MIN carries the label to the dates. What
+      later years contribute is one row a year (ends of year-independent rows count
+      for their date's year only, so they are never carried over).
+
+    A chunk holds the distinct dates and the period ends of one year."""
+    year = F.year("date").cast("string")
+    case1 = keys.where("fiscal_case = 'CASE1'").withColumn("fiscal_period", fiscal_case1(F.col("date")))
+    none = keys.where("fiscal_case IS NULL").withColumn("fiscal_period", F.lit(None).cast("string"))
+
+    rows = t009b.select(
+        *VARIANT, F.col("bdatj").alias("year"), F.col("bumon").alias("month"),
+        F.concat("bumon", "butag").alias("month_day"), "reljr", "poper")
+    label = _period_label(F.col("year"), F.col("reljr"), F.col("poper"))
+    months = rows.groupBy(*VARIANT, "year", "month").agg(F.min(label).alias("fiscal_period"))
+    case2 = keys.where("fiscal_case = 'CASE2'").withColumns({"year": year, "month": F.date_format("date", "MM")})
+    case2 = case2.join(months, [*VARIANT, "year", "month"], "left").drop("year", "month")
+
+    dates = keys.where("fiscal_case = 'CASE3'").withColumns({"year": year, "at": F.date_format("date", "yyyyMMdd")})
+    years = dates.select(*VARIANT, "year").distinct()
+    every = rows.where("year = '0000'").drop("year").join(years, VARIANT)
+    own = rows.where("year <> '0000'")
+    ends = own.unionByName(every, allowMissingColumns=True).select(
+        *VARIANT, "year", F.concat("year", "month_day").alias("at"), label.alias("label")).where("at IS NOT NULL")
+    chunk = Window.partitionBy(*VARIANT, "year")
+    # at the same day the end (NULL date) comes first: a period that ends on the date counts
+    running = chunk.orderBy(F.desc("at"), F.asc_nulls_first("date")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = dates.unionByName(ends, allowMissingColumns=True).withColumn("in_year", F.min("label").over(running)).where("date IS NOT NULL")
+    per_year = own.where("month_day IS NOT NULL").select(*VARIANT, "year", label.alias("label")).unionByName(
+        years, allowMissingColumns=True).groupBy(*VARIANT, "year").agg(F.min("label").alias("least"))
+    later = Window.partitionBy(*VARIANT).orderBy(F.desc("year")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_year.select(*VARIANT, "year", F.min("least").over(later).alias("carried"))
+    case3 = found.join(carry, [*VARIANT, "year"]).withColumn("fiscal_period", F.least("in_year", "carried"))
+
+    out = [*VARIANT, "date", "fiscal_case", "fiscal_period"]
+    return case1.select(*out).unionByName(case2.select(*out)).unionByName(case3.select(*out)).unionByName(none.select(*out))

@@ -52,6 +52,9 @@ def test_fiscal_periods_match_subquery_semantics(spark, prows, k):
     t9b = spark.createDataFrame(t009b, "mandt string, periv string, bdatj string, bumon string, butag string, "
                                        "poper string, reljr string")
     kdf = spark.createDataFrame([("100", p, d) for p, d in k], "mandt string, periv string, date date")
-    got = {(r.periv, r.date): r.fiscal_period for r in fiscal_period_lookup(kdf, t9, t9b).collect()}
-    for p, d in k:
-        assert got.get((p, d)) == py_period(p, d, t009b), (p, d)
+    for limit in (64 << 20, 0):  # broadcast, and carried by windows
+        rows = fiscal_period_lookup(kdf, t9, t9b, limit).collect()
+        got = {(r.periv, r.date): r.fiscal_period for r in rows}
+        assert len(rows) == len(got) == len(set(k))
+        for p, d in k:
+            assert got.get((p, d)) == py_period(p, d, t009b), (p, d, limit)
