@@ -60,6 +60,9 @@ class LedgerConfig:
     # Dimensions proven to hold at most this many bytes are broadcast; others go
     # through a shuffle join that AQE may still turn into a broadcast at run time.
     broadcast_bytes: int = 64 << 20
+    # How the payable fact finds a rate: "daily" (equality on the day of the daily
+    # table) or "interval" (pair and month, then a range test; no daily table).
+    rate_lookup: str = "daily"
     # Invoices and purchase-order items that hold this share of the vendor lines are
     # split over several tasks in the joins on them (found by one more pass over the
     # key columns). None leaves hot keys to AQE's skew join.

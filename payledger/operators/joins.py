@@ -86,6 +86,7 @@ def left_join_salted_nulls(
     pairs: Sequence[tuple[Column, str]],
     salt_from: Sequence[str],
     hot: HotKeys | None = None,
+    within: tuple[Column, str, str] | None = None,
 ) -> DataFrame:
     """Left join on ``left_expr == right[right_col]`` for every pair.
 
@@ -102,6 +103,9 @@ def left_join_salted_nulls(
     ``hot`` keys are split as well, without AQE: their left rows are dealt by the
     same hash over ``hot.pieces``, their right rows are repeated once a piece, and
     the piece joins along. Every left row meets every right row of its key once.
+
+    ``within`` (left value, two right columns) admits only right rows whose range
+    holds the value.
     """
     any_null = reduce(lambda a, b: a | b, [expr.isNull() for expr, _ in pairs])
     salt = F.concat(F.lit("\u0001"), F.xxhash64(*[F.col(c) for c in salt_from]).cast("string"))
@@ -121,6 +125,8 @@ def left_join_salted_nulls(
         added["__piece"] = F.when(mine.isin(*hot.hashes), piece).otherwise(F.lit(0))
         copies = F.when(theirs.isin(*hot.hashes), F.sequence(F.lit(0), F.lit(hot.pieces - 1))).otherwise(F.array(F.lit(0)))
         right = right.withColumn("__piece", F.explode(copies))
+    if within is not None:
+        added["__at"] = within[0]
     left_keyed = left.withColumns(added)
     cond = ~F.col("l.__null_key")
     for name, text, (_, rc) in zip(key_names, as_text, pairs):
@@ -128,22 +134,27 @@ def left_join_salted_nulls(
         cond = cond & (F.col(f"l.{name}") == (other.cast("string") if text else other))
     if "__piece" in added:
         cond = cond & (F.col("l.__piece") == F.col("r.__piece"))
+    if within is not None:
+        cond = cond & F.col("l.__at").between(F.col(f"r.{within[1]}"), F.col(f"r.{within[2]}"))
     joined = left_keyed.alias("l").join(right.alias("r"), cond, "left")
     return joined.select(*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in columns])
 
 
 def lookup_left_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, str]],
-                     salt_from: Sequence[str], limit: int) -> DataFrame:
+                     salt_from: Sequence[str], limit: int, within: tuple[Column, str, str] | None = None) -> DataFrame:
     """Left join to a lookup table: broadcast when it is proven small, else a
-    shuffle join whose NULL-key rows are salted across partitions."""
+    shuffle join whose NULL-key rows are salted across partitions. ``within`` as
+    in ``left_join_salted_nulls``."""
     small = broadcast_if_small(right, limit)
     if small is not right:
         cond = None
         for expr, rc in pairs:
             c = expr == small[rc]
             cond = c if cond is None else cond & c
+        if within is not None:
+            cond = cond & within[0].between(small[within[1]], small[within[2]])
         return left.join(small, cond, "left")
-    return left_join_salted_nulls(left, right, pairs, salt_from)
+    return left_join_salted_nulls(left, right, pairs, salt_from, within=within)
 
 
 def materialize(df: DataFrame, name: str = "dimension") -> DataFrame:

@@ -123,3 +123,27 @@ def target_rates(daily_view: DataFrame, cfg: LedgerConfig) -> DataFrame:
     return daily_view.where(
         (F.col("ToCurrency_TCURR") == cfg.target_currency) & (F.col("ExchangeRateType_KURST") == cfg.rate_type)
     ).select("Client_MANDT", "FromCurrency_FCURR", "ToCurrency_TCURR", "ConvDate", "ExchangeRate_UKURS")
+
+
+def rate_months(tables: Mapping[str, DataFrame], cfg: LedgerConfig) -> DataFrame:
+    """The rates of ``currency_conversion`` as intervals instead of days: one row per
+    rate and month that its interval touches, with the days ``first_day`` to
+    ``last_day`` on which it holds (over the history window, as the daily table).
+
+    A rate of a date is found by equality on the pair and the month, and a range test
+    on the few intervals of that month. A pair whose rate changes monthly has one row
+    a month here and one a day in the daily table."""
+    rates = rate_factor_containment(tables, cfg).unionByName(identity_rates(tables, cfg))
+    lo = F.greatest(F.col("start_date"), cfg.rate_window_start())
+    hi = F.least(F.col("end_date"), cfg.today())
+    held = rates.select(*PAIR_KEYS, "ukurs", lo.alias("first_day"), hi.alias("last_day")).where("first_day <= last_day")
+    month = F.explode(F.sequence(F.trunc("first_day", "MM"), F.trunc("last_day", "MM"), F.expr("INTERVAL 1 MONTH")))
+    return held.withColumn("month", month)
+
+
+def target_rate_months(tables: Mapping[str, DataFrame], cfg: LedgerConfig) -> DataFrame:
+    """``rate_months`` into the target currency for the configured rate type."""
+    wanted = (F.col("tcurr") == cfg.target_currency) & (F.col("kurst") == cfg.rate_type)
+    return rate_months(tables, cfg).where(wanted).select(
+        F.col("mandt").alias("Client_MANDT"), F.col("fcurr").alias("FromCurrency_FCURR"), F.col("tcurr").alias("ToCurrency_TCURR"),
+        "month", "first_day", "last_day", F.col("ukurs").alias("ExchangeRate_UKURS"))

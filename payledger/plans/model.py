@@ -142,6 +142,10 @@ class LedgerModel:
 
     @cached_property
     def target_rates(self) -> DataFrame:
+        if self.cfg.rate_lookup == "interval":
+            return self._dimension(currency.target_rate_months(self.tables, self.cfg), "target-rates")
+        if self.cfg.rate_lookup != "daily":
+            raise ValueError(f"unknown rate_lookup {self.cfg.rate_lookup!r}")
         return self._dimension(currency.target_rates(self.currency_conversion_view, self.cfg), "target-rates")
 
     @cached_property

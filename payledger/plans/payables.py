@@ -328,7 +328,7 @@ def current_vendors(vendors: DataFrame, cfg: LedgerConfig) -> DataFrame:
 def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: DataFrame, rates: DataFrame,
            cfg: LedgerConfig, hot: HotKeys | None = None) -> DataFrame:
     """Left joins to current vendors (``current_vendors``), vendor config, PO
-    history and daily rates."""
+    history and rates (daily ones, or the intervals of ``target_rate_months``)."""
     salt = ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI"]
     df = lookup_left_join(
         kpi, vendors,
@@ -354,17 +354,18 @@ def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: D
     )
     pairs = list(zip(join_keys()["purchase"], ["__p_mandt", "__p_ebeln", "__p_ebelp", "__p_gjahr", "__p_awkey"]))
     df = left_join_salted_nulls(df, po, pairs, salt, hot)
-    rt = rates.select(
+    names = [
         F.col("Client_MANDT").alias("__r_mandt"), F.col("FromCurrency_FCURR").alias("__r_fcurr"),
-        F.col("ConvDate").alias("__r_date"), F.col("ExchangeRate_UKURS").cast(RATE).alias("ExchangeRate_UKURS"),
-        F.col("ToCurrency_TCURR").alias("TargetCurrency_TCURR"),
-    )
-    return lookup_left_join(
-        df, rt,
-        [(F.col("Client_MANDT"), "__r_mandt"), (F.col("CurrencyKey_WAERS"), "__r_fcurr"),
-         (F.col("PreviousBusinessDay_BUDAT"), "__r_date")],
-        salt, cfg.broadcast_bytes,
-    )
+        F.col("ExchangeRate_UKURS").cast(RATE).alias("ExchangeRate_UKURS"), F.col("ToCurrency_TCURR").alias("TargetCurrency_TCURR"),
+    ]
+    day = F.col("PreviousBusinessDay_BUDAT")
+    pairs = [(F.col("Client_MANDT"), "__r_mandt"), (F.col("CurrencyKey_WAERS"), "__r_fcurr")]
+    if "month" in rates.columns:  # intervals by month
+        rt = rates.select(*names, F.col("month").alias("__r_month"), F.col("first_day").alias("__r_from"), F.col("last_day").alias("__r_to"))
+        return lookup_left_join(df, rt, [*pairs, (F.trunc(day, "MM"), "__r_month")], salt, cfg.broadcast_bytes,
+                                within=(day, "__r_from", "__r_to"))
+    rt = rates.select(*names, F.col("ConvDate").alias("__r_date"))
+    return lookup_left_join(df, rt, [*pairs, (day, "__r_date")], salt, cfg.broadcast_bytes)
 
 
 def measures(cfg: LedgerConfig) -> dict[str, Column]:

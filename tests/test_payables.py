@@ -232,3 +232,22 @@ def test_fact_with_split_keys_is_the_same(spark, erp, cfg):
     assert plain.hot_keys == {} and all(k.hashes for k in split.hot_keys.values())
     a, b = plain.accounts_payable, split.accounts_payable
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_rates_by_interval_are_the_daily_rates(spark, erp, cfg):
+    """The fact with rates from monthly intervals, broadcast and as a shuffle join,
+    against the fact with daily rates."""
+    import dataclasses
+
+    from payledger.plans.model import LedgerModel
+
+    daily = LedgerModel(spark, erp, cfg)
+    keys = ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI", "PreviousBusinessDay_BUDAT",
+            "CurrencyKey_WAERS", "ExchangeRate_UKURS", "TargetCurrency_TCURR"]
+    want = daily.enriched_payables.select(keys)
+    assert want.where("ExchangeRate_UKURS IS NOT NULL").count() > 0
+    for changes in ({}, {"broadcast_bytes": 0}):
+        got = LedgerModel(spark, erp, dataclasses.replace(cfg, rate_lookup="interval", **changes))
+        assert got.target_rates.count() < daily.target_rates.count()
+        rows = got.enriched_payables.select(keys)
+        assert rows.exceptAll(want).count() == 0 and want.exceptAll(rows).count() == 0

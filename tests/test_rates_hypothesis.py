@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from payledger.config import LedgerConfig
-from payledger.plans.currency import currency_conversion
+from payledger.plans.currency import currency_conversion, rate_months
 
 AS_OF = dt.date(2001, 6, 30)
 CFG = LedgerConfig(as_of=AS_OF, rate_history_years=1)
@@ -73,3 +73,7 @@ def test_daily_rates_match_brute_force(spark, rates, factors):
     }
     got = sorted((r.kurst, r.fcurr, r.tcurr, r.ukurs, r.conv_date) for r in currency_conversion(tables, CFG).collect())
     assert got == brute(rates, factors)
+    # as intervals by month: each interval's days are the daily rows
+    by_month = sorted((r.kurst, r.fcurr, r.tcurr, r.ukurs, r.day) for r in rate_months(tables, CFG).selectExpr(
+        "*", "explode(sequence(greatest(first_day, month), least(last_day, last_day(month)))) AS day").collect())
+    assert by_month == got
