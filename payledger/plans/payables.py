@@ -413,8 +413,10 @@ def measures(cfg: LedgerConfig) -> dict[str, Column]:
     out.update(_kpi(late, L, D, T, "LatePayments"))
     out.update(_kpi(vendor & due.between(today, F.date_add(today, cfg.upcoming_payment_days)) & is_open,
                     L, D, T, "UpcomingPayments"))
+    # the exact product is dear, and most lines are not late or have no penalty
     out.update({
-        f"PotentialPenaltyIn{suffix}Currency": exact_product(F.when(late, v).otherwise(zero()), penalty)
+        f"PotentialPenaltyIn{suffix}Currency": F.when(
+            late, F.when(penalty != 0, exact_product(v, penalty)).when(v.isNotNull(), zero())).otherwise(zero())
         for suffix, v in (("Local", L), ("Document", D), ("Target", T))
     })
     material = koart == cfg.material_account_type
