@@ -35,7 +35,9 @@ from payledger.session import checkpoint_dir
 
 try:  # the training-data operators are optional: the library works without them
     from payledger.llm import queries as LLM
-except ImportError:
+except ImportError as absent:
+    if absent.name != "payledger.llm":  # the package is there, something that it needs is not
+        raise
     LLM = None
 
 CFG = FIXTURE_CONFIG

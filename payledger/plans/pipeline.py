@@ -10,6 +10,7 @@ folder, and with a database also a catalog table, so a new session finds it.
 from __future__ import annotations
 
 import dataclasses
+import json
 import os
 import uuid
 from collections.abc import Collection, Mapping
@@ -24,7 +25,7 @@ from payledger.plans import calendar, masterdata
 from payledger.plans.model import LedgerModel
 from payledger.sources import versioned
 from payledger.sources.erp import HOLIDAY_TABLE
-from payledger.sources.holidays import load_holiday_csv
+from payledger.sources.holidays import load_counts, load_holiday_csv
 from payledger.sources.versioned import Partition
 
 # Names of the published views.
@@ -96,7 +97,8 @@ def deploy(spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConf
            keep_versions: int | None = None) -> dict[str, str]:
     """Build and persist the helper tables and the nine datasets; returns where
     each one is, under ``missing_descriptions`` the payable columns that no
-    description names, and under ``rebuilt`` the datasets that were built anew.
+    description names, under ``rebuilt`` the datasets that were built anew, and under
+    ``holiday_rows`` what became of the rows of a holiday CSV.
 
     ``datasets`` limits the run to some of ``VIEW_NAMES``. Holidays come from
     ``holiday_csv`` when it is given. With ``database`` every output is a persistent
@@ -116,6 +118,8 @@ def deploy(spark: SparkSession, tables: Mapping[str, DataFrame], cfg: LedgerConf
 
     out = {"FebrabanHoliday": at("FebrabanHoliday")}
     holidays = _holidays(spark, tables, out["FebrabanHoliday"], holiday_csv)
+    if holiday_csv is not None:
+        out["holiday_rows"] = json.dumps(load_counts(spark, holiday_csv))
     build = LedgerModel(spark, {**tables, HOLIDAY_TABLE: holidays}, cfg)
     stored: dict[str, DataFrame] = {}
     state: dict[str, str] = dict(states or {})

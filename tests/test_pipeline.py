@@ -15,7 +15,7 @@ from conftest import SF_SMALL
 from payledger.operators.describe import attach_descriptions
 from payledger.plans.model import LedgerModel
 from payledger.plans.payables import OUTPUT_COLUMNS
-from payledger.sources.holidays import load_holiday_csv, write_holiday_csv
+from payledger.sources.holidays import load_counts, load_holiday_csv, write_holiday_csv
 
 # the training-data queries have their own tests
 OTHER = set(E.LLM.queries()) if E.LLM else set()
@@ -83,6 +83,7 @@ def test_holiday_csv_roundtrip_dedupes(spark):
     write_holiday_csv(df, folder)  # loads append
     loaded, count = load_holiday_csv(spark, folder)
     assert count == 2 and os.path.isdir(folder)
+    assert load_counts(spark, folder) == {"read": 4, "unreadable": 0, "kept": 2, "duplicate": 2}
 
 
 def test_bucketed_staging_removes_header_line_shuffle(spark, erp, cfg):
