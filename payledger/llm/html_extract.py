@@ -5,28 +5,33 @@
    comments go by element, role, or class and id; page headers go outside an article.
 2. *Pairing.* Within a host, pages of equal blocks are one class, which stands
    where the first of its urls does in the order of paths. A class meets the
-   classes before and after it. Long hosts are cut into ranges of that order of
-   about ``GROUP`` classes; the ends of a range meet the ends of the next.
+   classes before and after it. Long hosts are cut into ranges of that order, of
+   ``GROUP`` classes or more; the ends of a range meet the ends of the next.
 3. *Differencing.* The blocks of a class and its neighbour are aligned by longest
    common subsequence (bit-parallel), and shared blocks are deleted from all pages
-   of the class: those shared with the class before, or if there is none after.
+   of the class: those shared with the neighbour whose path has the longer start in
+   common, the one before if equal.
 
 Markup checks the result on pages with an ``article`` or ``main`` element: blocks
-outside are not part of the text, and a block inside is deleted only if the
-classes before and after both share it and neither is a copy of the article (more
-than half of its characters, or of the other's blocks, shared). Differencing alone
+outside are not part of the text, and a block inside is deleted only if it stands
+at the same end of the article in the classes before and after and neither is a copy
+of it (more than half of its characters, or of the other's blocks, shared): a line
+that articles quote in between stays. Differencing alone
 would lose lines of articles that quote each other and keep menus that vary from
 page to page (see README).
 
 Defined results: a null or empty html gives an empty text. A null url, or one
 without a host, is paired within the host ``''``. A page whose class
-has no neighbour loses nothing to differencing; pages without blocks are none. Repeated rows keep their own
+has no neighbour loses nothing to differencing; pages without blocks are none. Time
+and memory stay in proportion to a malformed page: a stray end tag costs one look-up. Repeated rows keep their own
 result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import os
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -40,6 +45,7 @@ from payledger.llm.common import stored
 from payledger.llm.url_filters import url_host, url_path
 
 GROUP = 2000
+LCS_BITS = 1 << 27  # table of an alignment, in one task
 
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,6 +70,8 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, bool]] = []
         self.open: list[tuple[str, bool, bool]] = []  # tag, dropped, in main
+        self.count: Counter[str] = Counter()  # open elements of a tag
+        self.edges: list[int] = []  # places of the block elements among the open ones
         self.dropped = self.main = self.seen_main = False
         self.part: list[str] = []
 
@@ -82,13 +90,8 @@ class _Blocks(HTMLParser):
             return
         if tag == "p" or tag == "li":
             # an unclosed element of the kind ends where the next one starts
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] == tag:
-                    del self.open[i:]
-                    self.restore()
-                    break
-                if self.open[i][0] in BLOCK:
-                    break
+            if self.edges and self.open[self.edges[-1]][0] == tag:
+                self.close_from(self.edges[-1])
         dropped = self.dropped or tag in DROPPED or (tag == "header" and not self.main)
         main = self.main or tag in ("article", "main")
         if not dropped and attrs:
@@ -97,6 +100,9 @@ class _Blocks(HTMLParser):
             if tag not in ("html", "body", "main"):
                 dropped = bool(HINT.search(names)) or (not self.main and bool(HEADER_HINT.search(names))) or given.get("role") in ROLES
             dropped = dropped or "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in (given.get("style") or "").replace(" ", "")
+        if tag in BLOCK:
+            self.edges.append(len(self.open))
+        self.count[tag] += 1
         self.open.append((tag, dropped, main))
         self.dropped, self.main = dropped, main and not dropped
         self.seen_main = self.seen_main or self.main
@@ -104,13 +110,19 @@ class _Blocks(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.flush()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                self.restore()
-                return
+        if not self.count[tag]:
+            return  # a stray end tag
+        i = len(self.open) - 1
+        while self.open[i][0] != tag:
+            i -= 1
+        self.close_from(i)
 
-    def restore(self):
+    def close_from(self, i):
+        """Closes the open elements from place ``i`` on; each is closed once."""
+        self.count.subtract(tag for tag, _, _ in self.open[i:])
+        del self.open[i:]
+        while self.edges and self.edges[-1] >= i:
+            self.edges.pop()
         _, self.dropped, main = self.open[-1] if self.open else ("", False, False)
         self.main = main and not self.dropped
 
@@ -130,10 +142,56 @@ def page_blocks(html: str | None) -> tuple[list[str], bool]:
     return [t for t, main in p.blocks if main or not p.seen_main], p.seen_main
 
 
-def common_lines(a: list, b: list) -> set[int]:
-    """Indices of ``a`` in a longest common subsequence of ``a`` and ``b``."""
-    if not a or not b:
-        return set()
+def _unmatched(a: list, b: list) -> int:
+    """Bits of the places of ``a`` that lengthen no common subsequence with ``b``:
+    that of ``a[:k]`` and ``b`` is as long as the zeros among the first ``k``."""
+    full = (1 << len(a)) - 1
+    places: dict = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    v = full
+    for y in b:
+        u = v & places.get(y, 0)
+        v = ((v + u) | (v - u)) & full
+    return v
+
+
+def _lengths(a: list, b: list) -> np.ndarray:
+    """Length of a longest common subsequence of ``a[:k]`` and ``b`` for every k."""
+    bits = np.frombuffer(_unmatched(a, b).to_bytes(len(a) // 8 + 1, "little"), dtype=np.uint8)
+    zeros = 1 - np.unpackbits(bits, bitorder="little")[: len(a)].astype(np.int64)
+    return np.concatenate([[0], np.cumsum(zeros)])
+
+
+def common_lines(a: list, b: list, room: int = LCS_BITS) -> set[int]:
+    """Indices of ``a`` in a longest common subsequence of ``a`` and ``b``. Equal
+    ends belong to one; what is left is halved until the table of a part, a bit
+    for a pair of lines, has at most ``room`` bits."""
+    out: set[int] = set()
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, j, k, m = todo.pop()
+        while i < j and k < m and a[i] == b[k]:
+            out.add(i)
+            i, k = i + 1, k + 1
+        while i < j and k < m and a[j - 1] == b[m - 1]:
+            out.add(j - 1)
+            j, m = j - 1, m - 1
+        if i == j or k == m:
+            continue
+        if (j - i) * (m - k) > room and m - k > 1:
+            half = (k + m) // 2
+            ahead = _lengths(a[i:j], b[k:half])
+            behind = _lengths(a[i:j][::-1], b[half:m][::-1])[::-1]
+            cut = i + int(np.argmax(ahead + behind))
+            todo += [(i, cut, k, half), (cut, j, half, m)]
+        else:
+            out.update(i + x for x in _table(a[i:j], b[k:m]))
+    return out
+
+
+def _table(a: list, b: list) -> set[int]:
+    """``common_lines`` by a walk back through the rows of the whole table."""
     full = (1 << len(a)) - 1
     places: dict = {}
     for i, x in enumerate(a):
@@ -165,10 +223,16 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["page_id", "url", "host", "path", "blocks", "marked", "keys"]).astype({"page_id": "Int64"})
 
 
-def shared_blocks(keys: list, sizes: list, marked: bool, before: list | None, after: list | None) -> list[int]:
-    """Indices of the blocks to delete, from the blocks of the classes around."""
+def _near(path: str, other: str | None) -> int:
+    """Characters that a path shares with the start of another."""
+    return len(os.path.commonprefix([path, other])) if isinstance(other, str) else -1
+
+
+def shared_blocks(keys: list, sizes: list, marked: bool, before: list | None, after: list | None, nearer: bool = False) -> list[int]:
+    """Indices of the blocks to delete, from the blocks of the classes around;
+    ``nearer`` says that the url of the class after is the nearer one."""
     if not marked:
-        return sorted(common_lines(keys, after if before is None else before))
+        return sorted(common_lines(keys, (after if nearer or before is None else before) or []))
     if before is None or after is None:
         return []
     found = []
@@ -177,34 +241,48 @@ def shared_blocks(keys: list, sizes: list, marked: bool, before: list | None, af
         if not gone or 2 * sum(sizes[i] for i in gone) > sum(sizes) or 2 * len(gone) > len(other):
             return []
         found.append(gone)
-    return sorted(found[0] & found[1])
+    both, gone = found[0] & found[1], set()
+    for i, step in ((0, 1), (len(keys) - 1, -1)):  # only what stands at an end of all three
+        k = 0 if step > 0 else -1
+        while i in both and keys[i] == before[k] == after[k]:
+            gone.add(i)
+            i, k = i + step, k + step
+            if abs(k) >= min(len(before), len(after)):
+                break
+    return sorted(gone)
 
 
 def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         around = [[None if x is None else x.tolist() for x in pdf[k]] for k in ("before", "after")]
-        gone = [shared_blocks(k.tolist(), z.tolist(), m, b, a) for k, z, m, b, a in zip(pdf["keys"], pdf["sizes"], pdf["marked"], *around)]
+        nearer = [_near(p, a) > _near(p, b) for p, b, a in zip(pdf["path"], pdf["path_before"], pdf["path_after"])]
+        gone = [shared_blocks(k.tolist(), z.tolist(), *rest) for k, z, *rest in zip(pdf["keys"], pdf["sizes"], pdf["marked"], *around, nearer)]
         out = pd.DataFrame({"host": pdf["host"], "marked": pdf["marked"], "sig": pdf["sig"], "gone": gone})
         yield out[[bool(g) for g in gone]]
 
 
 def paired(rows: DataFrame, group: int) -> DataFrame:
-    """``host, marked, sig, keys, sizes, before, after`` of every class of pages
-    with equal blocks; ``before`` and ``after`` are the keys of its neighbours."""
+    """``host, marked, sig, path, keys, sizes, before, after, path_before,
+    path_after`` of every class of pages with equal blocks; ``before`` and
+    ``after`` are the keys of its neighbours."""
     classes = rows.where(F.size("keys") > 0).groupBy("host", "marked", "sig").agg(
         F.min(F.struct("path", F.coalesce("url", F.lit("")).alias("url"))).alias("at"),
         F.any_value(F.struct("keys", F.transform("blocks", F.length).alias("sizes"))).alias("of"))
     classes = stored(classes.select("host", "marked", "sig", "at.path", "at.url", "of.keys", "of.sizes"), "classes")
-    n = max(1, -(-classes.count() // group))
+    n = max(1, min(-(-classes.count() // group), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     dealt = classes.repartitionByRange(n, "host", "marked", "path", "url", "sig").withColumn("deal", F.spark_partition_id())
     dealt = stored(dealt, "dealt")
     place = F.struct("path", "url", "sig", "keys")
     ends = dealt.groupBy("host", "marked", "deal").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     along = Window.partitionBy("host", "marked").orderBy("deal")
-    ends = ends.select("host", "marked", "deal", F.lag("last.keys").over(along).alias("left"), F.lead("first.keys").over(along).alias("right"))
+    of = F.struct("keys", "path")
+    ends = ends.select("host", "marked", "deal", F.lag(F.struct("last.keys", "last.path")).over(along).alias("left"),
+                       F.lead(F.struct("first.keys", "first.path")).over(along).alias("right"))
     near = Window.partitionBy("host", "marked", "deal").orderBy("path", "url", "sig")
-    met = dealt.withColumns({"before": F.lag("keys").over(near), "after": F.lead("keys").over(near)}).join(ends, ["host", "marked", "deal"])
-    return met.select("host", "marked", "sig", "keys", "sizes", F.coalesce("before", "left").alias("before"), F.coalesce("after", "right").alias("after"))
+    met = dealt.withColumns({"lag": F.lag(of).over(near), "lead": F.lead(of).over(near)}).join(ends, ["host", "marked", "deal"])
+    before, after = F.coalesce("lag", "left"), F.coalesce("lead", "right")
+    return met.select("host", "marked", "sig", "path", "keys", "sizes", before["keys"].alias("before"), after["keys"].alias("after"),
+                      before["path"].alias("path_before"), after["path"].alias("path_after"))
 
 
 def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
