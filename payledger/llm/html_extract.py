@@ -14,9 +14,9 @@
 
 Markup checks the result on pages with an ``article`` or ``main`` element: blocks
 outside are not part of the text, and a block inside is deleted only if it stands
-at the same end of the article in the classes before and after and neither is a copy
-of it (more than half of its characters, or of the other's blocks, shared): a line
-that articles quote in between stays. Differencing alone
+at the same end of the article in the classes before and after, neither is a copy
+of it (more than half of its characters, or of the other's blocks, shared), and more
+than half of the host's classes hold it: a passage that articles quote stays. Differencing alone
 would lose lines of articles that quote each other and keep menus that vary from
 page to page (see README).
 
@@ -257,12 +257,13 @@ def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         around = [[None if x is None else x.tolist() for x in pdf[k]] for k in ("before", "after")]
         nearer = [_near(p, a) > _near(p, b) for p, b, a in zip(pdf["path"], pdf["path_before"], pdf["path_after"])]
         gone = [shared_blocks(k.tolist(), z.tolist(), *rest) for k, z, *rest in zip(pdf["keys"], pdf["sizes"], pdf["marked"], *around, nearer)]
-        out = pd.DataFrame({"host": pdf["host"], "marked": pdf["marked"], "sig": pdf["sig"], "gone": gone})
+        out = pd.DataFrame({"host": pdf["host"], "marked": pdf["marked"], "sig": pdf["sig"], "gone": gone,
+                            "gone_keys": [k[g] for k, g in zip(pdf["keys"], gone)]})
         yield out[[bool(g) for g in gone]]
 
 
-def paired(rows: DataFrame, group: int) -> DataFrame:
-    """``host, marked, sig, path, keys, sizes, before, after, path_before,
+def paired(rows: DataFrame, group: int) -> tuple[DataFrame, DataFrame]:
+    """The classes, and ``host, marked, sig, path, keys, sizes, before, after, path_before,
     path_after`` of every class of pages with equal blocks; ``before`` and
     ``after`` are the keys of its neighbours."""
     classes = rows.where(F.size("keys") > 0).groupBy("host", "marked", "sig").agg(
@@ -281,16 +282,30 @@ def paired(rows: DataFrame, group: int) -> DataFrame:
     near = Window.partitionBy("host", "marked", "deal").orderBy("path", "url", "sig")
     met = dealt.withColumns({"lag": F.lag(of).over(near), "lead": F.lead(of).over(near)}).join(ends, ["host", "marked", "deal"])
     before, after = F.coalesce("lag", "left"), F.coalesce("lead", "right")
-    return met.select("host", "marked", "sig", "path", "keys", "sizes", before["keys"].alias("before"), after["keys"].alias("after"),
+    return dealt, met.select("host", "marked", "sig", "path", "keys", "sizes", before["keys"].alias("before"), after["keys"].alias("after"),
                       before["path"].alias("path_before"), after["path"].alias("path_after"))
 
 
+def confirmed(found: DataFrame, articles: DataFrame) -> DataFrame:
+    """Of the blocks found inside articles, those that more than half of the
+    classes of the host hold, as ``host, marked, sig, gone``."""
+    each = found.select("host", "marked", "sig", F.explode(F.arrays_zip("gone", "gone_keys")).alias("at")).select(
+        "host", "marked", "sig", F.col("at.gone").alias("place"), F.col("at.gone_keys").alias("key"))
+    lines = articles.select("host", F.explode(F.array_distinct("keys")).alias("key"))
+    held = lines.join(each.select("host", "key").distinct(), ["host", "key"]).groupBy("host", "key").agg(F.count("*").alias("n"))
+    total = articles.groupBy("host").agg(F.count("*").alias("total"))
+    common = held.join(total, "host").where("2 * n > total").select("host", "key")
+    return each.join(common, ["host", "key"]).groupBy("host", "marked", "sig").agg(F.collect_list("place").alias("gone"))
+
+
 def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``."""
     rows = pages.select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), "html").mapInPandas(
         _parse, "page_id long, url string, host string, path string, blocks array<string>, marked boolean, keys array<bigint>")
     rows = stored(rows.withColumn("sig", F.xxhash64("keys")), "blocks")
-    gone = stored(paired(rows, group).mapInPandas(_difference, "host string, marked boolean, sig long, gone array<int>"), "gone")
+    classes, met = paired(rows, group)
+    gone = stored(met.mapInPandas(_difference, "host string, marked boolean, sig long, gone array<int>, gone_keys array<bigint>"), "gone")
+    gone = gone.where("NOT marked").drop("gone_keys").union(confirmed(gone.where("marked"), classes.where("marked")))
     out = rows.join(gone, ["host", "marked", "sig"], "left")  # a hot class: rows on the left, which a skew join splits
     text = F.array_join(F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(
         F.filter("blocks", lambda b, i: ~F.array_contains("gone", i))), "\n")
