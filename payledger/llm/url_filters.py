@@ -33,7 +33,7 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-DAMPING, THRESHOLD, TOLERANCE, MAX_TURNS = 0.85, 1e-4, 1e-6, 100
+DAMPING, THRESHOLD, TOLERANCE, MAX_TURNS = 0.85, 1e-4, 1e-6, 10_000
 SALTS = 64
 
 
@@ -63,7 +63,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def host_edges(pages: DataFrame) -> DataFrame:
     """``src, dst, weight``: links from a page of one host to another host."""
     html = F.coalesce(F.col("html"), F.lit(""))
-    links = F.regexp_extract_all(html, F.lit(r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^\s"'<>]+)"""), 1)
+    links = F.regexp_extract_all(html, F.lit(r"""(?i)href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^\s"'<>]+)"""), 1)
+    links = F.transform(links, lambda x: F.when(F.startswith(x, F.lit("//")), F.concat(F.lit("http:"), x)).otherwise(x))
     pairs = pages.select(url_host(F.col("url")).alias("src"), F.explode(links).alias("link")).select("src", url_host(F.col("link")).alias("dst"))
     return pairs.where("src != '' AND dst != '' AND src != dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
@@ -72,7 +73,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, name: str) -> DataFrame:
     """Personalised PageRank ``host, score`` over ``edges(src, dst, weight)`` from
     ``seeds(host, mass)``, whose masses sum to 1. Each turn is a join and a
     partial aggregate whose result is written; only the largest change of a host
-    in proportion to its score, however small that is, comes to the driver. Mass of a host without links returns to the seeds."""
+    in proportion to its score, however small that is, comes to the driver: turns end when
+    no host is new and none changes by more than ``TOLERANCE``. Mass of a host without links
+    returns to the seeds. ``MAX_TURNS`` without an end is an error."""
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     steps = stored(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("p")), name)
     score = seeds.select("host", F.col("mass").alias("score"))
@@ -85,8 +88,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, name: str) -> DataFrame:
         change = both.groupBy("host").agg((F.abs(F.sum("x")) / F.sum("now")).alias("x")).agg(F.max("x")).first()[0] or 0.0
         score = new
         if change < TOLERANCE or steps.isEmpty():
-            break
-    return score
+            return score
+    raise RuntimeError(f"{name}: no fixed point after {MAX_TURNS} turns")
 
 
 def host_scores(pages: DataFrame, rules=RULES) -> DataFrame:

@@ -44,7 +44,7 @@ def test_link_graph(spark):
     pages, edges = [], {}
     for i, h in enumerate(hosts * 3):
         to = links[h] * rng.randrange(1, 3)
-        html = "".join(f'<a href="http://{t}/p?{i}">x</a><a class=b HREF=\'https://{t.upper()}\'>y</a><a href="/local">z</a>' for t in to)
+        html = "".join(f'<a href="http://{t}/p?{i}">x</a><a class=b HREF=\'{"https:" * (i % 2)}//{t.upper()}\'>y</a><a href="/local">z</a>' for t in to)
         pages.append((i, f"http://{h}/en/{i}", html, "h", "t", 1.0, 1))
         for t in to:
             edges[h, t] = edges.get((h, t), 0) + 2
@@ -147,9 +147,13 @@ def test_quoted_lines_stay(spark):
     def page(i):
         return f"<article><p>Title of {i} in its own words</p><p>A proverb that all quote</p><p>More text of {i}</p><p>Share this</p></article>"
 
-    df = spark.createDataFrame([(i, f"http://h.com/{i}", page(i), "h", "t", 1.0, 1) for i in range(5)], PAGE_SCHEMA)
+    rows = [(i, f"http://h.com/{i}", page(i), "h", "t", 1.0, 1) for i in range(5)]
+    rows += [(10 + i, f"http://q.com/{i}", f"<article><p>Text {i} of its own</p><p>{'A passage of three' if 2 < i < 6 else f'End of {i}'}</p></article>", "h", "t", 1.0, 1)
+             for i in range(9)]
+    df = spark.createDataFrame(rows, PAGE_SCHEMA)
     got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
     assert all(got[i] == f"Title of {i} in its own words\nA proverb that all quote\nMore text of {i}" for i in (1, 2, 3))
+    assert all(got[10 + i] == f"Text {i} of its own\nA passage of three" for i in (3, 4, 5))
 
 
 def test_differencing(spark):
