@@ -10,8 +10,7 @@ match is not reported again, base matches always stay.
 
 Defined results: a null or empty text has no spans and the digest of the empty
 string. Positions are code points, ends exclusive. The whole text is read;
-the dynamic programme runs on single values, in windows of ``LONG`` characters
-(a longer value is hard to guess by any of them). Repeated rows and null ids
+the dynamic programme runs on single whole values, in time in proportion to them. Repeated rows and null ids
 keep their own result; extra columns are ignored (``scan``) or kept (``redact``).
 """
 
@@ -44,7 +43,6 @@ CONTEXT = re.compile(
 HINTS = ("pwd", "pass", "pin", "secret", "token", "credential", "auth", "bearer", "key")
 #: log10 of the guesses from which a value counts as a secret.
 GUESSES = 9.0
-LONG = 64
 
 # Words that guessers try first, in the order of their rank.
 WORDS = (
@@ -59,10 +57,10 @@ WORDS = (
 RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
 LEET = str.maketrans("@4310$5!7", "aaeiossit")
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
-_WALK = {}
-for _row in ROWS:
-    for _a, _b in zip(_row, _row[1:]):
-        _WALK[_a, _b] = _WALK[_b, _a] = True
+WORD_LEAST, WORD_MOST, DATE_MOST = 2, max(map(len, WORDS)), 10
+#: Neighbours on a walk: along a row, or from a row of keys to the next one, straight or aslant.
+WALK = {frozenset(p) for row in ROWS for p in zip(row, row[1:])}
+WALK |= {frozenset((a, low[j])) for up, low in zip(ROWS[:3], ROWS[1:4]) for i, a in enumerate(up) for j in (i - 1, i) if 0 <= j < len(low)}
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d")
 
 
@@ -74,39 +72,55 @@ def _alphabet(ch: str) -> int:
     return 33 if ch.isascii() else 100
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation of ``value`` costs."""
-    if len(value) > LONG:
-        return max(guess_cost(value[i : i + LONG]) for i in range(0, len(value), LONG))
+def pieces(value: str) -> Iterator[tuple[int, int, float]]:
+    """``(start, end, log10 guesses)`` of the pieces that a guesser tries, by end: single
+    characters by brute force; words, reversed too; dates; and the longest walk on the
+    keyboard, run of one character and repeat that end there, three characters or more.
+    A repeat copies what stands at one distance before it, the distance at which the
+    last three characters occurred last."""
     low = value.lower()
     plain = low.translate(LEET)
-    n = len(value)
-    best = [0.0] + [math.inf] * n
-    walk_from = rep_from = 0
-    for end in range(1, n + 1):
+    last: dict[str, int] = {}  # where three characters ended last
+    walk_from = run_from = copy_from = distance = 0
+    for end in range(1, len(value) + 1):
         ch = value[end - 1]
-        best[end] = best[end - 1] + math.log10(_alphabet(ch))  # brute force, one more character
+        yield end - 1, end, math.log10(_alphabet(ch))
         if end > 1:
-            if (low[end - 2], low[end - 1]) not in _WALK:
+            if frozenset(low[end - 2 : end]) not in WALK:
                 walk_from = end - 1
             if low[end - 2] != low[end - 1]:
-                rep_from = end - 1
+                run_from = end - 1
         if end - walk_from >= 3:  # a walk: where it starts, its length and turns
-            best[end] = min(best[end], best[walk_from] + math.log10(4 * len(ROWS) * 10 * (end - walk_from)))
-        if end - rep_from >= 3:  # one character, repeated
-            best[end] = min(best[end], best[rep_from] + math.log10(_alphabet(ch) * (end - rep_from)))
-        for start in range(max(0, end - 12), end - 1):
-            size = end - start
+            yield walk_from, end, math.log10(4 * len(ROWS) * 10 * (end - walk_from))
+        if end - run_from >= 3:  # one character, repeated
+            yield run_from, end, math.log10(_alphabet(ch) * (end - run_from))
+        if end >= 3:
+            gram = low[end - 3 : end]
+            back = end - last[gram] if gram in last else 0
+            if back != distance:
+                distance, copy_from = back, end - 3
+            last[gram] = end
+            if back and copy_from >= back:
+                yield copy_from, end, math.log10(2 * back * (end - copy_from))
+        for size in range(WORD_LEAST, min(WORD_MOST, end) + 1):
+            start = end - size
             word = plain[start:end]
-            if word in RANK:
-                twists = (2 if low[start:end] != word else 1) * (2 if value[start:end] != low[start:end] else 1)
-                best[end] = min(best[end], best[start] + math.log10(RANK[word] * twists + 1))
-            if size >= 4 and DATE.fullmatch(low, start, end):
-                best[end] = min(best[end], best[start] + (2.2 if size == 4 else 4.6))
-            # a block that repeats the one before it
-            if start >= size and low[start:end] == low[start - size : start]:
-                best[end] = min(best[end], best[start] + math.log10(2 * size))
-    return best[n]
+            for guess, twist in ((word, 1), (word[::-1], 2)):
+                if guess in RANK:
+                    twists = twist * (2 if low[start:end] != word else 1) * (2 if value[start:end] != low[start:end] else 1)
+                    yield start, end, math.log10(RANK[guess] * twists + 1)
+        for size in range(4, min(DATE_MOST, end) + 1):
+            if DATE.fullmatch(low, end - size, end):
+                yield end - size, end, 2.2 if size == 4 else 4.6
+
+
+def guess_cost(value: str) -> float:
+    """log10 of the guesses that the cheapest segmentation of ``value`` into ``pieces`` costs."""
+    best = [0.0] + [math.inf] * len(value)
+    for start, end, cost in pieces(value):
+        if best[start] + cost < best[end]:
+            best[end] = best[start] + cost
+    return best[-1]
 
 
 def find_spans(text: str | None) -> list[tuple[int, int, str]]:

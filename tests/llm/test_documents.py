@@ -2,6 +2,7 @@
 
 import math
 import os
+import random
 import sys
 import zlib
 
@@ -117,6 +118,67 @@ def test_guess_cost():
     assert cost("xqzjw") == pytest.approx(5 * math.log10(26))
 
 
+def test_guess_cost_of_whole_values():
+    """No step at any length, repeats of any length, walks off the row, reversed words."""
+    cost = secret_scan.guess_cost
+    rng = random.Random(5)
+    hard = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(300))
+    along = [cost(hard[:n]) for n in range(1, 301)]
+    assert max(b - a for a, b in zip(along, along[1:])) < 2 and along[-1] > 300 and along[70] > along[60]
+    block = "Kd83-vQpz-71xW-mmBt"
+    assert cost(block * 3) < cost(block) + 4 and cost(block + ":" + block) < cost(block) + 5
+    for easy in ("1qaz2wsx", "zaq1xsw2", "drowssap1990", "nimda2024", "a" * 200_000):
+        assert cost(easy) < secret_scan.GUESSES, easy
+
+
+def test_guess_cost_is_the_least_of_all_segmentations():
+    """Brute force over every way to cut short values, each piece judged on its own."""
+    rng = random.Random(6)
+    rows = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
+    near = {x + y for r in rows for x, y in zip(r, r[1:])} | {x + y for up, low in zip(rows[:3], rows[1:4]) for x, y in zip(up, low)}
+    near |= {x + y for up, low in zip(rows[:3], rows[1:4]) for x, y in zip(up[1:], low)}
+
+    def size_of(c):
+        return 10 if c.isdigit() else 26 if c.islower() or c.isupper() else 33
+
+    def back(low, end):  # distance of the last three characters to where they stood last
+        at = low.rfind(low[end - 3 : end], 0, end - 1) if end >= 3 else -1
+        return end - 3 - at if at >= 0 else 0
+
+    def piece(value, s, e):
+        low, part, options = value.lower(), value[s:e], []
+        if e - s == 1:
+            options.append(size_of(part))
+        lower = part.lower()
+        plain = lower.translate(str.maketrans("@4310$5!7", "aaeiossit"))
+        for guess, twist in ((plain, 1), (plain[::-1], 2)):
+            if guess in secret_scan.WORDS and len(guess) > 1:
+                options.append((secret_scan.WORDS.index(guess) + 1) * twist * (1 + (lower != plain)) * (1 + (part != lower)) + 1)
+        if secret_scan.DATE.fullmatch(lower):
+            options.append(10**2.2 if e - s == 4 else 10**4.6)
+        if e - s >= 3:
+            pairs = [low[i : i + 2] for i in range(s, e - 1)]
+            if all(p in near or p[::-1] in near for p in pairs) and not (s and (low[s - 1 : s + 1] in near or low[s] + low[s - 1] in near)):
+                options.append(200 * (e - s))
+            if len(set(lower)) == 1 and not (s and low[s - 1] == low[s]):
+                options.append(size_of(part[-1]) * (e - s))
+            d = back(low, e)
+            if d and s >= d and all(back(low, i) == d for i in range(s + 3, e + 1)) and back(low, s + 2) != d:
+                options.append(2 * d * (e - s))
+        return min(map(math.log10, options), default=math.inf)
+
+    def least(value):
+        for cuts in range(1 << (len(value) - 1)):
+            at = [0, *(i + 1 for i in range(len(value) - 1) if cuts >> i & 1), len(value)]
+            yield sum(costs[s, e] for s, e in zip(at, at[1:]))
+
+    parts = ["pass", "Word", "ssap", "1990", "qaz", "asd", "aaa", "x9", "abcab", "!", "tset", "7", "w0rd"]
+    for _ in range(60):
+        value = "".join(rng.choice(parts) for _ in range(4))[:11]
+        costs = {(s, e): piece(value, s, e) for s in range(len(value)) for e in range(s + 1, len(value) + 1)}
+        assert secret_scan.guess_cost(value) == pytest.approx(min(least(value))), value
+
+
 def test_near_duplicates(docs, texts):
     out = minhash_dedup.near_duplicates(docs)
     same(out, ["doc_id", "n_shingles", "component_id"], [r[:3] for r in brute.near(texts)])
