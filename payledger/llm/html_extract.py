@@ -306,6 +306,7 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     classes, met = paired(rows, group)
     gone = stored(met.mapInPandas(_difference, "host string, marked boolean, sig long, gone array<int>, gone_keys array<bigint>"), "gone")
     gone = gone.where("NOT marked").drop("gone_keys").union(confirmed(gone.where("marked"), classes.where("marked")))
+    gone = stored(gone, "gone")  # its own bytes decide how the pages meet it
     out = rows.join(gone, ["host", "marked", "sig"], "left")  # a hot class: rows on the left, which a skew join splits
     text = F.array_join(F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(
         F.filter("blocks", lambda b, i: ~F.array_contains("gone", i))), "\n")
