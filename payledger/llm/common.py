@@ -64,7 +64,7 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-_MULT = 0x9E3779B97F4A7C15
+_MULT, _MULT_CHECK = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _MASK = (1 << 64) - 1
 
 
@@ -75,7 +75,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
+def ngram_hashes(h: np.ndarray, n: int, mult: int = _MULT) -> np.ndarray:
     """Polynomial hash of every run of ``n`` word hashes (empty if fewer)."""
     size = len(h) - n + 1
     if size <= 0:
@@ -84,14 +84,19 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     while done < n:
         if n & width:
             part = power[done : done + size]
-            out = part.copy() if out is None else out * np.uint64(pow(_MULT, width, _MASK + 1)) + part
+            out = part.copy() if out is None else out * np.uint64(pow(mult, width, _MASK + 1)) + part
             done += width
         if done < n:
-            power = power[:-width] * np.uint64(pow(_MULT, width, _MASK + 1)) + power[width:]
+            power = power[:-width] * np.uint64(pow(mult, width, _MASK + 1)) + power[width:]
             width *= 2
     return mix(out)
 
 
+def ngram_pairs(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two polynomial hashes with unlike multipliers of every run: 128 bits."""
+    return ngram_hashes(h, n), ngram_hashes(h, n, _MULT_CHECK)
+
+
 def window_min(v: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every run of ``width`` values (empty if fewer)."""
     size = len(v) - width + 1

@@ -9,9 +9,10 @@ window that covers it also starts in a document with a smaller ``doc_id``.
 2. *Anchor join.* Anchors are aggregated to their first and last document;
    only those of two documents or more go back to their documents.
 3. *Extension both ways.* Round each shared anchor the text is extended left
-   and right to all windows that select it. The windows are aggregated by hash
-   to the first document that holds them, which answers the extension for all
-   partners of a hot passage at once: no pairs are formed inside a group.
+   and right to all windows that select it. The windows are aggregated by
+   128 bits of hash to the first document that holds them, which answers the
+   extension for all partners of a hot passage at once: no pairs are formed inside
+   a group.
 4. *Maximal repeats.* Adjoining windows that an earlier document holds merge
    into the maximal repeats of at least ``WINDOW`` words, and their words go.
 
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payledger.llm.common import LAST_ID, WordHash, covered, ngram_hashes, stored, text_key, window_min
+from payledger.llm.common import LAST_ID, WordHash, covered, ngram_hashes, ngram_pairs, stored, text_key, window_min
 
 WINDOW, SEED = 50, 25
 
@@ -60,6 +61,15 @@ def _anchors(window: int, seed: int):
     return run
 
 
+def _distinct(w: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of two hash arrays."""
+    order = np.lexsort((v, w))
+    w, v = w[order], v[order]
+    new = np.ones(len(w), dtype=bool)
+    new[1:] = (w[1:] != w[:-1]) | (v[1:] != v[:-1])
+    return w[new], v[new]
+
+
 def _extended(window: int, seed: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words_of = WordHash()
@@ -69,8 +79,10 @@ def _extended(window: int, seed: int):
                 h = words_of.of(_words(text))
                 low = window_min(ngram_hashes(h, seed), window - seed + 1)
                 near = np.isin(low, np.asarray(anchors, dtype=np.int64).view(np.uint64))
-                out.append((o, th, np.unique(ngram_hashes(h, window)[near]).view(np.int64)))
-            yield pd.DataFrame(out, columns=["ord", "th", "windows"])
+                w, v = ngram_pairs(h, window)
+                w, v = _distinct(w[near], v[near])
+                out.append((o, th, w.view(np.int64), v.view(np.int64)))
+            yield pd.DataFrame(out, columns=["ord", "th", "w", "v"])
 
     return run
 
@@ -80,9 +92,12 @@ def _removed(window: int):
         words_of = WordHash()
         for pdf in batches:
             out = []
-            for o, th, text, windows in zip(pdf["ord"], pdf["th"], pdf["text"], pdf["windows"]):
+            for o, th, text, early, check in zip(pdf["ord"], pdf["th"], pdf["text"], pdf["w"], pdf["v"]):
                 words = _words(text)
-                hit = np.isin(ngram_hashes(words_of.of(words), window), np.asarray(windows, dtype=np.int64).view(np.uint64))
+                w, v = (x.view(np.int64) for x in ngram_pairs(words_of.of(words), window))
+                hit = np.isin(w, np.asarray(early, dtype=np.int64))
+                at, pairs = np.flatnonzero(hit), set(zip(early, check))
+                hit[at] = [p in pairs for p in zip(w[at].tolist(), v[at].tolist())]
                 gone = covered(hit, window, len(words))
                 kept = b" ".join([words[i] for i in np.flatnonzero(~gone)])
                 out.append((o, th, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass")))
@@ -104,11 +119,12 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, seed: int = SEED, w
     shared = stored(seeds.groupBy("a").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("a"), "shared")
     need = seeds.join(shared, "a").groupBy("ord", "th").agg(F.collect_set("a").alias("anchors"))
     spread = stored(keyed.join(need, ["ord", "th"]).select("ord", "th", "text", "anchors").mapInPandas(
-        _extended(window, seed), "ord long, th long, windows array<bigint>"), "extended")
-    wide = spread.select("ord", "th", F.explode("windows").alias("w"))
-    early = stored(wide.groupBy("w").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("w", "lo"), "early")
-    hits = wide.join(early, "w").where("ord > lo").groupBy("ord", "th").agg(F.collect_set("w").alias("windows"))
-    gone = keyed.join(hits, ["ord", "th"]).select("ord", "th", "text", "windows").mapInPandas(
+        _extended(window, seed), "ord long, th long, w array<bigint>, v array<bigint>"), "extended")
+    wide = spread.select("ord", "th", F.inline(F.arrays_zip("w", "v")))
+    early = stored(wide.groupBy("w", "v").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("w", "v", "lo"), "early")
+    hits = wide.join(early, ["w", "v"]).where("ord > lo").groupBy("ord", "th").agg(F.collect_set(F.struct("w", "v")).alias("windows"))
+    hits = hits.select("ord", "th", F.col("windows.w").alias("w"), F.col("windows.v").alias("v"))
+    gone = keyed.join(hits, ["ord", "th"]).select("ord", "th", "text", "w", "v").mapInPandas(
         _removed(window), "ord long, th long, n_removed long, kept_sha256 string, kept_text string")
     if not with_text:
         gone = gone.drop("kept_text")
