@@ -3,9 +3,10 @@
 Words are the runs of 0-9, a-z and non-ASCII characters after lower-casing A-Z.
 A window is ``WINDOW`` consecutive words of a benchmark item; an item of fewer
 words, but not none, is one window of its own length. The distinct windows form
-a hash set which is broadcast while its measured size allows it and joined by
-shuffle beyond that. Document windows of the same lengths are hashed and probed;
-a hit is verified on the words themselves. Words inside verified hits count
+a hash set which is broadcast while its measured bytes allow it. Beyond that the
+hashes of document windows are shuffled to it, without words; hits go back to
+their document, which gives the words of these windows only. Document windows of
+the same lengths are hashed and probed; a hit is verified on the words themselves. Words inside verified hits count
 once, however many windows cover them.
 
 Defined results: a null or empty text has no words and no hits; an item without
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from payledger.llm.common import same, stored, text_key
 
 WINDOW = 10
-#: The hash set is broadcast up to this many windows (32 bytes each or so).
-BROADCAST_WINDOWS = 2_000_000
+#: The hash set is broadcast up to this many bytes of words and items, arrays and keys counted in.
+BROADCAST_BYTES = 256 << 20
+#: Bytes a window takes beside its words and items, and bytes of each of these beside its characters.
+_PER_WINDOW, _PER_VALUE = 96, 16
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -51,17 +54,46 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return grams.select("width", F.xxhash64("gram").alias("h"), "gram", "item_id").distinct()
 
 
+def _set_bytes(probe: DataFrame) -> int:
+    """Bytes of the broadcast hash set, as Spark holds its rows."""
+    letters = F.aggregate("gram", F.lit(0), lambda n, w: n + F.octet_length(w) + _PER_VALUE)
+    items = F.aggregate("items", F.lit(0), lambda n, x: n + F.octet_length(x) + _PER_VALUE)
+    return probe.agg(F.sum((letters + items + _PER_WINDOW).cast("long"))).first()[0] or 0
+
+
+def _shuffled(split: DataFrame, probe: DataFrame, widths: list[int]) -> DataFrame:
+    """The hits by shuffle joins. A document's words do not travel with its
+    windows: hashes meet the hash set, the positions that it knows are gathered
+    per document, and only the words of these windows meet the set again."""
+    known = probe.select("width", "h").distinct()
+
+    def placed(width: int) -> Column:
+        hashes = F.coalesce(_hashes(width), F.array().cast("array<bigint>"))
+        return F.transform(hashes, lambda h, i: F.struct(F.lit(width).alias("width"), i.alias("pos"), h.alias("h")))
+
+    at = split.select("doc_id", "th", F.inline(F.concat(*[placed(w) for w in widths])))
+    maybe = at.join(known, ["width", "h"]).groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "width")).alias("places"))
+    maybe = maybe.withColumnsRenamed({"doc_id": "m_id", "th": "m_th"})
+    back = split.join(maybe, split["doc_id"].eqNullSafe(maybe["m_id"]) & (split["th"] == maybe["m_th"]))
+    grams = F.transform("places", lambda p: F.struct(p["pos"].alias("pos"), F.slice("words", p["pos"] + 1, p["width"]).alias("gram")))
+    return back.select("doc_id", "th", F.inline(grams)).join(probe.select("width", "gram", "items"), "gram").select(
+        "doc_id", "th", "pos", "width", "items")
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, th, pos, width, item_id``: every verified occurrence of a
     window at word ``pos`` (from 0) of a document."""
     grams = stored(benchmark_windows(benchmark, window), "windows")
-    sizes = {r["width"]: r["n"] for r in grams.groupBy("width").agg(F.count("*").alias("n")).collect()}  # at most `window` rows
-    probe = grams.groupBy("width", "h", "gram").agg(F.collect_set("item_id").alias("items"))
-    if sum(sizes.values()) <= BROADCAST_WINDOWS:
-        probe = F.broadcast(probe)
+    widths = sorted(r["width"] for r in grams.select("width").distinct().collect())  # at most `window` rows
+    probe = grams.groupBy("width", "h", "gram").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     split = docs.select("doc_id", text_key().alias("th"), words("text").alias("words"))
+    if widths:
+        probe = stored(probe, "probe")
+        if _set_bytes(probe) > BROADCAST_BYTES:
+            return _shuffled(split, probe, widths)
+        probe = F.broadcast(probe)
     found = None
-    for width in sorted(sizes):
+    for width in widths:
         at = split.where(F.size("words") >= width).select("doc_id", "th", "words", F.posexplode(_hashes(width)).alias("pos", "h"))
         one = at.join(probe.where(F.col("width") == width), "h").where(F.slice("words", F.col("pos") + 1, width) == F.col("gram"))
         one = one.select("doc_id", "th", "pos", F.lit(width).alias("width"), "items")
@@ -78,7 +110,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     found = stored(hits(docs, benchmark, window), "hits")
     hit_words = found.select("doc_id", "th", F.explode(F.sequence("pos", F.col("pos") + F.col("width") - 1)).alias("w"))
     n_hit = hit_words.distinct().groupBy("doc_id", "th").agg(F.count("*").alias("n_hit"))
-    items = found.select("doc_id", "th", F.explode(F.col("items").cast("array<string>")).alias("item")).distinct().groupBy("doc_id", "th").agg(
+    items = found.select("doc_id", "th", F.explode("items").alias("item")).distinct().groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_list("item")).alias("items"))
     rows = docs.select("doc_id", text_key().alias("th"), F.size(words("text")).cast("long").alias("n_words"))
     key = ["doc_id", "th"]
