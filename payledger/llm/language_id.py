@@ -4,7 +4,8 @@ Texts become L2-normalised TF-IDF vectors of hashed character 1- to 3-grams.
 Document frequencies count all training documents. ``CENTROIDS`` spherical
 k-means centroids are fitted per language on a hash sample of about
 ``SAMPLE_PER_LANGUAGE`` labelled documents (the documented bound of the
-classifier's sample). A text gets the language of the centroid with the highest
+classifier's sample): documents are drawn by id and text, so copies of a text are
+drawn apart, and a row that repeats both counts once. A text gets the language of the centroid with the highest
 cosine. A text is *rejected* when it has no letter, or when that cosine falls
 below ``REJECT`` times the lowest that a sampled document of the language has
 with its own language.
@@ -103,20 +104,23 @@ def _k_means(x: np.ndarray, k: int, turns: int = 8) -> np.ndarray:
     return c
 
 
+def drawn(train: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` of the distinct ``doc_id, lang, text`` of every language,
+    drawn by a hash of id and text."""
+    sizes = stored(train.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    u = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 52)) / float(1 << 52)
+    return train.join(sizes, "lang").where(u * F.col("rows") < sample).select("doc_id", "lang", "text").distinct()
+
+
 def fit(train: DataFrame, sample: int = SAMPLE_PER_LANGUAGE, centroids: int = CENTROIDS) -> dict:
-    """Model over ``train(text, lang)``: ``langs``, ``owner`` (language of each
+    """Model over ``train(doc_id, text, lang)``: ``langs``, ``owner`` (language of each
     centroid), ``centres``, ``idf``, ``floor`` (rejection cosine per language)."""
     freq = train.select("text").mapInPandas(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     df = np.zeros(DIM + 1, dtype=np.int64)
     for r in freq.collect():  # DIM + 1 rows
         df[r["slot"]] = r["n"]
     idf = (np.log((1.0 + df[DIM]) / (1.0 + df[:DIM])) + 1.0).astype(np.float32)
-    sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
-    u = (F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 20)) / float(1 << 20))
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
-    rows = train.where(u < share).select("lang", "text").mapInPandas(_vectors, "lang string, slots binary, counts binary").collect()
+    rows = drawn(train, sample).select("lang", "text").mapInPandas(_vectors, "lang string, slots binary, counts binary").collect()  # `sample` a language
     owner, centres, langs, floor = [], [], sorted({r["lang"] for r in rows}), []
     for i, lang in enumerate(langs):
         mine = sorted([r for r in rows if r["lang"] == lang], key=lambda r: (len(r["slots"]), bytes(r["slots"]), bytes(r["counts"])))
@@ -157,7 +161,7 @@ def predict(docs: DataFrame) -> DataFrame:
     """``doc_id, th, held_out, lang_pred, score, rejected`` for every row; learns
     from the rows with ``lang`` that are not held out."""
     held = held_out(3, 1)
-    train = docs.where(~held & F.col("lang").isNotNull()).select("text", "lang")
+    train = docs.where(~held & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(fit(train)))  # DIM x CENTROIDS floats per language
     return docs.select("doc_id", F.xxhash64("text").alias("th"), held.alias("held_out"), "text").mapInPandas(
         _predict(shared), "doc_id long, th long, held_out boolean, lang_pred string, score double, rejected boolean")
