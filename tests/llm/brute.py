@@ -1,6 +1,7 @@
 """Plain statements of the contracts, for small inputs."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -94,11 +95,11 @@ def secrets(docs):
     return out
 
 
-def near(docs):
+def near(docs, width=4):
     sets = []
     for doc_id, text in docs:
         w = words((text or "").translate(UPPER))
-        k = min(4, len(w))
+        k = min(width, len(w))
         sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if k else set())
     n = len(docs)
     root = list(range(n))
@@ -224,3 +225,70 @@ def manifest(rows):
             proof = _digest(*[h for left, right in path + top for h in left + right])
             out.append((r[0], leaf, sub, root, proof, got, got == root))
     return out
+
+
+def _slots(text):
+    """Hashed 1- to 3-grams of the letters of a text, gaps one character wide."""
+    low = [c if "a" <= c <= "z" or (ord(c) >= 0xAA and c.isalpha()) else " " for c in (text or "").lower()]
+    if not any(c != " " for c in low):
+        return None
+    chars = [ord(c) for c in re.sub(" +", " ", " " + "".join(low) + " ")]
+    m, (k0, k1, k2) = 1 << 32, (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
+    out = Counter()
+    for i, c in enumerate(chars):
+        h = c * k0 % m
+        out[((h ^ (h >> 15)) * k2 % m) >> 19] += 1
+        for j, k in ((i + 1, k2), (i + 2, k0)):
+            if j < len(chars):
+                h = (h * k1 + chars[j] * k) % m
+                out[((h ^ (h >> 15)) * k2 % m) >> 19] += 1
+    return out
+
+
+def _unit(v):
+    size = math.sqrt(sum(x * x for x in v.values())) or 1.0
+    return {s: x / size for s, x in v.items()}
+
+
+def _dot(a, b):
+    return sum(x * b.get(s, 0.0) for s, x in a.items())
+
+
+def _mean(vectors):
+    total = Counter()
+    for v in vectors:
+        for s, x in v.items():
+            total[s] += x
+    return _unit(total)
+
+
+def languages(docs, held, centroids=4, turns=8, reject=0.5):
+    """(doc_id, lang, cosine, floor) of every (doc_id, text, lang); ``held(doc_id)``
+    teaches nothing. Every text is taken into the sample once an id."""
+    train = [(d, t, lang) for d, t, lang in docs if lang is not None and not held(d)]
+    grams = [(g, lang) for d, t, lang in train if (g := _slots(t)) is not None]
+    df = Counter(s for g, _ in grams for s in g)
+    idf = lambda s: math.log((1 + len(grams)) / (1 + df[s])) + 1
+    vector = lambda g: _unit({s: math.log1p(n) * idf(s) for s, n in g.items()})
+    centres, floor = [], {}
+    for lang in sorted({lang for _, lang in grams}):
+        texts = {(d, t) for d, t, x in train if x == lang}
+        mine = [vector(g) for _, t in sorted(texts, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")) if (g := _slots(t)) is not None]
+        c = [_mean(mine)]
+        while len(c) < min(centroids, len(mine)):
+            c.append(min(mine, key=lambda v: max(_dot(v, y) for y in c)))
+        for _ in range(turns):
+            near = [max(range(len(c)), key=lambda j: _dot(v, c[j])) for v in mine]
+            c = [_mean([v for v, n in zip(mine, near) if n == j]) if j in near else c[j] for j in range(len(c))]
+        floor[lang] = reject * min(max(_dot(v, y) for y in c) for v in mine)
+        centres += [(lang, y) for y in c]
+    out = []
+    for d, t, _ in docs:
+        g = _slots(t)
+        if g is None or not centres:
+            out.append((d, "und", 0.0, None))
+        else:
+            v = vector(g)
+            score, lang = max(((_dot(v, y), lang) for lang, y in centres), key=lambda x: x[0])
+            out.append((d, lang, min(1.0, max(0.0, score)), floor[lang]))
+    return out

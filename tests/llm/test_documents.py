@@ -85,6 +85,31 @@ def test_decontamination(docs, texts, spark):
     same(decontaminate.contamination(docs, bench.limit(0)), columns, [(d, w, 0, 0, brute.sha(""), False) for d, w, *_ in expected])
 
 
+def test_decontamination_by_shuffle(docs, texts, spark, monkeypatch):
+    bench = spark.createDataFrame(cases.odd_benchmark(), cases.BENCH_SCHEMA)
+    items = [(r["item_id"], r["text"]) for r in bench.collect()]
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    out = decontaminate.contamination(docs, bench)
+    same(out, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"], brute.contaminated(texts, items))
+
+
+def test_windows_of_equal_hash_are_told_apart():
+    import numpy as np
+    import pandas as pd
+
+    from payledger.llm import common
+
+    h = common.WordHash().of([b"a%d" % i for i in range(60)])
+    w, v = common.ngram_pairs(h, 50)
+    assert len(w) == len(v) == 11 and not set(w.tolist()) & set(v.tolist())
+    pairs = substring_dedup._distinct(np.append(w, w[:2]), np.append(v, [v[0], v[1] + np.uint64(1)]))
+    assert len(pairs[0]) == 12
+    text = " ".join(f"a{i}" for i in range(60))
+    run = lambda check: next(substring_dedup._removed(50)(iter([pd.DataFrame({
+        "ord": [1], "th": [1], "text": [text], "w": [w.view(np.int64)[:1]], "v": [check]})])))["n_removed"][0]
+    assert run(v.view(np.int64)[:1]) == 50 and run(v.view(np.int64)[1:2]) == 0
+
+
 def test_substring_dedup(docs, texts):
     out = substring_dedup.repeated_passages(docs, with_text=True)
     same(out, ["doc_id", "n_words", "n_removed", "kept_sha256"], brute.passages(texts))
@@ -260,6 +285,34 @@ def test_language(docs):
     assert language_id.keep_accepted(docs).columns == docs.columns
 
 
+def test_language_is_brute_force(docs):
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang").collect()]
+    expected = sorted(brute.languages(rows, lambda d: d is not None and crc(d) % 3 == 1), key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    got = sorted(map(tuple, language_id.predict(docs).select("doc_id", "lang_pred", "score", "rejected").collect()),
+                 key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    for g, e in zip(got, expected, strict=True):
+        assert g[:2] == e[:2] and abs(g[2] - e[2]) < 1e-4
+        assert g[3] == (e[3] is None or e[2] < e[3]) or abs(e[2] - e[3]) < 1e-4
+
+
+def test_language_rejects_strangers(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    odd = ["Привет, как дела сегодня в этом городе", "今天天气很好我们去公园散步", "xq zzkw vvqj kqxz wqkj zxqv jjkx qqwz"]
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(odd)], "doc_id long, text string, lang string")
+    got = language_id.predict(docs.union(more)).where("doc_id < 0").collect()
+    assert len(got) == 3 and all(r["rejected"] for r in got)
+
+
+def test_language_draws_copies_apart(spark):
+    """A text that most rows hold takes no more of the sample than its share."""
+    rows = [(i, "the river and the stone" if i % 2 else f"word number {i} of a row", "en") for i in range(4000)]
+    rows += [(7, "the river and the stone", "en")] * 2000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.fit(df, sample=100)["langs"] == ["en"]
+    drawn = language_id.drawn(df, 100)
+    assert 50 < drawn.count() < 160 and drawn.where("doc_id = 7").count() <= 1
+
+
 def test_language_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.predict(docs).where("held_out").join(docs.select("doc_id", "lang", "text"), "doc_id")
