@@ -4,7 +4,7 @@ language ID -> near-duplicates -> decontamination -> secrets -> mixing. Every
 stage takes (spark, docs, sf_dir) and works on all that its predecessor kept:
 
 - ``language_id`` drops the documents that the classifier rejects;
-- ``near_duplicates`` keeps one document of each group;
+- ``near_duplicates`` keeps one document of each group (shingles of five words);
 - ``decontaminate`` drops the documents that hold a window of the benchmark;
 - ``secrets`` masks secrets in the texts;
 - ``mix_sources`` returns, per document, the words that the mix takes.
@@ -29,7 +29,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash_dedup.keep_one(docs)
+    return minhash_dedup.keep_one(docs, width=5)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
