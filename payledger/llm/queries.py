@@ -126,8 +126,8 @@ WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS r,
 s AS (SELECT DISTINCT r, md5_number(array_to_string(w[i:i + k - 1], ' ')) AS g
   FROM (SELECT r, w, least(len(w), 4) AS k, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
-pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
-links AS (SELECT x, y FROM pairs JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * both >= 80 * (p.n + q.n - both)),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
+links AS (SELECT x, y FROM pairs JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * common >= 80 * (p.n + q.n - common)),
 ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(r, t) AS (SELECT r, r FROM d UNION SELECT reach.r, y FROM reach JOIN ways ON t = x),
 least_id AS (SELECT reach.r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = t GROUP BY reach.r)
