@@ -60,6 +60,9 @@ class LedgerConfig:
     # Dimensions proven to hold at most this many bytes are broadcast; others go
     # through a shuffle join that AQE may still turn into a broadcast at run time.
     broadcast_bytes: int = 64 << 20
+    # A currency-decimal table of at most this many rows, each currency once, becomes
+    # expressions (read when a document dataset is built); a larger one is joined. 0: always joined.
+    currency_values: int = 1000
     # How the payable fact finds a rate: "daily" (equality on the day of the daily
     # table) or "interval" (pair and month, then a range test; no daily table).
     rate_lookup: str = "daily"

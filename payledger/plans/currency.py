@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payledger.config import LedgerConfig
@@ -24,6 +26,35 @@ def currency_decimal(tables: Mapping[str, DataFrame]) -> DataFrame:
     ).distinct()
 
 
+@dataclass(frozen=True)
+class CurrencyFactors:
+    """The currency-decimal table as values: the currencies of every factor."""
+
+    keys: tuple[tuple[Decimal, tuple[str, ...]], ...]
+
+    def of(self, currency: Column) -> Column:
+        """The factor of ``currency``; NULL for NULL or a currency without an entry.
+        One set of currencies per factor, of which there are as many as decimal counts."""
+        found = F.lit(None).cast(FACTOR)
+        for factor, names in self.keys:
+            found = F.when(currency.isin(*names), F.lit(factor).cast(FACTOR)).otherwise(found)
+        return found
+
+
+def currency_factors(decimals: DataFrame, most: int) -> CurrencyFactors | None:
+    """``decimals`` as values, if it holds at most ``most`` rows and every currency
+    once; else None: a join then gives a line per row of its currency."""
+    rows = decimals.select("CURRKEY", "CURRFIX").limit(most + 1).collect()
+    names = [r["CURRKEY"] for r in rows if r["CURRKEY"] is not None]
+    if len(rows) > most or len(set(names)) < len(names):
+        return None
+    groups: dict[Decimal, list[str]] = {}
+    for r in rows:
+        if r["CURRKEY"] is not None and r["CURRFIX"] is not None:
+            groups.setdefault(r["CURRFIX"], []).append(r["CURRKEY"])
+    return CurrencyFactors(tuple((f, tuple(sorted(groups[f]))) for f in sorted(groups)))
+
+
 def rate_intervals(tables: Mapping[str, DataFrame], cfg: LedgerConfig) -> DataFrame:
     """Exchange rates with their validity interval.
 

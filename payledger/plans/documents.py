@@ -13,6 +13,7 @@ from payledger.functions.amounts import scale_amount, scale_amount_sql, sign_fli
 from payledger.functions.dates import cash_discount_date_1, cash_discount_date_2, net_due_date
 from payledger.operators.joins import broadcast_if_small, lookup_left_join
 from payledger.plans.calendar import add_calendar_attributes
+from payledger.plans.currency import CurrencyFactors
 from payledger.plans.masterdata import pick, pick_sql, unmapped_sql
 from payledger.types import AMOUNT, RAW_AMOUNT, zero
 
@@ -31,9 +32,11 @@ def _with_calendar(df, calendar, cfg, date_col, kind, suffix):
     )
 
 
-def _currency_factor(df: DataFrame, decimals: DataFrame, on: Column, out: str, limit: int) -> DataFrame:
-    """Left join the currency-decimal table (one row per currency, broadcast
-    after a size check) and keep its factor as ``out``."""
+def _currency_factor(df: DataFrame, decimals: DataFrame | CurrencyFactors, on: Column, out: str, limit: int) -> DataFrame:
+    """The factor of a currency as ``out``: an expression when the currency table
+    is given as values, else a left join (broadcast after a size check)."""
+    if isinstance(decimals, CurrencyFactors):
+        return df.withColumn(out, decimals.of(on))
     dec = decimals.select(F.col("CURRKEY").alias(f"{out}_key"), F.col("CURRFIX").alias(out))
     salt = df.columns[:5]
     return lookup_left_join(df, dec, [(on, f"{out}_key")], salt, limit).drop(f"{out}_key")
@@ -140,7 +143,7 @@ def _kept(names: Sequence[str], fields: Sequence[str] | None) -> list[str]:
 
 
 def invoice_documents_flow(
-    tables: Mapping[str, DataFrame], decimals: DataFrame, calendar: DataFrame | None, cfg: LedgerConfig,
+    tables: Mapping[str, DataFrame], decimals: DataFrame | CurrencyFactors, calendar: DataFrame | None, cfg: LedgerConfig,
     header_filter: Column | None = None, passthrough: bool = False, lines: DataFrame | None = None,
 ) -> DataFrame:
     """Supplier invoices at line level: merged lines INNER JOIN headers (RBKP),
@@ -217,7 +220,7 @@ PO_HISTORY_NAMES = [
 
 
 def purchase_documents_history(
-    tables: Mapping[str, DataFrame], decimals: DataFrame, calendar: DataFrame, cfg: LedgerConfig
+    tables: Mapping[str, DataFrame], decimals: DataFrame | CurrencyFactors, calendar: DataFrame, cfg: LedgerConfig
 ) -> DataFrame:
     """Goods and invoice receipts of purchase orders (event types 1 and 2)."""
     ekbe = tables["ekbe"]
@@ -354,7 +357,7 @@ DOC_KEYS = ["MANDT", "BUKRS", "GJAHR", "BELNR"]
 
 
 def accounting_documents(
-    tables: Mapping[str, DataFrame], decimals: DataFrame, calendar: DataFrame, cfg: LedgerConfig,
+    tables: Mapping[str, DataFrame], decimals: DataFrame | CurrencyFactors, calendar: DataFrame, cfg: LedgerConfig,
     amount_roles: Sequence[str] = ("doc", "local", "local2", "local3", "gl", "none"),
     passthrough: bool = False,
 ) -> DataFrame:

@@ -47,6 +47,12 @@ class LedgerModel:
     def currency_decimal(self) -> DataFrame:
         return self._dimension(currency.currency_decimal(self.tables), "currency-decimal")
 
+    @cached_property
+    def currency_lookup(self) -> DataFrame | currency.CurrencyFactors:
+        """The currency table as values where it is small, else the table."""
+        factors = currency.currency_factors(self.currency_decimal, self.cfg.currency_values)
+        return self.currency_decimal if factors is None else factors
+
     @cached_property
     def currency_conversion(self) -> DataFrame:
         return currency.currency_conversion(self.tables, self.cfg)
@@ -83,7 +89,7 @@ class LedgerModel:
     # documents
     @cached_property
     def invoices(self) -> DataFrame:
-        return documents.invoice_documents_flow(self.tables, self.currency_decimal, self.stored_calendar, self.cfg)
+        return documents.invoice_documents_flow(self.tables, self.currency_lookup, self.stored_calendar, self.cfg)
 
     @cached_property
     def invoice_lines(self) -> DataFrame:
@@ -99,7 +105,7 @@ class LedgerModel:
         if self.stored_invoices is not None:
             return self.stored_invoices
         return documents.invoice_documents_flow(
-            self.tables, self.currency_decimal, self.stored_calendar, self.cfg, header_filter,
+            self.tables, self.currency_lookup, self.stored_calendar, self.cfg, header_filter,
             lines=self.invoice_lines if self.cfg.share_invoice_lines else None)
 
     @cached_property
@@ -113,11 +119,11 @@ class LedgerModel:
 
     @cached_property
     def purchase_history(self) -> DataFrame:
-        return documents.purchase_documents_history(self.tables, self.currency_decimal, self.stored_calendar, self.cfg)
+        return documents.purchase_documents_history(self.tables, self.currency_lookup, self.stored_calendar, self.cfg)
 
     @cached_property
     def accounting_documents(self) -> DataFrame:
-        return documents.accounting_documents(self.tables, self.currency_decimal, self.stored_calendar, self.cfg)
+        return documents.accounting_documents(self.tables, self.currency_lookup, self.stored_calendar, self.cfg)
 
     # payables
     @cached_property

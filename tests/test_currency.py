@@ -33,6 +33,18 @@ def test_currency_decimal_factor(spark):
     assert rows == {"JPY": Decimal("100.0000"), "KWD": Decimal("0.1000"), "USD": Decimal("100.0000")}
 
 
+def test_currency_factors_are_values_of_a_small_unique_table(spark):
+    factors = lambda rows, most: C.currency_factors(spark.createDataFrame(rows, "CURRKEY string, CURRFIX decimal(12,4)"), most)
+    rows = [("JPY", Decimal(100)), ("KWD", Decimal("0.1")), ("CLP", Decimal(100)), (None, Decimal(7)), ("XXX", None)]
+    got = factors(rows, 5)
+    assert got == C.CurrencyFactors(((Decimal("0.1000"), ("KWD",)), (Decimal("100.0000"), ("CLP", "JPY"))))
+    df = spark.createDataFrame([("JPY",), ("KWD",), ("CLP",), ("EUR",), ("XXX",), (None,)], "c string")
+    assert [r[0] for r in df.select(got.of(df["c"])).collect()] == [Decimal(100), Decimal("0.1"), Decimal(100), None, None, None]
+    assert factors(rows, 4) is None  # too many rows
+    assert factors(rows + [("JPY", Decimal(1))], 9) is None  # a join would give two lines
+    assert df.select(factors([], 9).of(df["c"]).alias("f")).where("f IS NOT NULL").count() == 0
+
+
 def test_rate_intervals_lead_and_inversion(spark):
     t = _tables(spark, [("B", "USD", "BRL", "2001-01-01", "5"), ("B", "USD", "BRL", "2001-03-01", "-4")])
     rows = sorted(C.rate_intervals(t, CFG).collect(), key=lambda r: r.start_date)

@@ -143,6 +143,19 @@ def test_flagship_joins_and_exchanges(spark, erp, cfg):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_currency_values_replace_joins_and_change_nothing(spark, erp, cfg):
+    import dataclasses
+
+    values = LedgerModel(spark, erp, cfg)
+    joined = LedgerModel(spark, erp, dataclasses.replace(cfg, currency_values=0))
+    for name, roles in (("accounting_documents", 5), ("invoices", 1), ("purchase_history", 1)):
+        plain, by_join = getattr(values, name), getattr(joined, name)
+        joins = [sum("Join" in x.split("(")[0] for x in _physical(df)) for df in (plain, by_join)]
+        assert joins[1] - joins[0] >= roles, (name, joins)
+        assert plain.schema == by_join.schema and plain.count() == by_join.count() > 0
+        assert plain.exceptAll(by_join).count() == 0 and by_join.exceptAll(plain).count() == 0
+
+
 def test_materialized_dimension_is_as_large_as_its_rows(spark):
     """A dimension that a join made: the planner's bound for the join is a product
     of its sides, the stored leaf's bound its own bytes, and no less than the data
