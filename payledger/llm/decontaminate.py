@@ -17,6 +17,8 @@ but are not listed or counted. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +40,32 @@ def words(text: Column | str) -> Column:
     return F.array_remove(F.split(low, SEPARATORS), "")
 
 
-def _hashes(width: int) -> Column:
-    """Hash of every run of ``width`` words of the column ``words``."""
-    last = F.size("words") - width
-    runs = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice("words", i + 1, width)))
-    return F.when(last >= 0, runs)
+def _with_hashes(df: DataFrame, widths: Sequence[int]) -> DataFrame:
+    """``df`` with ``h<width>``: the hash of every run of ``width`` words of the column
+    ``words``, empty where there are fewer.
+
+    Each word is hashed once. The hash of twice as many words comes from two hashes
+    side by side, and a width is put together from such runs, the longest first; its
+    hash hence depends on the words of the run alone. Explode the columns as *outer*:
+    else the planner adds a filter on their size, which hashes all runs once more."""
+
+    def beside(name: str, other: str, offset: int) -> Column:
+        return F.transform(name, lambda h, i: F.xxhash64(h, F.get(F.col(other), i + offset)))
+
+    out, run = df.withColumn("__1", F.transform("words", lambda w: F.xxhash64(w))), 1
+    while 2 * run <= max(widths):
+        out, run = out.withColumn(f"__{2 * run}", beside(f"__{run}", f"__{run}", run)), 2 * run
+    made = [c for c in out.columns if c not in df.columns]
+    for width in widths:
+        runs = [1 << b for b in reversed(range(width.bit_length())) if width >> b & 1]
+        name, length = f"__{runs[0]}", runs[0]
+        for more in runs[1:]:
+            made.append(f"__{width}_{length + more}")
+            out = out.withColumn(made[-1], beside(name, f"__{more}", length))
+            name, length = made[-1], length + more
+        # the last runs would reach beyond the text
+        out = out.withColumn(f"h{width}", F.slice(name, 1, F.greatest(F.size("words") - (width - 1), F.lit(0))))
+    return out.drop(*made)
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -51,7 +74,9 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     width = F.least(F.size("words"), F.lit(window))
     starts = F.sequence(F.lit(1), F.size("words") - width + 1)
     grams = items.select("item_id", width.alias("width"), F.explode(F.transform(starts, lambda i: F.slice("words", i, width))).alias("gram"))
-    return grams.select("width", F.xxhash64("gram").alias("h"), "gram", "item_id").distinct()
+    hashed = _with_hashes(grams.withColumn("words", F.col("gram")), range(1, window + 1))
+    h = F.coalesce(*[F.when(F.col("width") == w, F.get(f"h{w}", F.lit(0))) for w in range(1, window + 1)])
+    return hashed.select("width", h.alias("h"), "gram", "item_id").distinct()
 
 
 def _set_bytes(probe: DataFrame) -> int:
@@ -68,10 +93,9 @@ def _shuffled(split: DataFrame, probe: DataFrame, widths: list[int]) -> DataFram
     known = probe.select("width", "h").distinct()
 
     def placed(width: int) -> Column:
-        hashes = F.coalesce(_hashes(width), F.array().cast("array<bigint>"))
-        return F.transform(hashes, lambda h, i: F.struct(F.lit(width).alias("width"), i.alias("pos"), h.alias("h")))
+        return F.transform(f"h{width}", lambda h, i: F.struct(F.lit(width).alias("width"), i.alias("pos"), h.alias("h")))
 
-    at = split.select("doc_id", "th", F.inline(F.concat(*[placed(w) for w in widths])))
+    at = _with_hashes(split, widths).select("doc_id", "th", F.inline_outer(F.concat(*[placed(w) for w in widths])))
     maybe = at.join(known, ["width", "h"]).groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "width")).alias("places"))
     maybe = maybe.withColumnsRenamed({"doc_id": "m_id", "th": "m_th"})
     back = split.join(maybe, split["doc_id"].eqNullSafe(maybe["m_id"]) & (split["th"] == maybe["m_th"]))
@@ -94,8 +118,12 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
         probe = F.broadcast(probe)
     found = None
     for width in widths:
-        at = split.where(F.size("words") >= width).select("doc_id", "th", "words", F.posexplode(_hashes(width)).alias("pos", "h"))
-        one = at.join(probe.where(F.col("width") == width), "h").where(F.slice("words", F.col("pos") + 1, width) == F.col("gram"))
+        hashed = _with_hashes(split.where(F.size("words") >= width), [width])
+        at = hashed.select("doc_id", "th", "words", F.posexplode_outer(f"h{width}").alias("pos", "h"))
+        # by both bounds: an equality would become a join key, built for every window and not for hits alone
+        gram = F.slice("words", F.col("pos") + 1, width)
+        verified = (gram <= F.col("gram")) & (gram >= F.col("gram"))
+        one = at.join(probe.where(F.col("width") == width), "h").where(verified)
         one = one.select("doc_id", "th", "pos", F.lit(width).alias("width"), "items")
         found = one if found is None else found.union(one)
     if found is None:

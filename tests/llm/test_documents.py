@@ -85,6 +85,13 @@ def test_decontamination(docs, texts, spark):
     same(decontaminate.contamination(docs, bench.limit(0)), columns, [(d, w, 0, 0, brute.sha(""), False) for d, w, *_ in expected])
 
 
+def test_windows_meet_the_benchmark_by_hash_alone(spark):
+    docs, bench = spark.createDataFrame(cases.odd_documents(), cases.DOC_SCHEMA), spark.createDataFrame(cases.odd_benchmark(), cases.BENCH_SCHEMA)
+    plan = decontaminate.hits(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("BroadcastHashJoin [")[1].split("]")[0] for line in plan.splitlines() if "BroadcastHashJoin [" in line]
+    assert keys and all("slice" not in k for k in keys)  # no words are copied into a key for every window
+
+
 def test_decontamination_by_shuffle(docs, texts, spark, monkeypatch):
     bench = spark.createDataFrame(cases.odd_benchmark(), cases.BENCH_SCHEMA)
     items = [(r["item_id"], r["text"]) for r in bench.collect()]
