@@ -3,6 +3,7 @@
 import contextlib
 import datetime as dt
 import io
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -251,3 +252,21 @@ def test_rates_by_interval_are_the_daily_rates(spark, erp, cfg):
         assert got.target_rates.count() < daily.target_rates.count()
         rows = got.enriched_payables.select(keys)
         assert rows.exceptAll(want).count() == 0 and want.exceptAll(rows).count() == 0
+
+
+def test_measures_compile(spark, erp, cfg):
+    """No generated method of the fact is too long for the JVM to compile (8,000 bytes)."""
+    from payledger.plans.model import LedgerModel
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fact = LedgerModel(spark, erp, cfg).accounts_payable
+        fact = fact.select(*[F.col(c).cast("string").alias(c) for c in fact.columns])
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            fact.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+    assert sizes and max(sizes) < 8000, sizes
