@@ -70,12 +70,9 @@ class LedgerConfig:
     # split over several tasks in the joins on them (found by one more pass over the
     # key columns). None leaves hot keys to AQE's skew join.
     hot_key_share: float | None = None
-    # Write the merged invoice lines once, bucketed by invoice, for the two branches
+    # Write the merged invoice lines, joined to their headers, once for the two branches
     # of the payable fact (posted and parked); else each branch merges them again.
     share_invoice_lines: bool = True
-    # Buckets of that table: those of the stored header table (None: the number of
-    # shuffle partitions).
-    invoice_line_buckets: int | None = None
     # Write small dimensions (business days, fiscal periods, daily target rates,
     # currency decimals) once to the checkpoint folder and use them as leaves.
     materialize_dimensions: bool = True

@@ -176,15 +176,12 @@ def materialize(df: DataFrame, name: str = "dimension") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, keys: Sequence[str], buckets: int, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder, hashed and sorted by ``keys``, and
-    read it back as a scan that still knows so: joins on the keys with tables in
-    the same number of buckets need no exchange and no sort, however often the
-    table is read (a checkpoint forgets how it was partitioned)."""
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Write a large frame once to the shared checkpoint folder and read it back, so
+    that several branches of a plan read its rows and none computes them again."""
     from payledger.session import checkpoint_dir
 
     spark = df.sparkSession
-    table = f"{name}_{uuid.uuid4().hex}"
-    (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
-     .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{table}").saveAsTable(table))
-    return spark.table(table)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -79,7 +79,7 @@ INVOICE_SCALED = [
     ("fwbas", "TaxBaseAmount_FWBAS"),
     ("wrbtr", "AmountinDocumentCurrency_WRBTR"),
 ]
-LINE_KEYS = ["mandt", "belnr", "gjahr", "buzei"]
+LINE_KEYS = ["belnr", "buzei", "gjahr", "mandt"]
 # Fields both line tables share, merged with RSEG first.
 MERGED_LINE_FIELDS = ["zekkn", "bukrs", "werks", "wrbtr", "shkzg", "mwskz", "txjcd", "menge", "bpmng",
                       "meins", "spgrs", "sgtxt", "xskrl"]
@@ -98,7 +98,9 @@ def _t(field: str):
 
 # The line fields that the payable fact needs of the invoice flow.
 PAYABLE_LINE_FIELDS = ["bukrs", "wrbtr", "ps_psp_pnr"]
-HEADER_KEYS = ["mandt", "belnr", "gjahr"]
+# Join keys: document numbers first. Rows are sorted by the first bytes of the first key, and
+# compared field by field only where these agree (few clients and companies hold all rows).
+HEADER_KEYS = ["belnr", "gjahr", "mandt"]
 
 
 def invoice_lines(tables: Mapping[str, DataFrame], headers: DataFrame | None = None, passthrough: bool = False,
@@ -160,7 +162,7 @@ def invoice_documents_flow(
         lines = invoice_lines(tables, rbkp if header_filter is not None else None, passthrough, cfg.broadcast_bytes)
     lines = lines.alias("l")
     hdr = rbkp.alias("h")
-    df = lines.join(hdr, [F.col(f"l.{k}") == F.col(f"h.{k}") for k in ("mandt", "belnr", "gjahr")], "inner")
+    df = lines.join(hdr, [F.col(f"l.{k}") == F.col(f"h.{k}") for k in HEADER_KEYS], "inner")
     df = df.select(
         *[pick(rbkp if s.startswith("h.") else lines, s[2:], _t(s[2:]), s[0]).alias(t) for s, t in INVOICE_NAMES],
         F.coalesce(pick(rbkp, "bukrs", prefix="h"), F.col("l.bukrs")).alias("CompanyCode_BUKRS"),
@@ -353,7 +355,7 @@ _LINE_TYPES = {
 }
 ROLE_CURRENCY = {"doc": "h.WAERS", "local": "h.HWAER", "local2": "h.HWAE2", "local3": "h.HWAE3", "gl": "b.PSWSL"}
 
-DOC_KEYS = ["MANDT", "BUKRS", "GJAHR", "BELNR"]
+DOC_KEYS = ["BELNR", "GJAHR", "BUKRS", "MANDT"]
 
 
 def accounting_documents(

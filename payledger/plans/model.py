@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payledger.config import LedgerConfig
-from payledger.operators.joins import HotKeys, bucketed, materialize
+from payledger.operators.joins import HotKeys, materialize, write_once
 from payledger.plans import calendar, currency, documents, masterdata, payables
 
 
@@ -92,30 +92,25 @@ class LedgerModel:
         return documents.invoice_documents_flow(self.tables, self.currency_lookup, self.stored_calendar, self.cfg)
 
     @cached_property
-    def invoice_lines(self) -> DataFrame:
-        """The merged invoice lines as far as the payable fact needs them: one
-        full outer join, written once, bucketed by invoice, and read by both branches."""
-        lines = documents.invoice_lines(self.tables, fields=documents.PAYABLE_LINE_FIELDS)
-        buckets = self.cfg.invoice_line_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return bucketed(lines, documents.HEADER_KEYS, buckets, "invoice_lines")
-
-    def _payable_flow(self, header_filter=None) -> DataFrame:
-        """The invoice flow for one branch of the fact: from the stored flow when
-        there is one, else from the shared lines."""
+    def payable_invoice_flow(self) -> DataFrame:
+        """The invoice flow as far as the payable fact needs it: the stored flow when
+        there is one, else the lines merged and joined to their headers once, written,
+        and read by both branches of the fact (posted and parked)."""
         if self.stored_invoices is not None:
             return self.stored_invoices
-        return documents.invoice_documents_flow(
-            self.tables, self.currency_lookup, self.stored_calendar, self.cfg, header_filter,
-            lines=self.invoice_lines if self.cfg.share_invoice_lines else None)
-
-    @cached_property
-    def payable_invoice_flow(self) -> DataFrame:
-        return self._payable_flow()
+        if not self.cfg.share_invoice_lines:
+            return self.invoices
+        lines = documents.invoice_lines(self.tables, fields=documents.PAYABLE_LINE_FIELDS)
+        flow = documents.invoice_documents_flow(self.tables, self.currency_lookup, self.stored_calendar, self.cfg, lines=lines)
+        return write_once(flow.select(*payables.INVOICE_FLOW_COLUMNS), "payable-invoices")
 
     @cached_property
     def parked_invoice_flow(self) -> DataFrame:
-        """The invoice flow of parked invoices only."""
-        return self._payable_flow(F.col("rbstat") == self.cfg.parked_status)
+        """The invoice flow of parked invoices; ``parked_invoices`` filters a flow of all."""
+        if self.stored_invoices is not None or self.cfg.share_invoice_lines:
+            return self.payable_invoice_flow
+        return documents.invoice_documents_flow(
+            self.tables, self.currency_lookup, self.stored_calendar, self.cfg, F.col("rbstat") == self.cfg.parked_status)
 
     @cached_property
     def purchase_history(self) -> DataFrame:
@@ -163,14 +158,17 @@ class LedgerModel:
         return self._dimension(payables.company_dimension(self.companies, self.fiscal_periods, self.cfg), "companies")
 
     def prepare_dimensions(self) -> None:
-        """Write the small dimensions and the shared invoice lines concurrently: they
+        """Write the small dimensions and the shared invoice flow concurrently: they
         are independent jobs, and running them side by side keeps the cores busy."""
         names = ["currency_decimal", "business_days", "target_rates", "current_vendors", "company_dimension"]
         if self.cfg.share_invoice_lines and self.stored_invoices is None:
-            names.append("invoice_lines")
+            names.append("payable_invoice_flow")
         todo = [n for n in names if n not in self.__dict__]
         if not self.cfg.materialize_dimensions or len(todo) < 2:
             return
+        if "payable_invoice_flow" in todo:
+            self.currency_lookup  # noqa: B018 - the flow needs it: not made twice
+            todo = [n for n in todo if n not in self.__dict__]
         with ThreadPoolExecutor(max_workers=len(todo)) as pool:
             for name, df in zip(todo, pool.map(lambda n: getattr(self, n), todo)):
                 self.__dict__.setdefault(name, df)

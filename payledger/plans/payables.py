@@ -84,18 +84,42 @@ _ZERO_DEFAULT = {
 }
 
 
+# The union's columns that parked invoices fill, from the invoice flow.
+PARKED_SOURCE = {
+    "AccountingDocumentNumber_BELNR": "InvoiceDocNum_BELNR",
+    "DocumentDateInDocument_BLDAT": "DocumentDate_BLDAT",
+    "PostingDateInTheDocument_BUDAT": "PostingDate_BUDAT",
+    "PostingDate_BUDAT": "PostingDate_BUDAT",
+    "AmountInLocalCurrency_DMBTR": "GrossInvAmnt_RMWWR",
+    "AmountInDocumentCurrency_WRBTR": "AmountinDocumentCurrency_WRBTR",
+    "AccountNumberOfVendorOrCreditor_LIFNR": "InvoicingParty_LIFNR",
+    "CurrencyKey_WAERS": "Currency_WAERS",
+    "InvStatus_RBSTAT": "Invstatus_RBSTAT",
+    "Client_MANDT": "Client_MANDT",
+    "CompanyCode_BUKRS": "CompanyCode_BUKRS",
+    "FiscalYear_GJAHR": "FiscalYear_GJAHR",
+    "YearOfPostingDateInTheDocument_BUDAT": "YearOfPostingDate_BUDAT",
+    "MonthOfPostingDateInTheDocument_BUDAT": "MonthOfPostingDate_BUDAT",
+    "WeekOfPostingDateInTheDocument_BUDAT": "WeekOfPostingDate_BUDAT",
+    "QuarterOfPostingDateInTheDocument_BUDAT": "QuarterOfPostingDate_BUDAT",
+}
+# The columns of the invoice flow that the fact reads, in either branch.
+INVOICE_FLOW_COLUMNS = sorted({*PARKED_SOURCE.values(), "InvoiceDocLineNum_BUZEI", "Documenttype_BLART"})
+
+
 def _typed(c: Column, t) -> Column:
     return c.cast(t)
 
 
 def join_keys() -> dict[str, list[Column]]:
-    """The keys of the two fact-to-fact joins, as expressions over accounting lines."""
+    """The keys of the two fact-to-fact joins, as expressions over accounting lines,
+    document numbers first (see ``documents.HEADER_KEYS``)."""
     client, year = F.col("Client_MANDT"), F.col("FiscalYear_GJAHR")
     return {
-        "invoice": [client, F.col("CompanyCode_BUKRS"), left(F.col("ObjectKey_AWKEY"), 10), year,
-                    strip_leading_zeros(F.col("NumberOfLineItemWithinAccountingDocument_BUZEI"))],
-        "purchase": [client, F.col("PurchasingDocumentNumber_EBELN"), F.col("ItemNumberOfPurchasingDocument_EBELP"), year,
-                     F.col("ObjectKey_AWKEY")],
+        "invoice": [left(F.col("ObjectKey_AWKEY"), 10), strip_leading_zeros(F.col("NumberOfLineItemWithinAccountingDocument_BUZEI")),
+                    year, F.col("CompanyCode_BUKRS"), client],
+        "purchase": [F.col("PurchasingDocumentNumber_EBELN"), F.col("ItemNumberOfPurchasingDocument_EBELP"),
+                     F.col("ObjectKey_AWKEY"), year, client],
     }
 
 
@@ -124,7 +148,7 @@ def posted_vendor_lines(acc_docs: DataFrame, invoices: DataFrame, cfg: LedgerCon
         F.col("Documenttype_BLART").alias("InvoiceDocumenttype_BLART"),
         F.col("PostingDate_BUDAT"),
     )
-    pairs = list(zip(join_keys()["invoice"], ["__i_mandt", "__i_bukrs", "__i_belnr", "__i_gjahr", "__i_buzei"]))
+    pairs = list(zip(join_keys()["invoice"], ["__i_belnr", "__i_buzei", "__i_gjahr", "__i_bukrs", "__i_mandt"]))
     joined = left_join_salted_nulls(
         ad, inv, pairs, ["AccountingDocumentNumber_BELNR", "NumberOfLineItemWithinAccountingDocument_BUZEI"], hot
     )
@@ -148,29 +172,11 @@ def parked_invoices(invoices: DataFrame, cfg: LedgerConfig) -> DataFrame:
     the grouping, as in the source model."""
     parked = keep_first_rank(
         invoices.where(F.col("Invstatus_RBSTAT") == cfg.parked_status),
-        ["Client_MANDT", "CompanyCode_BUKRS", "InvoiceDocNum_BELNR"],
+        ["InvoiceDocNum_BELNR", "CompanyCode_BUKRS", "Client_MANDT"],
         F.col("InvoiceDocLineNum_BUZEI").asc_nulls_first(),
     )
-    source = {
-        "AccountingDocumentNumber_BELNR": "InvoiceDocNum_BELNR",
-        "DocumentDateInDocument_BLDAT": "DocumentDate_BLDAT",
-        "PostingDateInTheDocument_BUDAT": "PostingDate_BUDAT",
-        "PostingDate_BUDAT": "PostingDate_BUDAT",
-        "AmountInLocalCurrency_DMBTR": "GrossInvAmnt_RMWWR",
-        "AmountInDocumentCurrency_WRBTR": "AmountinDocumentCurrency_WRBTR",
-        "AccountNumberOfVendorOrCreditor_LIFNR": "InvoicingParty_LIFNR",
-        "CurrencyKey_WAERS": "Currency_WAERS",
-        "InvStatus_RBSTAT": "Invstatus_RBSTAT",
-        "Client_MANDT": "Client_MANDT",
-        "CompanyCode_BUKRS": "CompanyCode_BUKRS",
-        "FiscalYear_GJAHR": "FiscalYear_GJAHR",
-        "YearOfPostingDateInTheDocument_BUDAT": "YearOfPostingDate_BUDAT",
-        "MonthOfPostingDateInTheDocument_BUDAT": "MonthOfPostingDate_BUDAT",
-        "WeekOfPostingDateInTheDocument_BUDAT": "WeekOfPostingDate_BUDAT",
-        "QuarterOfPostingDateInTheDocument_BUDAT": "QuarterOfPostingDate_BUDAT",
-    }
     cols = [
-        _typed(F.col(source[name]) if name in source else F.lit(None), t).alias(name) for name, t in UNION_COLUMNS
+        _typed(F.col(PARKED_SOURCE[name]) if name in PARKED_SOURCE else F.lit(None), t).alias(name) for name, t in UNION_COLUMNS
     ]
     return parked.select(*cols)
 
@@ -352,7 +358,7 @@ def enrich(kpi: DataFrame, vendors: DataFrame, vconfig: DataFrame, po_history: D
         F.col("AmountInDocumentCurrency_WRBTR").alias("__p_wrbtr"),
         F.col("Quantity_MENGE").alias("__p_menge"),
     )
-    pairs = list(zip(join_keys()["purchase"], ["__p_mandt", "__p_ebeln", "__p_ebelp", "__p_gjahr", "__p_awkey"]))
+    pairs = list(zip(join_keys()["purchase"], ["__p_ebeln", "__p_ebelp", "__p_awkey", "__p_gjahr", "__p_mandt"]))
     df = left_join_salted_nulls(df, po, pairs, salt, hot)
     names = [
         F.col("Client_MANDT").alias("__r_mandt"), F.col("FromCurrency_FCURR").alias("__r_fcurr"),

@@ -4,6 +4,7 @@ import collections
 import contextlib
 import io
 import os
+import re
 import tempfile
 
 import duckdb
@@ -143,6 +144,21 @@ def test_flagship_joins_and_exchanges(spark, erp, cfg):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_fact_reads_the_stored_invoice_flow_and_sorts_by_documents(spark, erp, cfg):
+    """Headers are joined to the invoice lines before these are stored, not again in either
+    branch, and every sort-merge join leads with a document number: rows sorted by a company
+    first (five of them here) would all be compared field by field."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _physical(LedgerModel(spark, erp, cfg).accounts_payable)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    leading = [m.group(1) for x in plan if (m := re.search(r"SortMergeJoin \[.*?\], \[(\w+)#", x))]
+    assert sorted(k for k in leading if k != "o_orderkey") == ["__i_belnr", "__p_ebeln", "belnr"], leading
+
+
 def test_currency_values_replace_joins_and_change_nothing(spark, erp, cfg):
     import dataclasses
 
