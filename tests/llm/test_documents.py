@@ -443,6 +443,61 @@ def test_lm_scores_ids():
             assert (up - down) / (2 * step) == pytest.approx(g[k].ravel()[i], rel=2e-2, abs=1e-6), k
 
 
+def test_lm_classes_follow_counts():
+    """Rare ids share large classes, so a token passes far fewer logits; nothing is left out."""
+    import numpy as np
+
+    n = lm_scoring.VOCABULARY
+    counts = np.floor(1e6 / np.arange(1, n + 1) ** 1.6)
+    fixed, by_count = lm_scoring.class_bounds(), lm_scoring.class_bounds(counts)
+    assert by_count[0] == 0 and by_count[-1] == n and by_count[-2] == n - 1
+    sizes = np.diff(by_count)
+    assert (sizes[: lm_scoring.OWN] == 1).all() and (sizes[lm_scoring.OWN : -2] >= lm_scoring.SIZE).all()
+
+    def logits(bounds):
+        size = np.diff(bounds)
+        return len(size) + (np.add.reduceat(counts, bounds[:-1]) * size)[size > 1].sum() / counts.sum()
+
+    assert logits(by_count) < 0.7 * logits(fixed)
+    w = lm_scoring.initial_weights(counts, by_count)
+    first = np.concatenate([lm_scoring.log_probs(w, *lm_scoring.windows([np.array([k]) for k in range(i, min(i + 10_000, n))])[:2], by_count)
+                            for i in range(0, n, 10_000)])
+    assert (10**first).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_lm_gradient_of_many_windows():
+    """Windows that go through in several parts give the sum of their gradients, extreme logits included."""
+    import numpy as np
+
+    bounds, rng = np.array([0, 1, 2, 10, 20, 21]), np.random.default_rng(6)
+    w = {k: v.astype(np.float64) for k, v in lm_scoring.initial_weights(np.arange(21, 0, -1.0), bounds).items()}
+    w["y"], w["u"] = rng.normal(size=w["y"].shape), 30 * rng.normal(size=w["u"].shape)
+    c, t, _ = lm_scoring.windows([rng.integers(0, 21, 700) for _ in range(4)])
+    assert len(c) > 2 * lm_scoring.CHUNK
+    loss, g = lm_scoring.gradients(w, c, t, bounds)
+    each = [(int((t[i : i + 1] != lm_scoring.PAD).sum()), *lm_scoring.gradients(w, c[i : i + 1], t[i : i + 1], bounds)) for i in range(len(c))]
+    n = sum(e[0] for e in each)
+    assert loss == pytest.approx(sum(e[0] * e[1] for e in each) / n)
+    for k in w:
+        assert np.allclose(g[k], sum(e[0] * e[2][k] for e in each) / n, atol=1e-8), k
+
+
+def test_lm_rate_falls():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    c, t, _ = lm_scoring.windows([rng.integers(0, 9, 2000)])
+    w = lm_scoring.initial_weights(np.ones(lm_scoring.CLASSES))
+    steps = []
+    for tokens in (0, 2000):
+        trainer = lm_scoring.Trainer(w, tokens=tokens)
+        trainer.feed(c, t)
+        before = trainer.w["q"].copy()
+        trainer.feed(c[:32], t[:32])
+        steps.append(np.abs(trainer.w["q"] - before).mean())
+    assert steps[1] < 0.3 * steps[0]
+
+
 def test_lm_learns_from_every_training_document(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(lm_scoring, "_round", lambda part, weights, tasks: seen.append(part.count()) or weights, raising=False)
