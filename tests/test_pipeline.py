@@ -192,3 +192,64 @@ def test_shared_invoice_lines_change_nothing(spark, erp, cfg):
     apart = LedgerModel(spark, erp, dataclasses.replace(cfg, share_invoice_lines=False, materialize_dimensions=False)).accounts_payable
     assert shared.count() == apart.count() > 0
     assert shared.exceptAll(apart).count() == 0 and apart.exceptAll(shared).count() == 0
+
+
+def test_stored_fact_is_the_single_plan_and_shuffles_for_one_join(spark, erp, cfg):
+    """A large fact is stored between its joins: the same rows, for all columns and for some;
+    what is left to run shuffles for the PO history only, and not the rows without a PO."""
+    import dataclasses
+
+    plain = LedgerModel(spark, erp, cfg).accounts_payable
+    model = LedgerModel(spark, erp, dataclasses.replace(cfg, store_fact_bytes=0))
+    some = ["AccountingDocumentNumber_BELNR", "NAME1", "PotentialPenaltyInTargetCurrency", "AmountOfReturnInLocalCurrency",
+            "InvoiceDocumenttype_BLART", "KeyFiscPeriod"]
+    for got, want in ((model.payables(some), plain.select(*some)), (model.accounts_payable, plain)):
+        assert got.schema.simpleString() == want.schema.simpleString() and got.count() == want.count() > 0
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    narrow, whole = model._stored_rows.values()
+    assert "TermsOfPaymentKey_ZTERM" in whole.columns and "TermsOfPaymentKey_ZTERM" not in narrow.columns
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _physical(model.payables())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    leading = [m.group(1) for x in plan if (m := re.search(r"SortMergeJoin \[(\w+)#", x))]
+    assert sorted(leading) == ["PurchasingDocumentNumber_EBELN", "l_orderkey"], leading
+    assert not any("Window" in x for x in plan)
+
+
+def test_stored_fact_with_hot_keys_and_stored_documents(spark, erp, cfg):
+    import dataclasses
+
+    plain = LedgerModel(spark, erp, cfg)
+    stored = {"accounting_documents": plain.accounting_documents, "invoices": plain.invoices}
+    for changes, given in (({"hot_key_share": 0.0002}, None), ({}, stored)):
+        got = LedgerModel(spark, erp, dataclasses.replace(cfg, store_fact_bytes=0, **changes), given).accounts_payable
+        assert got.exceptAll(plain.accounts_payable).count() == 0 and plain.accounts_payable.exceptAll(got).count() == 0
+
+
+def test_written_frame_leaves_no_shuffle_files(spark):
+    """The shuffle files of a stored frame go when it is written, the frame of a block at its end."""
+    import time
+
+    from payledger.operators.joins import write_once, written
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+    before = shuffled()
+    df = spark.range(10_000).repartition(4, "id")
+    leaf = write_once(df, "test")
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left and leaf.count() == 10_000, left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    with written(df, "test") as leaf:
+        folder = leaf.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
+        assert leaf.count() == 10_000 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
